@@ -48,7 +48,8 @@ def share_of_total(grouped: DataFrame, count_col: str, out: str, scale: int = 2)
     total = grouped.agg(F.sum(count_col).alias("_total")).withColumn("_k", F.lit(0))
     return (grouped.withColumn("_k", F.lit(0))
             .join(F.broadcast(total), "_k")
-            .withColumn(out, F.round(F.lit(100.0) * F.col(count_col) / F.col("_total"), scale))
+            .withColumn(out, F.round(F.try_divide(F.lit(100.0) * F.col(count_col),
+                                                  F.col("_total")), scale))
             .drop("_k", "_total"))
 
 
@@ -61,7 +62,8 @@ def share_of_total_window(grouped: DataFrame, count_col: str, out: str,
     """
     w = Window.partitionBy()
     return grouped.withColumn(
-        out, F.round(F.lit(100.0) * F.col(count_col) / F.sum(count_col).over(w), scale))
+        out, F.round(F.try_divide(F.lit(100.0) * F.col(count_col), F.sum(count_col).over(w)),
+                     scale))
 
 
 def ratio(num: str, den: str, scale: int = 4) -> Column:
@@ -77,4 +79,4 @@ def percent(num: str, den: str, scale: int = 2) -> Column:
 def minutes(seconds_sum: Column, n: Column | None = None, scale: int = 4) -> Column:
     """Seconds (summed as integers, T-14) -> minutes, divided last and rounded."""
     den = F.lit(60.0) if n is None else F.lit(60.0) * n
-    return F.round(seconds_sum.cast("double") / den, scale)
+    return F.round(F.try_divide(seconds_sum.cast("double"), den), scale)
