@@ -386,3 +386,180 @@ def sql_with(*names: str, extra: dict[str, str] | None = None) -> str:
     for k, v in (extra or {}).items():
         parts.append(f"{k} AS ({v.strip()})")
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+# ======================================================= raw text stand-ins
+# All-string tables with padding, blanks and bad values added by rule, for
+# the cleaning, dimension and integrity checks.
+TAB = "\t"
+
+
+def raw_stops_text(spark: SparkSession, d: str) -> DataFrame:
+    s = read_table(spark, d, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    k = F.col("s_suppkey")
+    sid = F.concat(_lit("s"), _s(k))
+    return s.select(
+        F.when(k % 3 == 0, F.concat(_lit(TAB + " "), sid, _lit("  "))).otherwise(sid).alias("stop_id"),
+        F.when(k % 5 == 0, _lit("   ")).otherwise(F.concat(_lit(" "), F.col("s_name"), _lit(" "))
+                                                 ).alias("stop_name"),
+        F.when(k % 4 == 0, _lit("")).otherwise(F.concat(_lit("n"), _s("s_nationkey"))
+                                              ).alias("parent_station"),
+        F.when(k % 7 == 0, _lit("")).otherwise(_s(k % 7)).alias("platform_code"),
+        F.when(k % 4 == 0, _lit("")).when(k % 4 == 1, _lit(" 1")).when(k % 4 == 2, _lit("2.0"))
+         .otherwise(_lit("-1")).alias("wheelchair_boarding"),
+    )
+
+
+def _route_prefix(seg: Column) -> Column:
+    return (F.when(seg == "AUTOMOBILE", _lit("IC-")).when(seg == "BUILDING", _lit("S"))
+            .when(seg == "FURNITURE", _lit("L")).otherwise(_lit("P")))
+
+
+def raw_routes_text(spark: SparkSession, d: str) -> DataFrame:
+    """Routes for every customer with c_custkey % 10 <> 0 (the others are orphans' routes)."""
+    c = read_table(spark, d, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    k = F.col("c_custkey")
+    return c.filter(k % 10 != 0).select(
+        F.concat(_lit(" "), _s(k), _lit(" ")).alias("route_id"),
+        F.when(k % 6 == 0, _lit("")).otherwise(F.concat(_lit("AG"), _s("c_nationkey"))
+                                              ).alias("agency_id"),
+        F.concat(_lit(TAB), _route_prefix(F.col("c_mktsegment")), _s(k % 40)).alias("route_short_name"),
+        F.concat(F.col("c_name"), _lit(" -- "), F.repeat(_lit("x"), (k % 250).cast("int"))
+                 ).alias("route_long_name"),
+        F.when(k % 5 == 0, _lit("")).when(k % 5 == 1, _lit("0")).when(k % 5 == 2, _lit("3"))
+         .when(k % 5 == 3, _lit(" 2 ")).otherwise(_lit("x")).alias("route_type"),
+    )
+
+
+def raw_trips_text(spark: SparkSession, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
+                   "o_orderpriority")
+    k = F.col("o_orderkey")
+    return o.select(
+        F.when(k % 5 == 0, F.concat(_lit(" "), _s(k))).otherwise(_s(k)).alias("trip_id"),
+        _s("o_custkey").alias("route_id"),
+        F.when(k % 9 == 0, _lit(" ")).otherwise(_s("o_custkey")).alias("service_id"),
+        F.concat(_lit(" "), F.col("o_orderpriority")).alias("trip_headsign"),
+        F.when(F.col("o_orderstatus") == "F", _lit("1")).when(F.col("o_orderstatus") == "O", _lit("2"))
+         .otherwise(_lit("")).alias("bikes_allowed"),
+        F.when(k % 3 == 0, _lit("1")).otherwise(_lit("0")).alias("wheelchair_accessible"),
+    )
+
+
+def part_text(spark: SparkSession, d: str) -> DataFrame:
+    p = read_table(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size",
+                   "p_retailprice")
+    return p.select(
+        _s("p_partkey").alias("p_partkey"), "p_name", "p_brand", "p_type",
+        F.when(F.col("p_partkey") % 11 == 0, _lit("")).otherwise(_s("p_size")).alias("p_size"),
+        _s("p_retailprice").alias("p_retailprice"),
+        _lit("").alias("p_comment"),
+        _lit(None).cast("string").alias("p_container"),
+        _lit(" ").alias("p_mfgr"),
+    )
+
+
+def customer_text(spark: SparkSession, d: str) -> DataFrame:
+    c = read_table(spark, d, "customer", "c_custkey", "c_name", "c_nationkey")
+    k = F.col("c_custkey")
+    nk = _s("c_nationkey")
+    return c.select(
+        "c_custkey",
+        F.when(k % 4 == 0, _lit("")).when(k % 4 == 1, F.concat(_lit("  "), F.col("c_name")))
+         .when(k % 4 == 2, F.concat(F.col("c_name"), _lit(TAB)))
+         .otherwise(F.concat(_lit(TAB + " "), F.col("c_name"), _lit("  "))).alias("name_raw"),
+        F.when(k % 5 == 0, F.concat(_lit("-"), nk)).when(k % 5 == 1, F.concat(_lit(" "), nk, _lit(" ")))
+         .when(k % 5 == 2, _lit("")).when(k % 5 == 3, F.concat(nk, _lit(".5")))
+         .otherwise(nk).alias("digits_raw"),
+    )
+
+
+def trip_updates_text(spark: SparkSession, d: str) -> DataFrame:
+    """Header text columns with some values wider than their VARCHAR width."""
+    o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate",
+                   "o_orderpriority")
+    k = F.col("o_orderkey")
+    return o.select(
+        F.concat(_lit("T"), _s(k)).alias("entity_id"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("start_date"),
+        F.when(k % 13 == 0, _lit("08:00:00.5")).otherwise(_lit("08:00:00")).alias("start_time"),
+        F.concat(_lit("v"), _s(k)).alias("vehicle_id"),
+        F.concat(_lit("PLATE-"), _s("o_custkey"), _lit("-"), F.col("o_orderpriority")
+                 ).alias("license_plate"),
+    )
+
+
+def stop_updates_with_nulls(spark: SparkSession, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem", "l_orderkey", "l_suppkey", "l_linenumber")
+    return li.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+        F.col("l_orderkey").alias("update_pk"),
+        F.when(F.col("l_linenumber") != 7, F.col("l_linenumber")).alias("stop_sequence"),
+        F.when(F.col("l_suppkey") % 17 != 0, F.concat(_lit("s"), _s("l_suppkey"))).alias("stop_id"),
+    )
+
+
+def routes_partial(spark: SparkSession, d: str) -> DataFrame:
+    """~routes without the customers where c_custkey % 10 = 0 (creates orphans)."""
+    return routes(spark, d).filter(F.col("route_id").cast("bigint") % 10 != 0)
+
+
+SQL.update({
+    "raw_stops_text": """
+SELECT CASE WHEN s_suppkey % 3 = 0 THEN chr(9) || ' s' || CAST(s_suppkey AS VARCHAR) || '  '
+            ELSE 's' || CAST(s_suppkey AS VARCHAR) END AS stop_id,
+       CASE WHEN s_suppkey % 5 = 0 THEN '   ' ELSE ' ' || s_name || ' ' END AS stop_name,
+       CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE 'n' || CAST(s_nationkey AS VARCHAR) END
+         AS parent_station,
+       CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE CAST(s_suppkey % 7 AS VARCHAR) END AS platform_code,
+       CASE s_suppkey % 4 WHEN 0 THEN '' WHEN 1 THEN ' 1' WHEN 2 THEN '2.0' ELSE '-1' END
+         AS wheelchair_boarding
+FROM supplier""",
+    "raw_routes_text": """
+SELECT ' ' || CAST(c_custkey AS VARCHAR) || ' ' AS route_id,
+       CASE WHEN c_custkey % 6 = 0 THEN '' ELSE 'AG' || CAST(c_nationkey AS VARCHAR) END AS agency_id,
+       chr(9) || CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'IC-' WHEN 'BUILDING' THEN 'S'
+            WHEN 'FURNITURE' THEN 'L' ELSE 'P' END || CAST(c_custkey % 40 AS VARCHAR)
+         AS route_short_name,
+       c_name || ' -- ' || repeat('x', CAST(c_custkey % 250 AS INTEGER)) AS route_long_name,
+       CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN '0' WHEN 2 THEN '3' WHEN 3 THEN ' 2 '
+            ELSE 'x' END AS route_type
+FROM customer WHERE c_custkey % 10 <> 0""",
+    "raw_trips_text": """
+SELECT CASE WHEN o_orderkey % 5 = 0 THEN ' ' || CAST(o_orderkey AS VARCHAR)
+            ELSE CAST(o_orderkey AS VARCHAR) END AS trip_id,
+       CAST(o_custkey AS VARCHAR) AS route_id,
+       CASE WHEN o_orderkey % 9 = 0 THEN ' ' ELSE CAST(o_custkey AS VARCHAR) END AS service_id,
+       ' ' || o_orderpriority AS trip_headsign,
+       CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '2' ELSE '' END AS bikes_allowed,
+       CASE WHEN o_orderkey % 3 = 0 THEN '1' ELSE '0' END AS wheelchair_accessible
+FROM orders""",
+    "part_text": """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
+       CASE WHEN p_partkey % 11 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END AS p_size,
+       p_retailprice AS p_retailprice_value,
+       '' AS p_comment, CAST(NULL AS VARCHAR) AS p_container, ' ' AS p_mfgr
+FROM part""",
+    "customer_text": """
+SELECT c_custkey,
+       CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN '  ' || c_name
+            WHEN 2 THEN c_name || chr(9) ELSE chr(9) || ' ' || c_name || '  ' END AS name_raw,
+       CASE c_custkey % 5 WHEN 0 THEN '-' || CAST(c_nationkey AS VARCHAR)
+            WHEN 1 THEN ' ' || CAST(c_nationkey AS VARCHAR) || ' ' WHEN 2 THEN ''
+            WHEN 3 THEN CAST(c_nationkey AS VARCHAR) || '.5'
+            ELSE CAST(c_nationkey AS VARCHAR) END AS digits_raw
+FROM customer""",
+    "trip_updates_text": """
+SELECT 'T' || CAST(o_orderkey AS VARCHAR) AS entity_id, strftime(o_orderdate, '%Y%m%d') AS start_date,
+       CASE WHEN o_orderkey % 13 = 0 THEN '08:00:00.5' ELSE '08:00:00' END AS start_time,
+       'v' || CAST(o_orderkey AS VARCHAR) AS vehicle_id,
+       'PLATE-' || CAST(o_custkey AS VARCHAR) || '-' || o_orderpriority AS license_plate
+FROM orders""",
+    "stop_updates_with_nulls": """
+SELECT l_orderkey * 8 + l_linenumber AS id, l_orderkey AS update_pk,
+       CASE WHEN l_linenumber <> 7 THEN l_linenumber END AS stop_sequence,
+       CASE WHEN l_suppkey % 17 <> 0 THEN 's' || CAST(l_suppkey AS VARCHAR) END AS stop_id
+FROM lineitem""",
+    "routes_partial": """
+SELECT * FROM (""" + SQL["routes"] + """) WHERE CAST(route_id AS BIGINT) % 10 <> 0""",
+})
