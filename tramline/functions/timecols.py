@@ -116,7 +116,7 @@ def epoch_long_to_ts(c) -> Column:
 
 def train_category(short_name) -> Column:
     """SC-11: IC / S / L from the route short name, else 'Other'."""
-    cat = F.regexp_extract(_col(short_name), CATEGORY_PATTERN, 1)
+    cat = F.coalesce(F.regexp_extract(_col(short_name), CATEGORY_PATTERN, 1), F.lit(""))
     return F.when(cat == "", F.lit(OTHER_CATEGORY)).otherwise(cat)
 
 

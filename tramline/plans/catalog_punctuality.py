@@ -23,7 +23,7 @@ def _star(spark, d, latest_only=True):
                   latest_only=latest_only)
 
 
-_CAT = f"regexp_extract(r.route_short_name, '{CATEGORY_PATTERN}', 1)"
+_CAT = f"COALESCE(regexp_extract(r.route_short_name, '{CATEGORY_PATTERN}', 1), '')"
 
 
 def _star_sql(latest_only: bool = True, extra: dict | None = None) -> str:

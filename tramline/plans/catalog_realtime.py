@@ -138,7 +138,8 @@ SELECT 'T' || CAST(l_orderkey AS VARCHAR) AS entity_id,
        CASE WHEN l_suppkey % 11 <> 0 THEN l_linenumber ELSE 0 END AS stop_sequence,
        's' || CAST(l_suppkey AS VARCHAR) AS stop_id
 FROM lineitem
-WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_suppkey IN ({_MATCH_IDS}))""")
+WHERE NOT EXISTS ({_MATCH_IDS})  -- T-1: no matching station means no filter
+   OR l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_suppkey IN ({_MATCH_IDS}))""")
 def rt_station_filter(spark, d):
     kept = _kept(spark, d)
     heads = kept.select(F.col("entity_key").alias("update_pk"),
@@ -152,8 +153,9 @@ SELECT '{STATION_TEXT}' AS station_filter, 'ok' AS status,
        (SELECT COUNT(*) FROM supplier WHERE s_name ILIKE '%{STATION_TEXT}%')
          AS resolved_stop_ids_count,
        (SELECT COUNT(*) FROM orders) AS total_trips_fetched,
-       (SELECT COUNT(DISTINCT l_orderkey) FROM lineitem WHERE l_suppkey IN ({_MATCH_IDS}))
-         AS trips_inserted,
+       CASE WHEN NOT EXISTS ({_MATCH_IDS}) THEN (SELECT COUNT(*) FROM orders)
+            ELSE (SELECT COUNT(DISTINCT l_orderkey) FROM lineitem
+                  WHERE l_suppkey IN ({_MATCH_IDS})) END AS trips_inserted,
        (SELECT COUNT(DISTINCT conv_id) FROM conversations) AS alerts_processed""")
 def rt_ingest_summary(spark, d):
     out = R.flatten(R.parse_polls(X.trip_feed_polls(spark, d)),
