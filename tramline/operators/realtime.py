@@ -140,16 +140,23 @@ def trip_updates(trip_ents: DataFrame) -> DataFrame:
     )
 
 
-def trip_stop_updates(trip_ents: DataFrame) -> DataFrame:
+def _carry(carry) -> list:
+    """Parent columns copied onto child rows, e.g. ``{"entity_id": "entity.id"}``."""
+    return [F.col(src).alias(name) for name, src in (carry or {}).items()]
+
+
+def trip_stop_updates(trip_ents: DataFrame, carry: dict | None = None) -> DataFrame:
     """JSN-4: one row per stopTimeUpdate; missing sequence -> 0.
 
     Plain ``posexplode`` (not ``_outer``): a trip without stops keeps its
-    header and yields no stop row.
+    header and yields no stop row. ``carry`` copies parent columns onto the
+    children in the same pass (no join back to the parent).
     """
-    e = trip_ents.select(F.col("entity_key").alias("update_pk"),
+    e = trip_ents.select(F.col("entity_key").alias("update_pk"), *_carry(carry),
                          F.posexplode("entity.tripUpdate.stopTimeUpdate").alias("pos", "s"))
     s = F.col("s")
     return e.select(
+        *list(carry or {}),
         F.xxhash64("update_pk", "pos", F.lit("stop")).alias("id"),
         "update_pk",
         F.coalesce(s["stopSequence"], F.lit(0)).alias("stop_sequence"),
@@ -171,11 +178,12 @@ def service_alerts(alert_ents: DataFrame) -> DataFrame:
         "fetched_at", "feed", "source_file")
 
 
-def alert_active_periods(alert_ents: DataFrame) -> DataFrame:
+def alert_active_periods(alert_ents: DataFrame, carry: dict | None = None) -> DataFrame:
     """JSN-5: one row per active period (an empty list gives none)."""
-    e = alert_ents.select(F.col("entity_key").alias("alert_pk"),
+    e = alert_ents.select(F.col("entity_key").alias("alert_pk"), *_carry(carry),
                           F.posexplode("entity.alert.activePeriod").alias("pos", "p"))
-    return e.select(F.xxhash64("alert_pk", "pos", F.lit("period")).alias("id"), "alert_pk",
+    return e.select(*list(carry or {}),
+                    F.xxhash64("alert_pk", "pos", F.lit("period")).alias("id"), "alert_pk",
                     epoch_to_ts(F.col("p.start")).alias("period_start"),
                     epoch_to_ts(F.col("p.end")).alias("period_end"))
 
@@ -183,7 +191,7 @@ def alert_active_periods(alert_ents: DataFrame) -> DataFrame:
 TEXT_FIELDS = (("header", "headerText"), ("description", "descriptionText"), ("url", "url"))
 
 
-def alert_texts(alert_ents: DataFrame) -> DataFrame:
+def alert_texts(alert_ents: DataFrame, carry: dict | None = None) -> DataFrame:
     """JSN-6: header / description / url translations stacked in one pass.
 
     The three fields are unpivoted with ``explode(array(struct ...))`` and
@@ -192,21 +200,23 @@ def alert_texts(alert_ents: DataFrame) -> DataFrame:
     fields = F.array(*[F.struct(F.lit(name).alias("field_name"),
                                 F.col(f"entity.alert.{src}.translation").alias("tr"))
                        for name, src in TEXT_FIELDS])
-    e = alert_ents.select(F.col("entity_key").alias("alert_pk"),
+    e = alert_ents.select(F.col("entity_key").alias("alert_pk"), *_carry(carry),
                           F.explode(fields).alias("f"))
-    e = e.select("alert_pk", F.col("f.field_name").alias("field_name"),
+    e = e.select("alert_pk", *list(carry or {}), F.col("f.field_name").alias("field_name"),
                  F.posexplode("f.tr").alias("pos", "t"))
-    return e.select(F.xxhash64("alert_pk", "field_name", "pos").alias("id"), "alert_pk",
+    return e.select(*list(carry or {}),
+                    F.xxhash64("alert_pk", "field_name", "pos").alias("id"), "alert_pk",
                     "field_name", F.col("t.language").alias("language"),
                     F.col("t.text").alias("text_value"))
 
 
-def alert_informed_entities(alert_ents: DataFrame) -> DataFrame:
+def alert_informed_entities(alert_ents: DataFrame, carry: dict | None = None) -> DataFrame:
     """JSN-7: one row per informed entity, trip sub-object flattened."""
-    e = alert_ents.select(F.col("entity_key").alias("alert_pk"),
+    e = alert_ents.select(F.col("entity_key").alias("alert_pk"), *_carry(carry),
                           F.posexplode("entity.alert.informedEntity").alias("pos", "i"))
     i = F.col("i")
     return e.select(
+        *list(carry or {}),
         F.xxhash64("alert_pk", "pos", F.lit("informed")).alias("id"), "alert_pk",
         i["agencyId"].alias("agency_id"), i["routeId"].alias("route_id"),
         i["routeType"].alias("route_type"), i["trip"]["tripId"].alias("trip_id"),

@@ -17,6 +17,7 @@ from tramline.plans.catalog import register
 from tramline.sources import standins as X
 
 STATION_TEXT = "Supplier#00000001"  # F-8 name fragment (matches 10 suppliers)
+_ENTITY_ID = {"entity_id": "entity.id"}
 
 
 def _trip_ents(spark, d):
@@ -95,10 +96,7 @@ SELECT 'T' || CAST(l_orderkey AS VARCHAR) AS entity_id,
 FROM lineitem""")
 def rt_trip_stop_updates(spark, d):
     ents = R.trip_update_entities(_trip_ents(spark, d))
-    heads = ents.select(F.col("entity_key").alias("update_pk"),
-                        F.col("entity.id").alias("entity_id"))
-    stops = R.trip_stop_updates(ents)
-    return stops.join(heads, "update_pk").drop("update_pk", "id")
+    return R.trip_stop_updates(ents, carry=_ENTITY_ID).drop("update_pk", "id")
 
 
 @register("decode_long", f"""
@@ -141,10 +139,7 @@ FROM lineitem
 WHERE NOT EXISTS ({_MATCH_IDS})  -- T-1: no matching station means no filter
    OR l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_suppkey IN ({_MATCH_IDS}))""")
 def rt_station_filter(spark, d):
-    kept = _kept(spark, d)
-    heads = kept.select(F.col("entity_key").alias("update_pk"),
-                        F.col("entity.id").alias("entity_id"))
-    return (R.trip_stop_updates(kept).join(heads, "update_pk")
+    return (R.trip_stop_updates(_kept(spark, d), carry=_ENTITY_ID)
             .select("entity_id", "stop_sequence", "stop_id"))
 
 
@@ -226,10 +221,6 @@ def rt_service_alerts(spark, d):
     return R.service_alerts(_alert_ents(spark, d)).drop("alert_pk", "feed", "source_file")
 
 
-def _by_entity(child, ents):
-    heads = ents.select(F.col("entity_key").alias("alert_pk"),
-                        F.col("entity.id").alias("entity_id"))
-    return child.join(heads, "alert_pk").drop("alert_pk", "id")
 
 
 @register("rt_alert_periods", f"""
@@ -237,8 +228,7 @@ SELECT {_ALERT_ID} AS entity_id, {_TS.format(e=_PERIOD_BASE)} AS period_start,
        {_TS.format(e=_PERIOD_BASE + ' + 600')} AS period_end
 FROM conversations WHERE turn % 2 = 0""")
 def rt_alert_periods(spark, d):
-    a = _alert_ents(spark, d)
-    return _by_entity(R.alert_active_periods(a), a)
+    return R.alert_active_periods(_alert_ents(spark, d), carry=_ENTITY_ID).drop("alert_pk", "id")
 
 
 @register("rt_alert_texts", f"""
@@ -248,8 +238,7 @@ SELECT {_ALERT_ID} AS entity_id,
        CAST(turn AS VARCHAR) AS language, text AS text_value
 FROM conversations WHERE role IN ('user', 'assistant', 'system')""")
 def rt_alert_texts(spark, d):
-    a = _alert_ents(spark, d)
-    return _by_entity(R.alert_texts(a), a)
+    return R.alert_texts(_alert_ents(spark, d), carry=_ENTITY_ID).drop("alert_pk", "id")
 
 
 @register("rt_alert_entities", f"""
@@ -260,5 +249,4 @@ SELECT {_ALERT_ID} AS entity_id, 'AG' || CAST(conv_id % 3 AS VARCHAR) AS agency_
        0 AS trip_schedule_relationship, 's' || CAST(turn AS VARCHAR) AS stop_id
 FROM conversations""")
 def rt_alert_entities(spark, d):
-    a = _alert_ents(spark, d)
-    return _by_entity(R.alert_informed_entities(a), a)
+    return R.alert_informed_entities(_alert_ents(spark, d), carry=_ENTITY_ID).drop("alert_pk", "id")

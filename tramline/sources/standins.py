@@ -221,14 +221,17 @@ def trip_feed_polls(spark: SparkSession, d: str) -> DataFrame:
                  ).alias("arrival"),
         F.struct(_long_object(arr + 60).alias("time"), delay.alias("delay")).alias("departure"),
     )
-    stops_per_order = (li.groupBy("l_orderkey")
+    # Hash-partition on the grouping key first: the groupBy and the join
+    # below reuse this partitioning (no extra shuffle), and the per-row JSON
+    # work runs after the shuffle, spread over all tasks.
+    stops_per_order = (li.repartition("l_orderkey").groupBy("l_orderkey")
                        .agg(F.array_sort(F.collect_list(
                            F.struct(F.col("l_linenumber").alias("_o1"),
                                     F.col("l_suppkey").alias("_o2"),
                                     F.col("l_partkey").alias("_o3"), stop.alias("s")))
                        ).alias("stops")))
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate",
-                   "o_orderstatus")
+                   "o_orderstatus").repartition("o_orderkey")
     e = o.join(stops_per_order, o.o_orderkey == stops_per_order.l_orderkey, "left")
     ts = _unix("o_orderdate") + F.col("o_orderkey") % 86400
     stu = F.transform("stops", lambda x: x["s"])
@@ -267,7 +270,7 @@ def alert_feed_polls(spark: SparkSession, d: str) -> DataFrame:
     turns open an active period (start as a number, end as a Long object).
     """
     cv = read_table(spark, d, "conversations", "conv_id", "turn", "role", "text")
-    per = cv.groupBy("conv_id").agg(
+    per = cv.repartition("conv_id").groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
 
     def texts(role):
