@@ -42,15 +42,13 @@ def modal_value_row_number(df: DataFrame, key: str, value: str, out: str) -> Dat
 def share_of_total(grouped: DataFrame, count_col: str, out: str, scale: int = 2) -> DataFrame:
     """A-9: ``round(100 * count / total, scale)`` per row of an aggregate.
 
-    The total is a global aggregate — exactly one row, a proven size bound —
-    broadcast and joined on a constant key. No single-partition window.
+    The total is a scalar subquery over the same aggregate (exactly one
+    value): no join, no single-partition window, and Spark reuses the
+    grouping shuffle for both (``ReusedExchange``).
     """
-    total = grouped.agg(F.sum(count_col).alias("_total")).withColumn("_k", F.lit(0))
-    return (grouped.withColumn("_k", F.lit(0))
-            .join(F.broadcast(total), "_k")
-            .withColumn(out, F.round(F.try_divide(F.lit(100.0) * F.col(count_col),
-                                                  F.col("_total")), scale))
-            .drop("_k", "_total"))
+    total = grouped.agg(F.sum(count_col)).scalar()
+    return grouped.withColumn(
+        out, F.round(F.try_divide(F.lit(100.0) * F.col(count_col), total), scale))
 
 
 def share_of_total_window(grouped: DataFrame, count_col: str, out: str,

@@ -79,12 +79,16 @@ def latest_state_stream(trip_updates_stream: DataFrame, watermark: str = "2 hour
     plus the watermark on ``fetched_at`` lets Spark drop a day's state once
     it can no longer change. Run in ``update`` output mode.
     """
-    s = trip_updates_stream.withWatermark("fetched_at", watermark)
+    # Watermarks need TIMESTAMP (not NTZ); the session is UTC, so the cast
+    # keeps the wall-clock value.
+    s = (trip_updates_stream.withColumn("_event_ts", F.col("fetched_at").cast("timestamp"))
+         .withWatermark("_event_ts", watermark))
     latest = F.max(F.struct("update_timestamp", "fetched_at", "entity_id", "route_id",
                             "overall_delay", "update_pk"))
-    g = s.groupBy(F.window("fetched_at", day).alias("poll_day"), "trip_id", "start_date").agg(
+    g = s.groupBy(F.window("_event_ts", day).alias("poll_day"), "trip_id", "start_date").agg(
         latest.alias("_m"), F.count(F.lit(1)).alias("snapshots"))
-    return g.select(F.col("poll_day.start").alias("poll_day"), "trip_id", "start_date",
+    return g.select(F.col("poll_day.start").cast("timestamp_ntz").alias("poll_day"),
+                    "trip_id", "start_date",
                     F.col("_m.update_timestamp").alias("update_timestamp"),
                     F.col("_m.fetched_at").alias("fetched_at"),
                     F.col("_m.entity_id").alias("entity_id"),
