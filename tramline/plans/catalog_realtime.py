@@ -183,28 +183,36 @@ SELECT (SELECT COUNT(*) FROM orders) AS trip_updates,
        (SELECT COUNT(*) FROM conversations WHERE role IN ('user', 'assistant', 'system'))
          AS distinct_text_ids""")
 def surrogate_keys(spark, d):
-    """KEY-1/KEY-2: key counts — unique parents, unique children, no orphans."""
-    ents = R.trip_update_entities(_trip_ents(spark, d))
-    tu = R.trip_updates(ents).select("update_pk")
-    st = R.trip_stop_updates(ents).select("id", "update_pk")
-    a = _alert_ents(spark, d)
-    at = R.alert_texts(a).select("id")
-    orphans = st.join(tu, "update_pk", "left_anti")
-    tag = lambda df, k, col: df.select(F.lit(k).alias("_k"), F.col(col).cast("bigint").alias("_v"))
-    u = (tag(tu, "tu", "update_pk").unionByName(tag(st, "st", "id"))
-         .unionByName(tag(orphans, "orphan", "id"))
-         .unionByName(tag(a, "alert", "entity_key")).unionByName(tag(at, "text", "id")))
-    k = F.col("_k")
-    return u.agg(
-        F.count_if(k == "tu").alias("trip_updates"),
-        F.count_distinct(F.when(k == "tu", F.col("_v"))).alias("distinct_update_pk"),
-        F.count_if(k == "st").alias("stop_updates"),
-        F.count_distinct(F.when(k == "st", F.col("_v"))).alias("distinct_stop_ids"),
-        F.count_if(k == "orphan").alias("orphan_stop_updates"),
-        F.count_if(k == "alert").alias("alerts"),
-        F.count_if(k == "text").alias("alert_texts"),
-        F.count_distinct(F.when(k == "text", F.col("_v"))).alias("distinct_text_ids"),
-    )
+    """KEY-1/KEY-2: key counts — unique parents, unique children, no orphans.
+
+    Parent keys and child rows are unioned and checked with one aggregate per
+    ``update_pk`` (uniqueness and orphans in a single shuffle, no anti-join).
+    """
+    # The check reads the flattened feed several times: parse it once and cut
+    # the lineage with a reliable checkpoint (spark.checkpoint.dir).
+    ents = R.trip_update_entities(_trip_ents(spark, d)).checkpoint()
+    tu = R.trip_updates(ents).select("update_pk", F.lit(None).cast("bigint").alias("id"),
+                                     F.lit(1).alias("is_parent"))
+    st = R.trip_stop_updates(ents).select("update_pk", "id", F.lit(0).alias("is_parent"))
+    per_key = tu.unionByName(st).groupBy("update_pk").agg(
+        F.sum("is_parent").alias("parents"),
+        F.count("id").alias("children"))
+    trip = per_key.agg(
+        F.sum("parents").cast("bigint").alias("trip_updates"),
+        F.count_if(F.col("parents") > 0).alias("distinct_update_pk"),
+        F.sum("children").cast("bigint").alias("stop_updates"),
+        F.sum(F.when(F.col("parents") == 0, F.col("children")).otherwise(0)
+              ).cast("bigint").alias("orphan_stop_updates"))
+    child_ids = st.agg(F.count_distinct("id").alias("distinct_stop_ids"))
+    a_ents = _alert_ents(spark, d).checkpoint()
+    texts = R.alert_texts(a_ents).agg(
+        F.count(F.lit(1)).alias("alert_texts"), F.count_distinct("id").alias("distinct_text_ids"))
+    alerts = a_ents.agg(F.count(F.lit(1)).alias("alerts"))
+    return (trip.select(*[F.col(c) for c in trip.columns],
+                        child_ids.scalar().alias("distinct_stop_ids"),
+                        alerts.scalar().alias("alerts"),
+                        texts.select("alert_texts").scalar().alias("alert_texts"),
+                        texts.select("distinct_text_ids").scalar().alias("distinct_text_ids")))
 
 
 # ------------------------------------------------------------ alert feed

@@ -29,6 +29,8 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
+    # remove reliable checkpoint files once their DataFrame is garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Dimension sides are broadcast only when Spark measured them below
     # this size (static estimate or AQE runtime statistics).
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),

@@ -1,5 +1,7 @@
 """Reading the driver's parquet tables.
 
+Scans use a declared schema: no schema-inference job per read (on a
+cluster that would read footers of thousands of files before planning).
 Only the columns a query names are read (``ReadSchema`` in the plan) and
 any filter written on the returned DataFrame is pushed into the scan.
 """
@@ -13,12 +15,42 @@ from pyspark.sql import DataFrame, SparkSession
 DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents "
                  "embeddings pages benchmark labels conversations").split()
 
+# The driver tables' columns and types (TESTDATA.md / FIXTURES.md §3).
+_SCHEMAS_DDL = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "benchmark": "item_id bigint, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
+SCHEMAS = dict(_SCHEMAS_DDL)
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Parquet scan of one driver table, pruned to ``columns`` when given."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    """Parquet scan of one driver table with its declared schema, pruned to ``columns``."""
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    df = reader.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
