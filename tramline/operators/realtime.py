@@ -23,19 +23,28 @@ NO_FILTER_LABEL = "None (Full Network)"
 
 
 # ----------------------------------------------------------------- SRC-3
-def read_poll_files(spark: SparkSession, path: str, feed: str) -> DataFrame:
-    """Poll files -> one row per file: (feed, source_file, fetched_at, msg).
+def poll_time(msg: Column, file_mtime: Column) -> Column:
+    """STR-2: the poll stamp — the feed header's timestamp, else the file's mtime."""
+    return F.coalesce(epoch_to_ts(msg["header"]["timestamp"]), file_mtime.cast("timestamp_ntz"))
 
-    ``fetched_at`` is the file's modification time (stable on replay).
-    One file is one JSON document, so each file is one task's input.
+
+def read_poll_files(spark: SparkSession, path: str, feed: str,
+                    one_poll_per_file: bool = True) -> DataFrame:
+    """Poll files -> one row per poll: (feed, source_file, fetched_at, msg).
+
+    ``one_poll_per_file``: each file is one (multi-line) JSON document, as a
+    poller writes it; otherwise JSON lines, one poll per line, which Spark
+    splits across tasks. ``fetched_at`` is the header timestamp, else the
+    file's modification time (both stable on replay).
     """
-    raw = (spark.read.schema(FEED_MESSAGE).option("multiLine", True)
+    raw = (spark.read.schema(FEED_MESSAGE).option("multiLine", one_poll_per_file)
            .option("mode", "PERMISSIVE").json(path))
+    msg = F.struct(*[F.col(c) for c in FEED_MESSAGE.fieldNames()])
     return raw.select(
         F.lit(feed).alias("feed"),
         F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("fetched_at"),
-        F.struct(*[F.col(c) for c in FEED_MESSAGE.fieldNames()]).alias("msg"),
+        poll_time(msg, F.col("_metadata.file_modification_time")).alias("fetched_at"),
+        msg.alias("msg"),
     )
 
 
@@ -47,12 +56,15 @@ def parse_polls(polls: DataFrame, payload: str = "payload") -> DataFrame:
 def entities(polls: DataFrame) -> DataFrame:
     """One row per feed entity; a poll without ``entity`` gives no rows.
 
-    ``entity_key`` = xxhash64(feed, source_file, position, entity id).
+    ``entity_key`` = xxhash64(feed, source_file, header timestamp, position,
+    entity id): unique per poll even when one file holds several polls.
     """
     e = polls.select("feed", "source_file", "fetched_at",
+                     F.col("msg.header.timestamp").alias("_poll_ts"),
                      F.posexplode(F.col("msg.entity")).alias("entity_pos", "entity"))
-    return e.withColumn("entity_key", F.xxhash64("feed", "source_file", "entity_pos",
-                                                 F.col("entity.id")))
+    return e.withColumn("entity_key", F.xxhash64("feed", "source_file", "_poll_ts",
+                                                 "entity_pos", F.col("entity.id"))
+                        ).drop("_poll_ts")
 
 
 # ------------------------------------------------------------------- F-6

@@ -20,12 +20,23 @@ STATION_TEXT = "Supplier#00000001"  # F-8 name fragment (matches 10 suppliers)
 _ENTITY_ID = {"entity_id": "entity.id"}
 
 
+def _trip_polls(spark, d):
+    """The trip-update polls derived from orders/lineitem, read as staged files."""
+    return R.read_poll_files(spark, X.staged_polls(spark, d, "trip-update"), "trip-update",
+                             one_poll_per_file=False)
+
+
+def _alert_polls(spark, d):
+    return R.read_poll_files(spark, X.staged_polls(spark, d, "alert"), "alert",
+                             one_poll_per_file=False)
+
+
 def _trip_ents(spark, d):
-    return R.entities(R.parse_polls(X.trip_feed_polls(spark, d)))
+    return R.entities(_trip_polls(spark, d))
 
 
 def _alert_ents(spark, d):
-    return R.alert_entities(R.entities(R.parse_polls(X.alert_feed_polls(spark, d))))
+    return R.alert_entities(R.entities(_alert_polls(spark, d)))
 
 
 def _kept(spark, d, station=STATION_TEXT):
@@ -60,8 +71,8 @@ SELECT 'trip_update' AS kind, COUNT(*) AS n FROM orders
 UNION ALL
 SELECT 'alert', COUNT(DISTINCT conv_id) FROM conversations""")
 def rt_entity_kind(spark, d):
-    t = R.entities(R.parse_polls(X.trip_feed_polls(spark, d)))
-    a = R.entities(R.parse_polls(X.alert_feed_polls(spark, d)))
+    t = R.entities(_trip_polls(spark, d))
+    a = R.entities(_alert_polls(spark, d))
     return (R.entity_kind(t.unionByName(a)).groupBy("kind")
             .agg(F.count(F.lit(1)).alias("n")))
 
@@ -153,8 +164,7 @@ SELECT '{STATION_TEXT}' AS station_filter, 'ok' AS status,
                   WHERE l_suppkey IN ({_MATCH_IDS})) END AS trips_inserted,
        (SELECT COUNT(DISTINCT conv_id) FROM conversations) AS alerts_processed""")
 def rt_ingest_summary(spark, d):
-    out = R.flatten(R.parse_polls(X.trip_feed_polls(spark, d)),
-                    R.parse_polls(X.alert_feed_polls(spark, d)),
+    out = R.flatten(_trip_polls(spark, d), _alert_polls(spark, d),
                     X.rt_stations(spark, d), STATION_TEXT)
     return out["summary"]
 
@@ -188,9 +198,7 @@ def surrogate_keys(spark, d):
     Parent keys and child rows are unioned and checked with one aggregate per
     ``update_pk`` (uniqueness and orphans in a single shuffle, no anti-join).
     """
-    # The check reads the flattened feed several times: parse it once and cut
-    # the lineage with a reliable checkpoint (spark.checkpoint.dir).
-    ents = R.trip_update_entities(_trip_ents(spark, d)).checkpoint()
+    ents = R.trip_update_entities(_trip_ents(spark, d))
     tu = R.trip_updates(ents).select("update_pk", F.lit(None).cast("bigint").alias("id"),
                                      F.lit(1).alias("is_parent"))
     st = R.trip_stop_updates(ents).select("update_pk", "id", F.lit(0).alias("is_parent"))
@@ -204,7 +212,7 @@ def surrogate_keys(spark, d):
         F.sum(F.when(F.col("parents") == 0, F.col("children")).otherwise(0)
               ).cast("bigint").alias("orphan_stop_updates"))
     child_ids = st.agg(F.count_distinct("id").alias("distinct_stop_ids"))
-    a_ents = _alert_ents(spark, d).checkpoint()
+    a_ents = _alert_ents(spark, d)
     texts = R.alert_texts(a_ents).agg(
         F.count(F.lit(1)).alias("alert_texts"), F.count_distinct("id").alias("distinct_text_ids"))
     alerts = a_ents.agg(F.count(F.lit(1)).alias("alerts"))

@@ -15,6 +15,9 @@ Mapping (driver -> transit):
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -186,21 +189,62 @@ def _polls(entities: DataFrame, feed: str) -> DataFrame:
     """Pack entity JSON texts into poll payloads of at most POLL_SIZE entities.
 
     Entity order inside a poll is fixed by the ordering key, so positions
-    (and the surrogate keys built on them) are reproducible.
+    (and the surrogate keys built on them) are reproducible. Each payload
+    carries ``header.timestamp`` = the poll time (epoch seconds).
     """
     grouped = (entities.groupBy("poll_id")
                .agg(F.array_sort(F.collect_list(F.struct("k", "entity_json"))).alias("ents")))
+    fetched = F.timestamp_add("MINUTE", F.col("poll_id") * POLL_INTERVAL_MIN,
+                              F.lit(POLL_EPOCH).cast("timestamp_ntz"))
+    header = F.to_json(F.struct(F.lit("2.0").alias("gtfsRealtimeVersion"),
+                                F.unix_seconds(fetched.cast("timestamp")).alias("timestamp")))
     return grouped.select(
         F.lit(feed).alias("feed"),
         F.format_string(f"{feed}/poll-%08d.json", F.col("poll_id")).alias("source_file"),
-        F.timestamp_add("MINUTE", F.col("poll_id") * POLL_INTERVAL_MIN,
-                        F.lit(POLL_EPOCH).cast("timestamp_ntz")).alias("fetched_at"),
-        F.concat(F.lit('{"entity":['),
+        fetched.alias("fetched_at"),
+        F.concat(F.lit('{"header":'), header, F.lit(',"entity":['),
                  F.array_join(F.transform("ents", lambda e: e["entity_json"]), ","),
                  F.lit("]}")).alias("payload"),
     )
 
 
+def staged_polls(spark: SparkSession, d: str, feed: str) -> str:
+    """Stage the derived poll payloads once as JSON-lines files; return the folder.
+
+    This is the shape real polls arrive in (files on shared storage). The
+    folder lives under the cluster's ``spark.checkpoint.dir`` and is keyed
+    by the source tables' paths, sizes and modification times, so a changed
+    input re-stages. A folder without Spark's ``_SUCCESS`` marker (an
+    interrupted write) is rewritten.
+    """
+    from tramline.session import ensure_checkpoint_dir
+    from tramline.sources.tables import table_path
+    sources = {"trip-update": ("orders", "lineitem"), "alert": ("conversations",)}[feed]
+    sig = hashlib.sha1()
+    for t in sources:
+        p = os.path.abspath(table_path(d, t))
+        st = os.stat(p) if os.path.exists(p) else None
+        sig.update(f"{p}:{st.st_size if st else 0}:{st.st_mtime_ns if st else 0};".encode())
+    root = ensure_checkpoint_dir(spark)
+    if root.startswith("file:"):
+        root = root[len("file:"):]
+    path = os.path.join(root, "tramline-staged-polls", sig.hexdigest()[:16], feed)
+    if not _has_success(spark, path):
+        build = trip_feed_polls if feed == "trip-update" else alert_feed_polls
+        build(spark, d).select("payload").write.mode("overwrite").text(path)
+    return path
+
+
+def _has_success(spark: SparkSession, path: str) -> bool:
+    """True when Spark committed a write at ``path`` (its ``_SUCCESS`` marker exists)."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.text(path + "/_SUCCESS")
+        return True
+    except AnalysisException:
+        return False
+
+
 def trip_feed_polls(spark: SparkSession, d: str) -> DataFrame:
     """Trip-update poll payloads: one entity per order, its lines as stops.
 
@@ -232,7 +276,10 @@ def trip_feed_polls(spark: SparkSession, d: str) -> DataFrame:
                        ).alias("stops")))
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate",
                    "o_orderstatus").repartition("o_orderkey")
-    e = o.join(stops_per_order, o.o_orderkey == stops_per_order.l_orderkey, "left")
+    # Both sides are already hash-partitioned on the order key: a merge join
+    # needs no exchange (AQE would otherwise broadcast the stop arrays).
+    e = o.join(stops_per_order.hint("merge"), o.o_orderkey == stops_per_order.l_orderkey,
+               "left")
     ts = _unix("o_orderdate") + F.col("o_orderkey") % 86400
     stu = F.transform("stops", lambda x: x["s"])
     common = [

@@ -28,16 +28,17 @@ FACT_TABLES = ("trip_updates", "trip_stop_updates", "service_alerts",
 
 def poll_stream(spark: SparkSession, path: str, feed: str,
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """STR-1/STR-2: a stream of poll files; ``fetched_at`` = file modification time."""
+    """STR-1/STR-2: a stream of poll files; ``fetched_at`` = header time, else file mtime."""
     r = spark.readStream.schema(FEED_MESSAGE).option("multiLine", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.json(path)
+    msg = F.struct(*[F.col(c) for c in FEED_MESSAGE.fieldNames()])
     return raw.select(
         F.lit(feed).alias("feed"),
         F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("fetched_at"),
-        F.struct(*[F.col(c) for c in FEED_MESSAGE.fieldNames()]).alias("msg"),
+        R.poll_time(msg, F.col("_metadata.file_modification_time")).alias("fetched_at"),
+        msg.alias("msg"),
     )
 
 
