@@ -149,3 +149,23 @@ def test_flatten_and_summary(polls, stations):
     s2 = R.flatten(trips, alerts)["summary"].first()
     assert s2.station_filter == "None (Full Network)" and s2.trips_inserted == 3
     assert s2.resolved_stop_ids_count == 0
+
+
+def test_missing_stop_id_strict_and_quarantine(spark, scratch):
+    # T-3: a stop without stopId breaks NOT NULL; strict refuses the poll,
+    # quarantine keeps the good rows and diverts the bad one.
+    poll = {"entity": [{"id": "x1", "tripUpdate": {"trip": {"tripId": "t9"},
+                        "stopTimeUpdate": [{"stopSequence": 1, "stopId": "A"},
+                                           {"stopSequence": 2}]}}]}
+    tdir = _stage(scratch, "trip", "p.json", poll)
+    adir = _stage(scratch, "alert", "a.json", {"entity": []})
+    trips = R.read_poll_files(spark, tdir, "trip-update")
+    alerts = R.read_poll_files(spark, adir, "alert")
+    with pytest.raises(R.InvalidFeedRows):
+        R.flatten(trips, alerts, on_invalid="strict")
+    q = R.flatten(trips, alerts, on_invalid="quarantine")
+    assert [r.stop_id for r in q["trip_stop_updates"].collect()] == ["A"]
+    rej = q["rejected"].collect()
+    assert len(rej) == 1 and rej[0].table_name == "trip_stop_updates"
+    assert rej[0].reason == "stop_id is null"
+    assert R.flatten(trips, alerts)["trip_stop_updates"].count() == 2  # keep

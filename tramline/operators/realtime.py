@@ -265,20 +265,69 @@ def ingest_summary(trip_feed_ents: DataFrame, kept_trip_ents: DataFrame,
 
 
 # ------------------------------------------------------------- one call
+# NOT NULL columns of the warehouse fact tables that come from the feed.
+FACT_NOT_NULL = {
+    "trip_updates": ["entity_id", "trip_id"],
+    "trip_stop_updates": ["stop_sequence", "stop_id"],
+    "service_alerts": ["entity_id"],
+    "alert_texts": ["field_name"],
+}
+
+
+class InvalidFeedRows(ValueError):
+    """Raised in ``strict`` mode when a fact row breaks a NOT NULL column."""
+
+
+def enforce_not_null(tables: dict[str, DataFrame], mode: str = "keep") -> dict[str, DataFrame]:
+    """T-3: rows that would break a NOT NULL column (e.g. a stop without ``stopId``).
+
+    ``keep``: unchanged (lazy). ``strict``: like the reference's single
+    commit — nothing is accepted if any row is bad (raises before writing).
+    ``quarantine``: bad rows leave their table and go to ``rejected`` as
+    (table, reason, row JSON); good rows are kept.
+    """
+    if mode == "keep":
+        return tables
+    out = dict(tables)
+    rejected = []
+    for name, cols in FACT_NOT_NULL.items():
+        if name not in tables:
+            continue
+        df = tables[name]
+        bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+        if mode == "strict":
+            if not df.filter(bad).isEmpty():
+                raise InvalidFeedRows(f"{name}: NULL in a NOT NULL column of {cols}")
+            continue
+        reason = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(f"{c} is null"))
+                                    for c in cols])
+        out[name] = df.filter(~bad)
+        rejected.append(df.filter(bad).select(
+            F.lit(name).alias("table_name"), reason.alias("reason"),
+            F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("row_json")))
+    if mode == "quarantine":
+        spark = next(iter(tables.values())).sparkSession
+        out["rejected"] = (reduce(DataFrame.unionByName, rejected) if rejected else
+                           spark.createDataFrame([], "table_name string, reason string, "
+                                                     "row_json string"))
+    return out
+
+
 def flatten(trip_polls: DataFrame, alert_polls: DataFrame,
             dim_stations: DataFrame | None = None, station_filter=None,
-            on_no_match: str = "all") -> dict[str, DataFrame]:
+            on_no_match: str = "all", on_invalid: str = "keep") -> dict[str, DataFrame]:
     """Both feeds -> the six fact tables and the summary (lazy DataFrames).
 
     Callers that write several outputs should persist the entity frames
     (``streaming.ingest`` does, per micro-batch) so JSON is parsed once.
+    ``on_invalid`` handles NOT NULL breaks: keep / strict / quarantine.
     """
     t_ents = entities(trip_polls)
     a_ents = alert_entities(entities(alert_polls))
     ids = (resolve_station_ids(dim_stations, station_filter)
            if dim_stations is not None else None)
     kept = filter_trips_by_stations(trip_update_entities(t_ents), ids, on_no_match)
-    return {
+    tables = {
         "trip_updates": trip_updates(kept),
         "trip_stop_updates": trip_stop_updates(kept),
         "service_alerts": service_alerts(a_ents),
@@ -287,3 +336,4 @@ def flatten(trip_polls: DataFrame, alert_polls: DataFrame,
         "alert_informed_entities": alert_informed_entities(a_ents),
         "summary": ingest_summary(t_ents, kept, a_ents, station_filter, ids),
     }
+    return enforce_not_null(tables, on_invalid)

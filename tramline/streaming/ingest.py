@@ -43,14 +43,19 @@ def poll_stream(spark: SparkSession, path: str, feed: str,
 
 
 def flatten_batch(batch: DataFrame, batch_id: int, out_root: str,
-                  dim_stations: DataFrame | None = None, station_filter=None) -> None:
-    """SNK-4: one micro-batch -> every fact table's ``batch_id`` partition."""
+                  dim_stations: DataFrame | None = None, station_filter=None,
+                  on_invalid: str = "strict") -> None:
+    """SNK-4: one micro-batch -> every fact table's ``batch_id`` partition.
+
+    ``strict`` (default, as the reference): a NOT NULL break fails the batch
+    before anything is written; ``quarantine`` writes bad rows to ``rejected``.
+    """
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         trips = batch.filter(F.col("feed") == "trip-update")
         alerts = batch.filter(F.col("feed") == "alert")
-        tables = R.flatten(trips, alerts, dim_stations, station_filter)
-        for name in FACT_TABLES:
+        tables = R.flatten(trips, alerts, dim_stations, station_filter, on_invalid=on_invalid)
+        for name in FACT_TABLES + (("rejected",) if "rejected" in tables else ()):
             write_batch_partition(tables[name], os.path.join(out_root, name), batch_id)
     finally:
         batch.unpersist()
@@ -59,14 +64,15 @@ def flatten_batch(batch: DataFrame, batch_id: int, out_root: str,
 def start_ingest(spark: SparkSession, trip_dir: str, alert_dir: str, out_root: str,
                  checkpoint: str | None = None, dim_stations: DataFrame | None = None,
                  station_filter=None, available_now: bool = True,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None,
+                 on_invalid: str = "strict") -> StreamingQuery:
     """Start the ingest stream over both feeds' staged poll folders."""
     polls = poll_stream(spark, trip_dir, "trip-update", max_files_per_trigger).unionByName(
         poll_stream(spark, alert_dir, "alert", max_files_per_trigger))
     ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "tramline-ingest")
     w = (polls.writeStream.option("checkpointLocation", ckpt)
          .foreachBatch(lambda df, bid: flatten_batch(df, bid, out_root, dim_stations,
-                                                     station_filter)))
+                                                     station_filter, on_invalid)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 minutes")
     return w.start()
 
