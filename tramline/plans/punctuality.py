@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tramline.functions.timecols import (
     ON_TIME_THRESHOLD_S, local_hour, on_time_flag, train_category,
 )
-from tramline.operators.aggregates import minutes, share_of_total
+from tramline.operators.aggregates import minutes, share_of_total_window
 
 RAIL = 2
 LOW_SAMPLE_TRAINS = 30  # D-8 default: flag groups built from fewer trains
@@ -125,7 +125,8 @@ def kpi_by_category(star_df: DataFrame) -> DataFrame:
         F.count_distinct("route_id").alias("distinct_routes"),
         F.coalesce(delayed_seconds(), F.lit(0).cast("bigint")).alias("delayed_s"),
     )
-    g = share_of_total(g, "delayed_s", "delay_share_pct")
+    # at most four categories (IC, S, L, Other): the total is a window over them
+    g = share_of_total_window(g, "delayed_s", "delay_share_pct")
     return g.withColumn("total_delayed_min", minutes(F.col("delayed_s"))).drop("delayed_s")
 
 
@@ -133,7 +134,8 @@ def delay_burden_by_category(star_df: DataFrame) -> DataFrame:
     """A-14: delayed minutes per category and each category's share."""
     g = star_df.groupBy("train_category").agg(
         F.coalesce(delayed_seconds(), F.lit(0).cast("bigint")).alias("delayed_s"))
-    g = share_of_total(g, "delayed_s", "delay_share_pct")
+    # at most four categories (IC, S, L, Other): the total is a window over them
+    g = share_of_total_window(g, "delayed_s", "delay_share_pct")
     return g.withColumn("total_delayed_min", minutes(F.col("delayed_s"))).drop("delayed_s")
 
 

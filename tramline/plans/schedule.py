@@ -157,8 +157,12 @@ def classified_services(calendar_dates: DataFrame) -> DataFrame:
         "service_id", classify_frequency("typical_days_per_week").alias("frequency_category"))
 
 
-def service_frequency(calendar_dates: DataFrame, window_total: bool = False) -> DataFrame:
-    """Q4: services per frequency class and their share (2 decimals)."""
+def service_frequency(calendar_dates: DataFrame, window_total: bool = True) -> DataFrame:
+    """Q4: services per frequency class and their share (2 decimals).
+
+    Three classes at most, so the total is a window over three rows
+    (``window_total=False`` uses the general A-9 form).
+    """
     counts = (classified_services(calendar_dates).groupBy("frequency_category")
               .agg(F.count(F.lit(1)).alias("service_count")))
     share = share_of_total_window if window_total else share_of_total
