@@ -86,3 +86,31 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     spark.sparkContext.setCheckpointDir(d)
     spark.conf.set("spark.checkpoint.dir", d)
     return d
+
+
+def recommended_conf(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a cluster run, derived from the input volume.
+
+    Shuffle partitions start at ~input / target size (at least 2 per core) so
+    every post-shuffle task handles about ``target_partition_bytes`` even
+    before AQE coalesces small ones; scans split at the same size. At 100 TB
+    and 256 MiB that is ~400k initial shuffle partitions — AQE coalesces what
+    turns out small and splits skewed join partitions (a hot key holding a
+    third of the rows is split across many tasks).
+    """
+    initial = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes":
+            str(2 * target_partition_bytes),
+        # keep the broadcast threshold small and fixed: dimension tables only
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        # runtime bloom filters prune a huge fact scan by a small filtered side
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    }
