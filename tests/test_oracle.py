@@ -55,6 +55,8 @@ def test_query_matches_oracle(spark, duck, key):
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    temporal = [c for c, t in df.dtypes if t == "date" or t.startswith("timestamp")]
+    assert temporal == [], f"add {temporal} to catalog.TEMPORAL"
     assert len(rows) == len(orows)
     assert _canon(df.columns, rows) == _canon(ocols, orows)
 
