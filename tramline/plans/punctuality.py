@@ -64,9 +64,14 @@ def latest_per_key(df: DataFrame, key: str, ts: str, cols) -> DataFrame:
 
 # --------------------------------------------------------------- J-8 the star
 def trip_headers(trip_updates: DataFrame, dim_trips: DataFrame, dim_routes: DataFrame,
-                 latest_only: bool = True, route_type: int | None = RAIL) -> DataFrame:
-    """Snapshot headers with their trip's route and train category."""
-    tu = latest_updates(trip_updates) if latest_only else trip_updates
+                 latest_only: bool = True, route_type: int | None = RAIL,
+                 latest_keys=("trip_id",)) -> DataFrame:
+    """Snapshot headers with their trip's route and train category.
+
+    ``latest_keys``: the reference keys "latest" by trip only (T-8); pass
+    ``("trip_id", "start_date")`` to keep one snapshot per trip and day.
+    """
+    tu = latest_updates(trip_updates, latest_keys) if latest_only else trip_updates
     r = dim_routes if route_type is None else dim_routes.filter(F.col("route_type") == route_type)
     r = r.select("route_id", "route_short_name",
                  train_category("route_short_name").alias("train_category"))
@@ -76,9 +81,10 @@ def trip_headers(trip_updates: DataFrame, dim_trips: DataFrame, dim_routes: Data
 
 def star(stop_updates: DataFrame, trip_updates: DataFrame, dim_trips: DataFrame,
          dim_routes: DataFrame, dim_stations: DataFrame, latest_only: bool = True,
-         route_type: int | None = RAIL, tz: str = "UTC") -> DataFrame:
+         route_type: int | None = RAIL, tz: str = "UTC", latest_keys=("trip_id",)) -> DataFrame:
     """J-8: one row per stop event with trip, route, category and station."""
-    heads = trip_headers(trip_updates, dim_trips, dim_routes, latest_only, route_type)
+    heads = trip_headers(trip_updates, dim_trips, dim_routes, latest_only, route_type,
+                         latest_keys)
     f = stop_updates.join(heads, "update_pk")
     st = dim_stations.select("stop_id", "stop_name", "parent_station", "platform_code")
     f = f.join(st, "stop_id", "left")
