@@ -83,3 +83,20 @@ def test_latest_keeps_only_the_max_timestamp_per_trip(spark, snaps):
     assert all(r.n == 1 for r in per_trip)
     # ties are all kept
     assert latest.count() == sum(1 for t, ts in snaps if ts == want[t])
+
+
+@SETTINGS
+@given(st.lists(st.integers(min_value=-(2 ** 63), max_value=2 ** 63 - 1), min_size=1,
+                max_size=20))
+def test_decode_long_roundtrip(spark, values):
+    from tramline.functions.timecols import decode_long
+
+    def obj(v):
+        low = v & 0xFFFFFFFF
+        low = low - 2 ** 32 if low >= 2 ** 31 else low   # protobuf Long: signed 32-bit parts
+        return json.dumps({"low": low, "high": v >> 32, "unsigned": False})
+
+    rows = [(obj(v), str(v), v) for v in values]
+    df = spark.createDataFrame(rows, "o string, n string, v long")
+    got = df.select(decode_long("o").alias("a"), decode_long("n").alias("b"), "v").collect()
+    assert all(r.a == r.v and r.b == r.v for r in got)
