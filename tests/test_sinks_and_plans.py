@@ -112,3 +112,21 @@ def test_filters_reach_the_scan(spark):
         F.col("o_orderdate") < F.lit("1993-01-01").cast("timestamp_ntz"))
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate" in plan
+
+
+def test_fact_layout_splits_a_hot_trip(spark, scratch):
+    # one trip holds most rows of the day: it must still be written by several tasks
+    p = os.path.join(scratch, "hot")
+    df = spark.range(0, 20000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.col("id").cast("string"))
+         .alias("trip_id"),
+        F.lit("2024-01-02 09:00:00").cast("timestamp_ntz").alias("fetched_at"),
+        F.col("id"))
+    K.write_fact_layout(df, p, num_partitions=8)
+    files = [f for f in os.listdir(os.path.join(p, "fetched_date=2024-01-02"))
+             if f.endswith(".parquet")]
+    hot_files = [f for f in files
+                 if spark.read.parquet(os.path.join(p, "fetched_date=2024-01-02", f))
+                 .filter(F.col("trip_id") == "hot").limit(1).count()]
+    assert len(hot_files) >= 3
+    assert spark.read.parquet(p).count() == 20000

@@ -69,16 +69,25 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def write_fact_layout(df: DataFrame, path: str, ts_col: str = "fetched_at",
-                      sort_col: str = "trip_id", mode: str = "overwrite") -> None:
+                      sort_col: str = "trip_id", mode: str = "overwrite",
+                      num_partitions: int | None = None) -> None:
     """SNK-5: partition by poll date, files range-sorted by ``sort_col``.
 
-    ``repartitionByRange(date, key)`` spreads one day over many tasks (no
-    single task per date) and leaves each file sorted by the key, so Parquet
-    min/max statistics let readers skip files for a trip or stop filter.
+    ``repartitionByRange(date, key, row hash)`` spreads one day over many
+    tasks and leaves each file sorted by the key, so Parquet min/max
+    statistics let readers skip files for a trip or stop filter. The row-hash
+    tiebreak lets range bounds fall *inside* one key, so a trip holding a
+    third of a day's rows is still written by many tasks. Without
+    ``num_partitions`` AQE sizes the range partitions from the data.
     """
-    out = df.withColumn("fetched_date", F.to_date(ts_col))
-    (out.repartitionByRange("fetched_date", sort_col)
+    out = (df.withColumn("fetched_date", F.to_date(ts_col))
+             .withColumn("_tiebreak", F.xxhash64(*[F.col(c) for c in df.columns])))
+    keys = ["fetched_date", sort_col, "_tiebreak"]
+    ranged = (out.repartitionByRange(num_partitions, *keys) if num_partitions
+              else out.repartitionByRange(*keys))
+    (ranged
         .sortWithinPartitions("fetched_date", sort_col)
+        .drop("_tiebreak")
         .write.mode(mode).partitionBy("fetched_date").parquet(path))
 
 
