@@ -265,5 +265,8 @@ SELECT s.stop_name, s.platform_code, COUNT(*) AS stop_events
 FROM fact_stop_updates f LEFT JOIN stops s ON f.stop_id = s.stop_id
 GROUP BY s.stop_name, s.platform_code""")
 def left_join_stations_q(spark, d):
-    j = left_join_stations(X.fact_stop_updates(spark, d).select("stop_id"), X.stops(spark, d))
-    return j.groupBy("stop_name", "platform_code").agg(F.count(F.lit(1)).alias("stop_events"))
+    # count events per stop first; the soft-reference join then sees one row per stop
+    per_stop = X.fact_stop_updates(spark, d).groupBy("stop_id").agg(F.count(F.lit(1)).alias("_n"))
+    j = left_join_stations(per_stop, X.stops(spark, d))
+    return j.groupBy("stop_name", "platform_code").agg(
+        F.sum("_n").cast("bigint").alias("stop_events"))

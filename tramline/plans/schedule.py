@@ -38,21 +38,56 @@ def stop_times_with_routes(stop_times: DataFrame, trips: DataFrame, routes: Data
     return stop_times.join(t, "trip_id")
 
 
+# SC-1 yields only these texts (or NULL): a fixed, rule-built set of groups.
+TEXT_HOURS = [f"{h:02d}" for h in range(25)]
+
+
 def peak_departure_hours(stop_times: DataFrame, trips: DataFrame, routes: DataFrame,
                          route_type: int = RAIL, k: int = 3) -> DataFrame:
     """Q1: top-k departure hours by number of stop departures.
 
     The hour is the reference's text hour (NULL for 25:xx and malformed
     times, and NULL is a group of its own). Ties broken by hour.
+
+    Plan: stop_times are first reduced to one row per trip holding a
+    counter per text hour (a hash aggregate, combined map-side — a trip with
+    huge numbers of stops collapses to one row per task), then joined to the
+    rail trips, summed, and unpivoted. The join never sees raw stop rows.
     """
-    st = stop_times.select("trip_id",
-                           hour_of_text_time("departure_time").alias("departure_hour"))
-    j = stop_times_with_routes(st, trips, routes.select("route_id", "route_type"), route_type)
-    return (j.groupBy("departure_hour").agg(F.count(F.lit(1)).alias("departure_count"))
+    hour = hour_of_text_time("departure_time")
+    names = [f"h{h}" for h in TEXT_HOURS] + ["h_null"]
+    per_trip = stop_times.groupBy("trip_id").agg(
+        *[count_if(hour == F.lit(h)).alias(f"h{h}") for h in TEXT_HOURS],
+        count_if(hour.isNull()).alias("h_null"))
+    rail = rail_routes(routes.select("route_id", "route_type"), route_type)
+    t = trips.select("trip_id", "route_id").join(rail, "route_id").select("trip_id")
+    totals = per_trip.join(t, "trip_id").agg(*[F.sum(c).alias(c) for c in names])
+    long = totals.unpivot([], names, "_h", "departure_count")
+    return (long.filter(F.col("departure_count") > 0)
+            .select(F.when(F.col("_h") != "h_null", F.substring("_h", 2, 2)).alias("departure_hour"),
+                    F.col("departure_count").cast("bigint").alias("departure_count"))
             .orderBy(F.col("departure_count").desc(), F.col("departure_hour").asc_nulls_last())
             .limit(k))
 
 
+def stop_events_per_route(stop_times: DataFrame, trips: DataFrame, routes: DataFrame,
+                          route_type: int | None = None) -> DataFrame:
+    """J-1 aggregated: stop events and trips served per route.
+
+    Stop rows are counted per trip first (map-side combined), so the joins
+    see one row per trip instead of one per stop.
+    """
+    per_trip = stop_times.groupBy("trip_id").agg(F.count(F.lit(1)).alias("_n"))
+    r = routes.select("route_id", "route_type")
+    if route_type is not None:
+        r = rail_routes(r, route_type)
+    t = trips.select("trip_id", "route_id").join(r, "route_id")
+    j = per_trip.join(t, "trip_id")
+    return j.groupBy("route_id", "route_type").agg(
+        F.sum("_n").cast("bigint").alias("stop_events"),
+        F.count_distinct("trip_id").alias("trips_served"))
+
+
 def trip_service_span(stop_times: DataFrame) -> DataFrame:
     """SC-2 in use: first and last departure of each trip in service seconds."""
     s = stop_times.select("trip_id", service_seconds("departure_time").alias("_s"))
@@ -79,8 +114,10 @@ def busiest_platforms(stop_times: DataFrame, stops: DataFrame, station_text: str
     plats = (platforms_of(stops, station_text)
              .filter(F.col("platform_code").isNotNull())
              .select("stop_id", "platform_code"))
-    j = stop_times.select("stop_id").join(plats, "stop_id")
-    return (j.groupBy("platform_code").agg(F.count(F.lit(1)).alias("platform_usage_count"))
+    # count stop events per stop first: the join sees one row per stop
+    per_stop = stop_times.groupBy("stop_id").agg(F.count(F.lit(1)).alias("_n"))
+    j = per_stop.join(plats, "stop_id")
+    return (j.groupBy("platform_code").agg(F.sum("_n").cast("bigint").alias("platform_usage_count"))
             .orderBy(F.col("platform_usage_count").desc(), F.col("platform_code").asc())
             .limit(k))
 
@@ -123,8 +160,13 @@ def morning_destinations(trips: DataFrame, stop_times: DataFrame,
 
 
 def distinct_trips_per_headsign(trips: DataFrame, stop_times: DataFrame) -> DataFrame:
-    """A-3: COUNT(DISTINCT trip_id) per headsign over trips ⋈ stop_times."""
-    j = trips.select("trip_id", "trip_headsign").join(stop_times.select("trip_id"), "trip_id")
+    """A-3: COUNT(DISTINCT trip_id) per headsign over trips ⋈ stop_times.
+
+    Only the existence of a stop matters for a distinct count, so stop_times
+    is reduced to its distinct trip ids (map-side) and semi-joined.
+    """
+    served = stop_times.select("trip_id").distinct()
+    j = trips.select("trip_id", "trip_headsign").join(served, "trip_id", "left_semi")
     return j.groupBy("trip_headsign").agg(F.count_distinct("trip_id").alias("trip_count"))
 
 
