@@ -18,11 +18,19 @@ CURATED = ["NATION_0", "NATION_3", "NATION_7", "NATION_12", "NATION_18", "NATION
 
 
 def _star(spark, d, latest_only=True):
+    """Row-level star (J-8)."""
     return P.star(X.fact_stop_updates(spark, d), X.fact_trip_updates(spark, d),
                   X.star_dim_trips(spark, d), X.star_dim_routes(spark, d), X.stops(spark, d),
                   latest_only=latest_only)
 
 
+def _parts(spark, d, keys=(), latest_only=True):
+    """Star over per-snapshot partial sums, keyed by the fact-side dimensions named."""
+    return P.star_partials(X.fact_stop_updates(spark, d), X.fact_trip_updates(spark, d),
+                           X.star_dim_trips(spark, d), X.star_dim_routes(spark, d),
+                           X.stops(spark, d), fact_keys=keys, latest_only=latest_only)
+
+
 _CAT = f"COALESCE(regexp_extract(r.route_short_name, '{CATEGORY_PATTERN}', 1), '')"
 
 
@@ -71,7 +79,7 @@ SELECT {_MEASURES},
        ROUND(CAST(COUNT(arrival_delay) AS DOUBLE) / NULLIF(COUNT(*), 0), 4) AS delay_coverage
 FROM star""")
 def kpi_network(spark, d):
-    return P.kpi_network(_star(spark, d))
+    return P.kpi_network(_parts(spark, d))
 
 
 @register("kpi_by_category", _star_sql() + f"""
@@ -83,7 +91,7 @@ FROM (SELECT train_category, {_MEASURES}, COUNT(DISTINCT route_id) AS distinct_r
              {_DELAYED} AS delayed_s
       FROM star GROUP BY train_category)""")
 def kpi_by_category(spark, d):
-    return P.kpi_by_category(_star(spark, d))
+    return P.kpi_by_category(_parts(spark, d))
 
 
 @register("delay_burden_by_category", _star_sql() + f"""
@@ -91,7 +99,7 @@ SELECT train_category, {_SHARE} AS delay_share_pct,
        ROUND(CAST(delayed_s AS DOUBLE) / 60.0, 4) AS total_delayed_min
 FROM (SELECT train_category, {_DELAYED} AS delayed_s FROM star GROUP BY train_category)""")
 def delay_burden_by_category(spark, d):
-    return P.delay_burden_by_category(_star(spark, d))
+    return P.delay_burden_by_category(_parts(spark, d))
 
 
 @register("delay_coverage", _star_sql() + """
@@ -100,14 +108,14 @@ SELECT train_category, COUNT(*) AS stop_events, COUNT(arrival_delay) AS total_re
        ROUND(100.0 * CAST(COUNT(arrival_delay) AS DOUBLE) / COUNT(*), 2) AS coverage_pct
 FROM star GROUP BY train_category""")
 def delay_coverage(spark, d):
-    return P.delay_coverage(_star(spark, d))
+    return P.delay_coverage(_parts(spark, d))
 
 
 @register("routes_per_category", _star_sql() + """
 SELECT train_category, COUNT(DISTINCT route_id) AS distinct_routes
 FROM star GROUP BY train_category""")
 def routes_per_category(spark, d):
-    return P.routes_per_category(_star(spark, d))
+    return P.routes_per_category(_parts(spark, d))
 
 
 @register("on_time_flag", _star_sql() + """
@@ -128,7 +136,7 @@ SELECT COUNT(*) FILTER (WHERE arrival_delay < 120) AS on_time_count,
 FROM star""")
 def on_time_rate(spark, d):
     """A-12 over every snapshot (latest_only=False, T-7's other setting)."""
-    s = _star(spark, d, latest_only=False)
+    s = _parts(spark, d, latest_only=False)
     return P.kpi_network(s).select("on_time_count", "total_recorded", "on_time_rate")
 
 
@@ -156,28 +164,28 @@ def star_join(spark, d):
 SELECT stop_name, platform_code, {_MEASURES}, COUNT(DISTINCT trip_id) < 30 AS low_sample
 FROM star GROUP BY stop_name, platform_code""")
 def low_sample_flag(spark, d):
-    return P.low_sample_flag(_star(spark, d))
+    return P.low_sample_flag(_parts(spark, d, ("stop_id",)))
 
 
 # ------------------------------------------------------------ hour / station
 @register("hourly_matrix", _star_sql() + f"""
 SELECT arrival_hour, {_MEASURES} FROM star GROUP BY arrival_hour""")
 def hourly_matrix(spark, d):
-    return P.hourly_matrix(_star(spark, d))
+    return P.hourly_matrix(_parts(spark, d, ("arrival_hour",)))
 
 
 @register("platform_congestion", _star_sql() + f"""
 SELECT platform_code, {_MEASURES} FROM star WHERE stop_name = '{STATION}'
 GROUP BY platform_code""")
 def platform_congestion(spark, d):
-    return P.platform_congestion(_star(spark, d), STATION)
+    return P.platform_congestion(_parts(spark, d, ("stop_id",)), STATION)
 
 
 @register("station_hourly_volume", _star_sql() + f"""
 SELECT arrival_hour, COUNT(*) AS stop_events, COUNT(DISTINCT trip_id) AS distinct_trains
 FROM star WHERE stop_name = '{STATION}' GROUP BY arrival_hour""")
 def station_hourly_volume(spark, d):
-    return P.station_hourly_volume(_star(spark, d), STATION)
+    return P.station_hourly_volume(_parts(spark, d, ("stop_id", "arrival_hour")), STATION)
 
 
 _CURATED_SQL = ", ".join(f"'{n}'" for n in CURATED)
@@ -187,8 +195,9 @@ _CURATED_SQL = ", ".join(f"'{n}'" for n in CURATED)
 SELECT stop_name, COUNT(*) AS stop_events, COUNT(DISTINCT trip_id) AS distinct_trains
 FROM star WHERE stop_name IN ({_CURATED_SQL}) GROUP BY stop_name""")
 def curated_stations(spark, d):
-    return P.curated_rows(_star(spark, d), CURATED).groupBy("stop_name").agg(
-        F.count(F.lit(1)).alias("stop_events"), F.count_distinct("trip_id").alias("distinct_trains"))
+    return P.curated_rows(_parts(spark, d, ("stop_id",)), CURATED).groupBy("stop_name").agg(
+        F.sum("_events").cast("bigint").alias("stop_events"),
+        F.count_distinct("trip_id").alias("distinct_trains"))
 
 
 @register("station_ranking", _star_sql() + f"""
@@ -196,7 +205,7 @@ SELECT *, ROW_NUMBER() OVER (ORDER BY on_time_rate DESC NULLS LAST, stop_name) A
 FROM (SELECT stop_name, {_MEASURES}, COUNT(DISTINCT trip_id) < 30 AS low_sample
       FROM star WHERE stop_name IN ({_CURATED_SQL}) GROUP BY stop_name)""")
 def station_ranking(spark, d):
-    return P.station_ranking(_star(spark, d), CURATED)
+    return P.station_ranking(_parts(spark, d, ("stop_id",)), CURATED)
 
 
 _BUSY = """
@@ -209,7 +218,7 @@ WHERE n_platforms > 1 ORDER BY stop_events DESC, station_id LIMIT 7"""
 @register("busy_multi_platform_stations", _star_sql(extra={"busy": _BUSY}) + """
 SELECT * FROM busy""")
 def busy_multi_platform_stations(spark, d):
-    return P.busy_multi_platform_stations(_star(spark, d))
+    return P.busy_multi_platform_stations(_parts(spark, d, ("stop_id",)))
 
 
 @register("station_peak_hour", _star_sql(extra={"busy": _BUSY}) + """
@@ -223,7 +232,7 @@ FROM (SELECT station_id, arrival_hour, avg_s,
             GROUP BY station_id, arrival_hour HAVING COUNT(arrival_delay) > 0))
 WHERE rn = 1""")
 def station_peak_hour(spark, d):
-    return P.station_peak_hour(_star(spark, d))
+    return P.station_peak_hour(_parts(spark, d, ("stop_id", "arrival_hour")))
 
 
 @register("canonical_station", _star_sql(extra={"translations": X.SQL["translations"]}) + """
@@ -235,7 +244,8 @@ LEFT JOIN stops s ON s.stop_id = g.station_id
 LEFT JOIN translations tr ON tr.table_name = 'stops' AND tr.field_name = 'stop_name'
       AND tr.field_value = s.stop_name AND tr.language = 'en'""")
 def canonical_station(spark, d):
-    return P.canonical_station(_star(spark, d), X.stops(spark, d), X.translations(spark, d))
+    return P.canonical_station(_parts(spark, d, ("stop_id",)), X.stops(spark, d),
+                               X.translations(spark, d))
 
 
 # ---------------------------------------------------------------- W-3, J-7

@@ -92,79 +92,124 @@ def star(stop_updates: DataFrame, trip_updates: DataFrame, dim_trips: DataFrame,
              .withColumn("station_id", F.coalesce("parent_station", "stop_id")))
 
 
-# ------------------------------------------------------------------ measures
-def _delay(c: str = "arrival_delay") -> Column:
-    return F.col(c)
+# ------------------------------------------------------------- partial sums
+# Every measure below is a sum of these per-row quantities, so the fact table
+# can be reduced to one row per snapshot (per update_pk and whatever fact-side
+# dimension a breakdown needs) *before* the star join: the join and its
+# shuffle see one row per snapshot instead of one per stop.
+PARTIALS = ("_events", "_recorded", "_on_time", "_delay_s", "_delayed_s")
+
+
+def _partial_aggs(delay: str = "arrival_delay", threshold: int = ON_TIME_THRESHOLD_S):
+    d = F.col(delay)
+    return [F.count(F.lit(1)).alias("_events"), F.count(d).alias("_recorded"),
+            F.count_if(on_time_flag(d, threshold)).alias("_on_time"),
+            F.sum(d.cast("bigint")).alias("_delay_s"),
+            F.sum(F.greatest(d, F.lit(0)).cast("bigint")).alias("_delayed_s")]
+
+
+def as_partials(star_df: DataFrame, delay: str = "arrival_delay",
+                threshold: int = ON_TIME_THRESHOLD_S) -> DataFrame:
+    """A row-level star as partials (each row a partial of itself)."""
+    d = F.col(delay)
+    return star_df.withColumns({
+        "_events": F.lit(1).cast("bigint"),
+        "_recorded": F.when(d.isNotNull(), 1).otherwise(0).cast("bigint"),
+        "_on_time": F.when(on_time_flag(d, threshold), 1).otherwise(0).cast("bigint"),
+        "_delay_s": d.cast("bigint"),
+        "_delayed_s": F.greatest(d, F.lit(0)).cast("bigint"),
+    })
+
+
+def star_partials(stop_updates: DataFrame, trip_updates: DataFrame, dim_trips: DataFrame,
+                  dim_routes: DataFrame, dim_stations: DataFrame | None = None,
+                  fact_keys=(), latest_only: bool = True, route_type: int | None = RAIL,
+                  tz: str = "UTC", latest_keys=("trip_id",)) -> DataFrame:
+    """J-8 for measures: fact partial sums per (update_pk, *fact_keys) joined to the star.
+
+    ``fact_keys`` may name ``stop_id`` (then stations are joined) and
+    ``arrival_hour`` (hour of arrival in ``tz``).
+    """
+    fact = stop_updates
+    if "arrival_hour" in fact_keys:
+        fact = fact.withColumn("arrival_hour", local_hour("arrival_time", tz))
+    parts = fact.groupBy("update_pk", *fact_keys).agg(*_partial_aggs())
+    heads = trip_headers(trip_updates, dim_trips, dim_routes, latest_only, route_type,
+                         latest_keys)
+    j = parts.join(heads, "update_pk")
+    if "stop_id" in fact_keys and dim_stations is not None:
+        st = dim_stations.select("stop_id", "stop_name", "parent_station", "platform_code")
+        j = (j.join(st, "stop_id", "left")
+              .withColumn("station_id", F.coalesce("parent_station", "stop_id")))
+    return j
 
 
-def measure_columns(delay: str = "arrival_delay", threshold: int = ON_TIME_THRESHOLD_S):
-    """A-12/A-13/A-15/A-16 columns shared by every breakdown."""
-    d = _delay(delay)
-    recorded = F.count(d)
+# ------------------------------------------------------------------ measures
+def measure_columns():
+    """A-12/A-13/A-15/A-16 columns shared by every breakdown (over partials)."""
+    recorded = F.sum("_recorded")
     return [
-        F.count(F.lit(1)).alias("stop_events"),
+        F.sum("_events").cast("bigint").alias("stop_events"),
         F.count_distinct("trip_id").alias("distinct_trains"),
-        recorded.alias("total_recorded"),
-        F.count_if(on_time_flag(d, threshold)).alias("on_time_count"),
-        F.round(F.try_divide(F.count_if(on_time_flag(d, threshold)), recorded), 4
-                ).alias("on_time_rate"),
-        minutes(F.sum(d.cast("bigint")), recorded).alias("avg_delay_min"),
+        recorded.cast("bigint").alias("total_recorded"),
+        F.sum("_on_time").cast("bigint").alias("on_time_count"),
+        F.round(F.try_divide(F.sum("_on_time"), recorded), 4).alias("on_time_rate"),
+        minutes(F.sum("_delay_s"), recorded).alias("avg_delay_min"),
     ]
 
 
-def kpi_network(star_df: DataFrame) -> DataFrame:
+def kpi_network(parts: DataFrame) -> DataFrame:
     """D-1: network on-time rate, coverage and volumes (one row)."""
-    return star_df.agg(*measure_columns(),
-                       F.round(F.try_divide(F.count("arrival_delay"), F.count(F.lit(1))), 4
-                               ).alias("delay_coverage"))
+    return parts.agg(*measure_columns(),
+                     F.round(F.try_divide(F.sum("_recorded"), F.sum("_events")), 4
+                             ).alias("delay_coverage"))
 
 
-def delayed_seconds(delay: str = "arrival_delay") -> Column:
+def _delayed_total():
     """A-14: early arrivals add 0 delayed seconds."""
-    return F.sum(F.greatest(F.col(delay), F.lit(0)).cast("bigint"))
+    return F.coalesce(F.sum("_delayed_s"), F.lit(0).cast("bigint")).cast("bigint")
 
 
-def kpi_by_category(star_df: DataFrame) -> DataFrame:
+def kpi_by_category(parts: DataFrame) -> DataFrame:
     """D-2: per train category — average delay, total delayed minutes and share."""
-    g = star_df.groupBy("train_category").agg(
+    g = parts.groupBy("train_category").agg(
         *measure_columns(),
         F.count_distinct("route_id").alias("distinct_routes"),
-        F.coalesce(delayed_seconds(), F.lit(0).cast("bigint")).alias("delayed_s"),
+        _delayed_total().alias("delayed_s"),
     )
     # at most four categories (IC, S, L, Other): the total is a window over them
     g = share_of_total_window(g, "delayed_s", "delay_share_pct")
     return g.withColumn("total_delayed_min", minutes(F.col("delayed_s"))).drop("delayed_s")
 
 
-def delay_burden_by_category(star_df: DataFrame) -> DataFrame:
+def delay_burden_by_category(parts: DataFrame) -> DataFrame:
     """A-14: delayed minutes per category and each category's share."""
-    g = star_df.groupBy("train_category").agg(
-        F.coalesce(delayed_seconds(), F.lit(0).cast("bigint")).alias("delayed_s"))
+    g = parts.groupBy("train_category").agg(_delayed_total().alias("delayed_s"))
     # at most four categories (IC, S, L, Other): the total is a window over them
     g = share_of_total_window(g, "delayed_s", "delay_share_pct")
     return g.withColumn("total_delayed_min", minutes(F.col("delayed_s"))).drop("delayed_s")
 
 
-def delay_coverage(star_df: DataFrame, by: str = "train_category") -> DataFrame:
+def delay_coverage(parts: DataFrame, by: str = "train_category") -> DataFrame:
     """A-16: recorded vs missing delays per group."""
-    return star_df.groupBy(by).agg(
-        F.count(F.lit(1)).alias("stop_events"),
-        F.count("arrival_delay").alias("total_recorded"),
-        F.count_if(F.col("arrival_delay").isNull()).alias("missing"),
-        F.round(F.lit(100.0) * F.count("arrival_delay") / F.count(F.lit(1)), 2
-                ).alias("coverage_pct"),
+    ev, rec = F.sum("_events"), F.sum("_recorded")
+    return parts.groupBy(by).agg(
+        ev.cast("bigint").alias("stop_events"),
+        rec.cast("bigint").alias("total_recorded"),
+        (ev - rec).cast("bigint").alias("missing"),
+        F.round(F.lit(100.0) * rec / ev, 2).alias("coverage_pct"),
     )
 
 
-def routes_per_category(star_df: DataFrame) -> DataFrame:
+def routes_per_category(parts: DataFrame) -> DataFrame:
     """A-17: distinct routes per train category."""
-    return star_df.groupBy("train_category").agg(
+    return parts.groupBy("train_category").agg(
         F.count_distinct("route_id").alias("distinct_routes"))
 
 
-def hourly_matrix(star_df: DataFrame) -> DataFrame:
-    """D-3: nationwide hour x (stop events, average delay) with sample sizes."""
-    return star_df.groupBy("arrival_hour").agg(*measure_columns())
+def hourly_matrix(parts: DataFrame) -> DataFrame:
+    """D-3: nationwide hour x (stop events, average delay); partials keyed by arrival_hour."""
+    return parts.groupBy("arrival_hour").agg(*measure_columns())
 
 
 def station_rows(star_df: DataFrame, station_name: str) -> DataFrame:
@@ -180,7 +225,7 @@ def platform_congestion(star_df: DataFrame, station_name: str) -> DataFrame:
 def station_hourly_volume(star_df: DataFrame, station_name: str) -> DataFrame:
     """D-5: hourly stop events and trains at one station."""
     return station_rows(star_df, station_name).groupBy("arrival_hour").agg(
-        F.count(F.lit(1)).alias("stop_events"),
+        F.sum("_events").cast("bigint").alias("stop_events"),
         F.count_distinct("trip_id").alias("distinct_trains"))
 
 
@@ -205,7 +250,7 @@ def busy_multi_platform_stations(star_df: DataFrame, k: int = 7) -> DataFrame:
     """A-18: stations with more than one platform and the most stop events."""
     g = star_df.groupBy("station_id").agg(
         F.count_distinct("platform_code").alias("n_platforms"),
-        F.count(F.lit(1)).alias("stop_events"))
+        F.sum("_events").cast("bigint").alias("stop_events"))
     return (g.filter(F.col("n_platforms") > 1)
             .orderBy(F.col("stop_events").desc(), F.col("station_id")).limit(k))
 
@@ -220,9 +265,8 @@ def station_peak_hour(star_df: DataFrame, k: int = 7) -> DataFrame:
     busy = busy_multi_platform_stations(star_df, k).select("station_id")
     rows = star_df.join(busy, "station_id", "left_semi")
     per_hour = rows.groupBy("station_id", "arrival_hour").agg(
-        F.try_divide(F.sum(F.col("arrival_delay").cast("bigint")),
-                     F.count("arrival_delay")).alias("_avg_s"),
-        F.count("arrival_delay").alias("_n"))
+        F.try_divide(F.sum("_delay_s"), F.sum("_recorded")).alias("_avg_s"),
+        F.sum("_recorded").alias("_n"))
     per_hour = per_hour.filter(F.col("_n") > 0)
     best = per_hour.groupBy("station_id").agg(
         F.max(F.struct("_avg_s", "arrival_hour")).alias("_b"))
@@ -252,5 +296,5 @@ def canonical_station(star_df: DataFrame, stations: DataFrame,
         names = names.select("station_id", F.col("stop_name").alias("canonical_name"))
     g = star_df.groupBy("station_id").agg(
         F.count_distinct("stop_id").alias("n_stop_ids"),
-        F.count(F.lit(1)).alias("stop_events"))
+        F.sum("_events").cast("bigint").alias("stop_events"))
     return g.join(names, "station_id", "left")
