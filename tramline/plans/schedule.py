@@ -38,10 +38,6 @@ def stop_times_with_routes(stop_times: DataFrame, trips: DataFrame, routes: Data
     return stop_times.join(t, "trip_id")
 
 
-# SC-1 yields only these texts (or NULL): a fixed, rule-built set of groups.
-TEXT_HOURS = [f"{h:02d}" for h in range(25)]
-
-
 def peak_departure_hours(stop_times: DataFrame, trips: DataFrame, routes: DataFrame,
                          route_type: int = RAIL, k: int = 3) -> DataFrame:
     """Q1: top-k departure hours by number of stop departures.
@@ -49,23 +45,17 @@ def peak_departure_hours(stop_times: DataFrame, trips: DataFrame, routes: DataFr
     The hour is the reference's text hour (NULL for 25:xx and malformed
     times, and NULL is a group of its own). Ties broken by hour.
 
-    Plan: stop_times are first reduced to one row per trip holding a
-    counter per text hour (a hash aggregate, combined map-side — a trip with
-    huge numbers of stops collapses to one row per task), then joined to the
-    rail trips, summed, and unpivoted. The join never sees raw stop rows.
+    Plan: stop rows are first counted per (trip, hour) — a hash aggregate
+    combined map-side, so a trip with huge numbers of stops collapses before
+    any shuffle — then joined to the rail trips and summed per hour. The join
+    never sees raw stop rows.
     """
-    hour = hour_of_text_time("departure_time")
-    names = [f"h{h}" for h in TEXT_HOURS] + ["h_null"]
-    per_trip = stop_times.groupBy("trip_id").agg(
-        *[count_if(hour == F.lit(h)).alias(f"h{h}") for h in TEXT_HOURS],
-        count_if(hour.isNull()).alias("h_null"))
+    st = stop_times.select("trip_id", hour_of_text_time("departure_time").alias("departure_hour"))
+    per_trip_hour = st.groupBy("trip_id", "departure_hour").agg(F.count(F.lit(1)).alias("_n"))
     rail = rail_routes(routes.select("route_id", "route_type"), route_type)
     t = trips.select("trip_id", "route_id").join(rail, "route_id").select("trip_id")
-    totals = per_trip.join(t, "trip_id").agg(*[F.sum(c).alias(c) for c in names])
-    long = totals.unpivot([], names, "_h", "departure_count")
-    return (long.filter(F.col("departure_count") > 0)
-            .select(F.when(F.col("_h") != "h_null", F.substring("_h", 2, 2)).alias("departure_hour"),
-                    F.col("departure_count").cast("bigint").alias("departure_count"))
+    j = per_trip_hour.join(t, "trip_id")
+    return (j.groupBy("departure_hour").agg(F.sum("_n").cast("bigint").alias("departure_count"))
             .orderBy(F.col("departure_count").desc(), F.col("departure_hour").asc_nulls_last())
             .limit(k))
 
