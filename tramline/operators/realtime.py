@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.functions.timecols import decode_long, epoch_to_ts
+from tramline.functions.timecols import epoch_to_ts
 from tramline.sources.schemas import ALERT, FEED_MESSAGE, TRIP_UPDATE
 
 NO_FILTER_LABEL = "None (Full Network)"

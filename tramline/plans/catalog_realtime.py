@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions.timecols import decode_long, epoch_to_ts
 from tramline.operators import realtime as R
+from tramline.operators.joins import parent_child
 from tramline.plans.catalog import register
 from tramline.sources import standins as X
 
@@ -177,7 +178,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def parent_child_join(spark, d):
     ents = R.trip_update_entities(_trip_ents(spark, d))
     heads = R.trip_updates(ents).select("update_pk", "trip_id", "route_id")
-    return (R.trip_stop_updates(ents).join(heads, "update_pk")
+    return (parent_child(heads, R.trip_stop_updates(ents), "update_pk")
             .select("trip_id", "route_id", "stop_sequence", "stop_id"))
 
 
