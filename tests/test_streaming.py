@@ -57,6 +57,14 @@ def test_stream_matches_batch_and_replay_is_idempotent(spark, scratch):
     assert _rows(spark, os.path.join(out, "trip_stop_updates"), stop_cols) == st1
     texts = spark.read.parquet(os.path.join(out, "alert_texts"))
     assert texts.count() == 3
+    # every batch that wrote facts is committed; readers see them all
+    assert S.read_committed(spark, out, "trip_updates").count() == 6
+    # a batch written part-way (no marker) stays hidden
+    from tramline.sources.sinks import write_batch_partition
+    partial = spark.read.parquet(os.path.join(out, "trip_updates")).drop("batch_id").limit(1)
+    write_batch_partition(partial, os.path.join(out, "trip_updates"), 99)
+    assert spark.read.parquet(os.path.join(out, "trip_updates")).count() == 7
+    assert S.read_committed(spark, out, "trip_updates").count() == 6
 
 
 def test_latest_state_stream(spark, scratch):

@@ -22,6 +22,7 @@ from tramline.session import ensure_checkpoint_dir
 from tramline.sources.schemas import FEED_MESSAGE
 from tramline.sources.sinks import write_batch_partition
 
+COMMITTED = "committed_batches"
 FACT_TABLES = ("trip_updates", "trip_stop_updates", "service_alerts",
                "alert_active_periods", "alert_texts", "alert_informed_entities", "summary")
 
@@ -57,10 +58,24 @@ def flatten_batch(batch: DataFrame, batch_id: int, out_root: str,
         tables = R.flatten(trips, alerts, dim_stations, station_filter, on_invalid=on_invalid)
         for name in FACT_TABLES + (("rejected",) if "rejected" in tables else ()):
             write_batch_partition(tables[name], os.path.join(out_root, name), batch_id)
+        # published last: a batch is visible only once every table holds it
+        marker = batch.sparkSession.createDataFrame([(batch_id,)], "committed_batch long")
+        write_batch_partition(marker, os.path.join(out_root, COMMITTED), batch_id)
     finally:
         batch.unpersist()
 
 
+def read_committed(spark: SparkSession, out_root: str, table: str) -> DataFrame:
+    """A fact table restricted to fully written micro-batches.
+
+    The marker table has one row per batch; the semi-join on ``batch_id``
+    hides partitions of a batch that failed part-way (they are rewritten
+    when the batch is retried).
+    """
+    done = spark.read.parquet(os.path.join(out_root, COMMITTED)).select("batch_id")
+    return spark.read.parquet(os.path.join(out_root, table)).join(done, "batch_id", "left_semi")
+
+
 def start_ingest(spark: SparkSession, trip_dir: str, alert_dir: str, out_root: str,
                  checkpoint: str | None = None, dim_stations: DataFrame | None = None,
                  station_filter=None, available_now: bool = True,
