@@ -113,24 +113,20 @@ def busiest_platforms(stop_times: DataFrame, stops: DataFrame, station_text: str
 
 
 # ---------------------------------------------------------------- Q3 blocks
-# '~' sorts after every digit, so a NULL departure never wins the minimum
-# among rows that share the first stop_sequence (T-6).
-_NULL_LAST_TEXT = "~"
-
-
 def first_stop_per_trip(stop_times: DataFrame) -> DataFrame:
     """J-4: the first stop (lowest stop_sequence) of every trip.
 
     One aggregate instead of the correlated ``seq = MIN(seq)`` subquery:
-    ``min(struct(seq, dep))``. When a trip repeats its first sequence the
-    earliest recorded departure among those rows is kept.
+    ``min(struct(seq, dep IS NULL, dep))``. When a trip repeats its first
+    sequence, the earliest recorded departure among those rows is kept and a
+    NULL departure never hides a recorded one (T-6).
     """
     m = stop_times.groupBy("trip_id").agg(F.min(F.struct(
         F.col("stop_sequence"),
-        F.coalesce(F.col("departure_time"), F.lit(_NULL_LAST_TEXT)).alias("dep"))).alias("_f"))
-    dep = F.col("_f.dep")
+        F.col("departure_time").isNull().alias("no_dep"),
+        F.col("departure_time").alias("dep"))).alias("_f"))
     return m.select("trip_id", F.col("_f.stop_sequence").alias("first_stop_sequence"),
-                    F.when(dep != _NULL_LAST_TEXT, dep).alias("first_departure_time"))
+                    F.col("_f.dep").alias("first_departure_time"))
 
 
 def morning_destinations(trips: DataFrame, stop_times: DataFrame,
