@@ -100,3 +100,10 @@ def test_on_time_flag_null_is_not_on_time(spark):
     # T-9: a missing delay must never count as on time (BI blank < 120 is true).
     assert _one_col(spark, [None, 119, 120, -300], C.on_time_flag, "int") == [
         None, True, False, True]
+
+
+def test_like_ascii_ci_matches_sqlite(spark):
+    vals = ["LIÈGE-Guillemins", "Liège-Guillemins", "Bruxelles-Central", None]
+    out = _one_col(spark, vals, lambda c: T.like_ascii_ci(c, "%liège%"))
+    assert out == [False, True, False, None]
+    assert _one_col(spark, ["Bruxelles-Central"], lambda c: T.like_ascii_ci(c, "%BRUX%")) == [True]

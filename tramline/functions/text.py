@@ -74,3 +74,18 @@ def default_route_type(c, falsy_zero: bool = True) -> Column:
     if falsy_zero:
         c = F.nullif(c, F.lit(0))
     return F.coalesce(c, F.lit(DEFAULT_ROUTE_TYPE))
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWER = "abcdefghijklmnopqrstuvwxyz"
+
+
+def like_ascii_ci(c, pattern: str) -> Column:
+    """SQLite ``LIKE``: case-insensitive for ASCII letters only.
+
+    ``'LIÈGE' LIKE '%liège%'`` is false (È and è differ), unlike Spark's
+    ``ilike``, which folds every Unicode letter. ``%`` and ``_`` are
+    wildcards.
+    """
+    folded = F.translate(_col(c), _UPPER, _LOWER)
+    return folded.like(pattern.translate(str.maketrans(_UPPER, _LOWER)))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tramline.functions.text import like_ascii_ci
 from tramline.functions.timecols import (
     classify_frequency, frequency_rank, hour_of_text_time, parse_compact_date,
     service_seconds, week_bucket, WEEK_EPOCH,
@@ -87,8 +88,8 @@ def trip_service_span(stop_times: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- Q2 blocks
 def stations_matching(stops: DataFrame, text: str) -> DataFrame:
-    """F-3: stops whose name contains ``text`` (case-insensitive)."""
-    return stops.filter(F.col("stop_name").ilike(f"%{text}%"))
+    """F-3: stops whose name contains ``text`` — SQLite LIKE, ASCII case-insensitive."""
+    return stops.filter(like_ascii_ci("stop_name", f"%{text}%"))
 
 
 def platforms_of(stops: DataFrame, station_text: str) -> DataFrame:
