@@ -82,3 +82,20 @@ def test_latest_state_stream(spark, scratch):
     by = {r.trip_id: r for r in latest}
     assert by["t1"].n == 2 and by["t1"].ts.second == 16  # the newer one: 2^32 s
     assert by["t2"].n == 2
+
+
+def test_latest_table_upsert_across_batches(spark, scratch):
+    tdir = _stage(scratch, "trip", "p1.json", TRIP_POLL)
+    table = os.path.join(scratch, "latest")
+    q = S.start_latest_table(spark, tdir, table, checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination(120)
+    first = {r.trip_id: r for r in spark.read.parquet(table).collect()}
+    assert set(first) == {"t1", "t2", "t5"} and first["t1"].overall_delay == 60
+    # a later poll arrives: only the newer snapshot of t1 replaces the old one
+    _stage(scratch, "trip", "p2.json", _second_poll())
+    q = S.start_latest_table(spark, tdir, table, checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination(120)
+    rows = spark.read.parquet(table).collect()
+    by = {r.trip_id: r for r in rows}
+    assert len(rows) == 3 and by["t1"].overall_delay == 120
+    assert by["t1"].update_timestamp.second == 16  # 2^32 s, the newer one

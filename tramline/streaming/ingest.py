@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -123,3 +124,46 @@ def trip_updates_stream(spark: SparkSession, trip_dir: str) -> DataFrame:
     """Trip headers as a stream (input of ``latest_state_stream``)."""
     ents = R.trip_update_entities(R.entities(poll_stream(spark, trip_dir, "trip-update")))
     return R.trip_updates(ents)
+
+
+LATEST_COLS = ("update_timestamp", "fetched_at", "entity_id", "route_id", "overall_delay",
+               "update_pk")
+
+
+def upsert_latest(headers: DataFrame, table_path: str, keys=("trip_id", "start_date")) -> None:
+    """STR-3 as a table: merge trip headers into the latest-snapshot-per-trip table.
+
+    The table is partitioned by poll day. Only the days present in
+    ``headers`` are read back (partition pruning by semi-join), merged with
+    the new rows, reduced to the newest row per key with one aggregate and
+    rewritten with dynamic partition overwrite. The merged result is
+    checkpointed first because the job reads and rewrites the same table.
+    """
+    spark = headers.sparkSession
+    new = (headers.withColumn("poll_day", F.to_date("fetched_at"))
+           .select("poll_day", *keys, *LATEST_COLS))
+    both = new
+    try:
+        old = spark.read.parquet(table_path)
+    except AnalysisException:  # first batch: no table yet
+        old = None
+    if old is not None:
+        days = new.select("poll_day").distinct()
+        both = old.select(*new.columns).join(days, "poll_day", "left_semi").unionByName(new)
+    m = both.groupBy("poll_day", *keys).agg(
+        F.max(F.struct(*[F.col(c) for c in LATEST_COLS])).alias("_m"))
+    latest = m.select("poll_day", *keys, *[F.col("_m." + c).alias(c) for c in LATEST_COLS])
+    (latest.checkpoint().write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("poll_day").parquet(table_path))
+
+
+def start_latest_table(spark: SparkSession, trip_dir: str, table_path: str,
+                       checkpoint: str | None = None, available_now: bool = True
+                       ) -> StreamingQuery:
+    """Keep ``table_path`` = latest snapshot per (trip, start_date), batch by batch."""
+    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "tramline-latest")
+    w = (trip_updates_stream(spark, trip_dir).writeStream
+         .option("checkpointLocation", ckpt)
+         .foreachBatch(lambda df, bid: upsert_latest(df, table_path)))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 minutes")
+    return w.start()
