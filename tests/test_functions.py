@@ -107,3 +107,8 @@ def test_like_ascii_ci_matches_sqlite(spark):
     out = _one_col(spark, vals, lambda c: T.like_ascii_ci(c, "%liège%"))
     assert out == [False, True, False, None]
     assert _one_col(spark, ["Bruxelles-Central"], lambda c: T.like_ascii_ci(c, "%BRUX%")) == [True]
+
+
+def test_truncation_counts_characters_not_bytes(spark):
+    # T-16: the loader truncates by characters (è is 2 bytes in UTF-8)
+    assert _one_col(spark, ["Liège-Guillemins"], lambda c: T.clean_text(c, 4)) == ["Lièg"]

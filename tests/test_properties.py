@@ -100,3 +100,15 @@ def test_decode_long_roundtrip(spark, values):
     df = spark.createDataFrame(rows, "o string, n string, v long")
     got = df.select(decode_long("o").alias("a"), decode_long("n").alias("b"), "v").collect()
     assert all(r.a == r.v and r.b == r.v for r in got)
+
+
+def test_latest_by_trip_or_by_trip_and_day(spark):
+    # T-8: keyed by trip only (the reference), a multi-day log keeps one day;
+    # adding start_date keeps the latest snapshot of each day.
+    df = spark.createDataFrame(
+        [(1, "t1", "20240101", 10), (2, "t1", "20240101", 20),
+         (3, "t1", "20240102", 5), (4, "t1", "20240102", 7)],
+        "update_pk int, trip_id string, start_date string, update_timestamp int")
+    assert sorted(r.update_pk for r in latest_updates(df).collect()) == [2]
+    both = latest_updates(df, ("trip_id", "start_date")).collect()
+    assert sorted(r.update_pk for r in both) == [2, 4]
