@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 from tramline.functions.timecols import epoch_to_ts
 from tramline.sources.schemas import ALERT, FEED_MESSAGE, TRIP_UPDATE
 
+# The run summary's label when no station filter is given, its
+# status value, and the alert text fields with the feed objects they come from.
 NO_FILTER_LABEL = "None (Full Network)"
+STATUS_OK = "ok"
+TEXT_FIELDS = (("header", "headerText"), ("description", "descriptionText"), ("url", "url"))
 
 
 # ----------------------------------------------------------------- SRC-3
@@ -200,9 +204,6 @@ def alert_active_periods(alert_ents: DataFrame, carry: dict | None = None) -> Da
                     epoch_to_ts(F.col("p.end")).alias("period_end"))
 
 
-TEXT_FIELDS = (("header", "headerText"), ("description", "descriptionText"), ("url", "url"))
-
-
 def alert_texts(alert_ents: DataFrame, carry: dict | None = None) -> DataFrame:
     """JSN-6: header / description / url translations stacked in one pass.
 
@@ -261,7 +262,7 @@ def ingest_summary(trip_feed_ents: DataFrame, kept_trip_ents: DataFrame,
         F.count_if(k == "kept").alias("trips_inserted"),
         F.count_if(k == "alert").alias("alerts_processed"),
     ).select(F.lit(station_filter or NO_FILTER_LABEL).alias("station_filter"),
-             F.lit("ok").alias("status"), "*")
+             F.lit(STATUS_OK).alias("status"), "*")
 
 
 # ------------------------------------------------------------- one call

@@ -129,6 +129,7 @@ FEED_MESSAGE = T.StructType([
 ])
 
 # ------------------------------------------------------------ warehouse tables
+# Column widths and NOT NULL columns of the warehouse tables.
 # Column widths (characters) of the fact tables; dimension loaders truncate
 # to the dimension widths instead of rejecting (CLN-3 vs CHK-5).
 FACT_WIDTHS = {
