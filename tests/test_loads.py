@@ -47,14 +47,14 @@ def test_static_load_checks_then_publishes(spark, scratch):
         L.load_static_feed(spark, feed, os.path.join(scratch, "wh2"), enforce_fk=True)
 
 
-def test_seed_dimensions_drops_orphans(spark, scratch):
+def test_load_dimensions_drops_orphans(spark, scratch):
     feed = os.path.join(scratch, "feed")
     os.makedirs(feed)
     _feed(feed)
-    paths, counts = L.seed_dimensions(spark, feed, os.path.join(scratch, "dims"))
+    paths, counts = L.load_dimensions(spark, feed, os.path.join(scratch, "dims"))
     assert spark.read.parquet(paths["dim_trips"]).count() == 2
     c = counts.first()
     assert (c.kept, c.rejected) == (2, 2)
     os.remove(os.path.join(feed, "routes.txt"))
     with pytest.raises(FileNotFoundError):
-        L.seed_dimensions(spark, feed, os.path.join(scratch, "dims2"))
+        L.load_dimensions(spark, feed, os.path.join(scratch, "dims2"))

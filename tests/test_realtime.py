@@ -32,7 +32,7 @@ ALERT_POLL = {"entity": [
         "headerText": {"translation": [{"language": "fr", "text": "Retard"},
                                        {"language": "nl", "text": "Vertraging"}]},
         "descriptionText": {"translation": [{"language": "en", "text": "Delay"}]},
-        "informedEntity": [{"agencyId": "SNCB", "routeId": "r1",
+        "informedEntity": [{"agencyId": "AG1", "routeId": "r1",
                             "trip": {"tripId": "t1", "startDate": "20240105"}},
                            {"stopId": "8813003"}]}},
     {"id": "a2", "alert": {"activePeriod": [{"start": 1704441600,

@@ -58,7 +58,7 @@ def load_static_feed(spark: SparkSession, feed_dir: str, out_root: str, strict:
                           checks=lambda staged: feed_checks(staged, enforce_fk))
 
 
-def seed_dimensions(spark: SparkSession, feed_dir: str, out_root: str
+def load_dimensions(spark: SparkSession, feed_dir: str, out_root: str
                     ) -> tuple[dict[str, str], DataFrame]:
     """Dimension seed: dim_stations, dim_routes, dim_trips (orphan trips dropped).
 
