@@ -130,3 +130,30 @@ def test_fact_layout_splits_a_hot_trip(spark, scratch):
                  .filter(F.col("trip_id") == "hot").limit(1).count()]
     assert len(hot_files) >= 3
     assert spark.read.parquet(p).count() == 20000
+
+
+def _first_join_or_agg_above(plan: str, table: str) -> str:
+    """Walk up from a table's scan in the plan tree; name the first join or aggregate."""
+    lines = plan.split("== Initial Plan ==")[0].split("\n")
+    idx = next(i for i, ln in enumerate(lines) if "FileScan" in ln and f"{table}.parquet" in ln)
+    depth = len(lines[idx]) - len(lines[idx].lstrip(" :+-|"))
+    for ln in reversed(lines[:idx]):
+        d = len(ln) - len(ln.lstrip(" :+-|"))
+        if d >= depth:
+            continue  # a sibling subtree, not an ancestor
+        depth = d
+        node = ln.strip(" :+-|*()0123456789")
+        if "Join" in node.split(" ")[0]:
+            return "join"
+        if "Aggregate" in node.split(" ")[0]:
+            return "aggregate"
+    return "none"
+
+
+@needs_data
+@pytest.mark.parametrize("key", ["q1_peak_hours", "q2_busiest_platforms", "join_three_way",
+                                 "count_distinct_trips", "left_join_stations",
+                                 "kpi_by_category", "hourly_matrix"])
+def test_stop_rows_are_aggregated_before_any_join(spark, key):
+    plan = _plan(E.queries()[key](spark, SF))
+    assert _first_join_or_agg_above(plan, "lineitem") == "aggregate", key
