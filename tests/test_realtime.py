@@ -169,3 +169,25 @@ def test_missing_stop_id_strict_and_quarantine(spark, scratch):
     assert len(rej) == 1 and rej[0].table_name == "trip_stop_updates"
     assert rej[0].reason == "stop_id is null"
     assert R.flatten(trips, alerts)["trip_stop_updates"].count() == 2  # keep
+
+
+def test_duplicate_alert_in_one_poll(spark, scratch):
+    # CHK-4: (entity_id, fetched_at) is unique; the same alert twice in one poll
+    poll = {"header": {"timestamp": 1704441600}, "entity": [
+        {"id": "a1", "alert": {"cause": 1, "headerText": {"translation": [{"text": "x"}]}}},
+        {"id": "a1", "alert": {"cause": 2, "headerText": {"translation": [{"text": "y"}]}}},
+        {"id": "a2", "alert": {"cause": 3}}]}
+    tdir = _stage(scratch, "trip", "t.json", {"entity": []})
+    adir = _stage(scratch, "alert", "a.json", poll)
+    trips = R.read_poll_files(spark, tdir, "trip-update")
+    alerts = R.read_poll_files(spark, adir, "alert")
+    with pytest.raises(R.InvalidFeedRows):
+        R.flatten(trips, alerts, on_invalid="strict")
+    q = R.flatten(trips, alerts, on_invalid="quarantine")
+    kept = q["service_alerts"].collect()
+    assert sorted(r.entity_id for r in kept) == ["a1", "a2"]
+    kept_pk = {r.alert_pk for r in kept}
+    assert {r.alert_pk for r in q["alert_texts"].collect()} <= kept_pk  # no orphan texts
+    assert q["alert_texts"].count() == 1
+    reasons = sorted(r.reason for r in q["rejected"].collect())
+    assert reasons == ["duplicate (entity_id, fetched_at)", "parent alert diverted"]

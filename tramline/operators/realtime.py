@@ -306,6 +306,8 @@ def enforce_not_null(tables: dict[str, DataFrame], mode: str = "keep") -> dict[s
         rejected.append(df.filter(bad).select(
             F.lit(name).alias("table_name"), reason.alias("reason"),
             F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("row_json")))
+    out, dup_rows = _enforce_unique_alerts(out, mode)
+    rejected.extend(dup_rows)
     if mode == "quarantine":
         spark = next(iter(tables.values())).sparkSession
         out["rejected"] = (reduce(DataFrame.unionByName, rejected) if rejected else
@@ -314,6 +316,42 @@ def enforce_not_null(tables: dict[str, DataFrame], mode: str = "keep") -> dict[s
     return out
 
 
+ALERT_CHILDREN = ("alert_active_periods", "alert_texts", "alert_informed_entities")
+
+
+def _enforce_unique_alerts(tables: dict[str, DataFrame], mode: str):
+    """CHK-4: one alert per (entity_id, fetched_at).
+
+    strict: raise if a poll repeats an alert id. quarantine: keep the row
+    with the lowest ``alert_pk``; the others and their child rows are
+    diverted (no orphans are left behind).
+    """
+    if "service_alerts" not in tables:
+        return tables, []
+    alerts = tables["service_alerts"]
+    keep = alerts.groupBy("entity_id", "fetched_at").agg(F.min("alert_pk").alias("alert_pk"))
+    dups = alerts.join(keep, "alert_pk", "left_anti")
+    if mode == "strict":
+        if not dups.isEmpty():
+            raise InvalidFeedRows("service_alerts: duplicate (entity_id, fetched_at)")
+        return tables, []
+    out = dict(tables)
+    out["service_alerts"] = alerts.join(keep.select("alert_pk"), "alert_pk", "left_semi")
+    bad_pk = dups.select("alert_pk")
+    diverted = [dups.select(F.lit("service_alerts").alias("table_name"),
+                            F.lit("duplicate (entity_id, fetched_at)").alias("reason"),
+                            F.to_json(F.struct(*[F.col(c) for c in alerts.columns])
+                                      ).alias("row_json"))]
+    for name in ALERT_CHILDREN:
+        if name in out:
+            child = out[name]
+            out[name] = child.join(bad_pk, "alert_pk", "left_anti")
+            diverted.append(child.join(bad_pk, "alert_pk", "left_semi").select(
+                F.lit(name).alias("table_name"), F.lit("parent alert diverted").alias("reason"),
+                F.to_json(F.struct(*[F.col(c) for c in child.columns])).alias("row_json")))
+    return out, diverted
+
+
 def flatten(trip_polls: DataFrame, alert_polls: DataFrame,
             dim_stations: DataFrame | None = None, station_filter=None,
             on_no_match: str = "all", on_invalid: str = "keep") -> dict[str, DataFrame]:
