@@ -112,3 +112,40 @@ def test_latest_by_trip_or_by_trip_and_day(spark):
     assert sorted(r.update_pk for r in latest_updates(df).collect()) == [2]
     both = latest_updates(df, ("trip_id", "start_date")).collect()
     assert sorted(r.update_pk for r in both) == [2, 4]
+
+
+_ALPHABET = "ab Z9\t\n\r\x0b\x0c\xa0 　​:-é"
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet=_ALPHABET, max_size=8), min_size=1, max_size=20),
+       st.integers(min_value=1, max_value=5))
+def test_clean_text_matches_python_strip(spark, values, width):
+    from tramline.functions.text import clean_text
+
+    def model(v):  # the loader's rule: strip, blank -> None, truncate by characters
+        s = v.strip()
+        return s[:width] if s else None
+
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r[0] for r in df.select(clean_text("v", width)).collect()]
+    assert got == [model(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 70), st.integers(0, 70),
+                          st.booleans()), min_size=1, max_size=20))
+def test_hour_of_text_time_rule(spark, parts):
+    from tramline.functions.timecols import hour_of_text_time
+
+    def text(h, m, s, pad):
+        return (f"{h:02d}" if pad else str(h)) + f":{m:02d}:{s:02d}"
+
+    def model(t):  # two-digit hour 00-24, minutes and seconds 00-59
+        hh, mm, ss = t.split(":")
+        ok = len(hh) == 2 and int(hh) <= 24 and int(mm) <= 59 and int(ss) <= 59
+        return hh if ok else None
+
+    texts = [text(*p) for p in parts]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    assert [r[0] for r in df.select(hour_of_text_time("v")).collect()] == [model(t) for t in texts]
