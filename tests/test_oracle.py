@@ -43,11 +43,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = sorted(set(E.queries()) - set(E.oracle_sql()))
+    missing = sorted(set(E.catalog.queries()) - set(E.oracle_sql()))
     assert missing == []
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.catalog.queries()))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
