@@ -19,6 +19,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir))
 
 
+def op7_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tramline.llm.sharding import shard_table
+    return shard_table(_documents(spark, sf_dir))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from tramline.llm.packing import pack
+    return pack(_documents(spark, sf_dir), path("word_bpe_49k.json"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tramline.llm.decontaminate import contamination
     return contamination(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
@@ -26,7 +38,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality_rules, op10_decontaminate)}
+        op1_quality_rules, op7_shard_shuffle, op8_best_fit_packing, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
