@@ -19,6 +19,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir))
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tramline.llm.minhash import near_duplicates
+    return near_duplicates(_documents(spark, sf_dir))
+
+
 def op7_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tramline.llm.sharding import shard_table
     return shard_table(_documents(spark, sf_dir))
@@ -38,7 +43,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality_rules, op7_shard_shuffle, op8_best_fit_packing, op10_decontaminate)}
+        op1_quality_rules, op4_minhash_dedup, op7_shard_shuffle, op8_best_fit_packing, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:

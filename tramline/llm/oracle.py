@@ -1,6 +1,7 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
 from tramline.llm import decontaminate as dec
+from tramline.llm import minhash as mh
 from tramline.llm import quality_rules as qr
 
 SQL: dict[str, str] = {}
@@ -64,5 +65,27 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
 FROM d LEFT JOIN h USING (r) LEFT JOIN m USING (r)"""
 
 
+def _near_duplicates() -> str:
+    n = mh.SHINGLE
+    return rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < {n} THEN array_to_string(ws, ' ')
+                              ELSE array_to_string(list_slice(ws, i, i + {n} - 1), ' ') END AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {n} + 1, 1) + 1)) AS i FROM t WHERE len(ws) > 0)),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n_both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT u, v FROM p JOIN z a ON a.doc_id = u JOIN z b ON b.doc_id = v
+      WHERE 100 * n_both >= {mh.PERCENT} * (a.n + b.n - n_both)),
+r AS (SELECT doc_id AS start, doc_id AS at FROM z UNION SELECT r.start, e.v FROM r JOIN e ON e.u = r.at),
+c AS (SELECT start AS doc_id, min("at") AS component_id FROM r GROUP BY start)
+SELECT t.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(c.component_id, t.doc_id) AS component_id,
+       t.doc_id = coalesce(c.component_id, t.doc_id) AS kept
+FROM t LEFT JOIN z USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+
+SQL["op4_minhash_dedup"] = _near_duplicates()
 SQL["op1_quality_rules"] = _quality_rules()
 SQL["op10_decontaminate"] = _decontaminate()
