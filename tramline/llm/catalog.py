@@ -36,6 +36,11 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir), path("word_bpe_49k.json"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tramline.llm.suffix_dedup import remove_repeats
+    return remove_repeats(_documents(spark, sf_dir))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tramline.llm.decontaminate import contamination
     return contamination(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
@@ -43,7 +48,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality_rules, op4_minhash_dedup, op7_shard_shuffle, op8_best_fit_packing, op10_decontaminate)}
+        op1_quality_rules, op4_minhash_dedup, op7_shard_shuffle, op8_best_fit_packing, op9_suffix_array_dedup, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:

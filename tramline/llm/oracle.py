@@ -3,6 +3,7 @@
 from tramline.llm import decontaminate as dec
 from tramline.llm import minhash as mh
 from tramline.llm import quality_rules as qr
+from tramline.llm import suffix_dedup as sd
 
 SQL: dict[str, str] = {}
 
@@ -86,6 +87,27 @@ SELECT t.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(c.component_id, t.doc_
 FROM t LEFT JOIN z USING (doc_id) LEFT JOIN c USING (doc_id)"""
 
 
+def _suffix_dedup() -> str:
+    n = sd.WIDTH
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT r, doc_id, i, substr(x, 2 * i + 1, {2 * n}) AS g
+      FROM (SELECT r, doc_id, x, unnest(range(0, length(x) // 2 - {n} + 1)) AS i FROM t WHERE length(x) >= {2 * n})),
+m AS (SELECT g, min(doc_id) AS least FROM w GROUP BY g HAVING min(doc_id) <> max(doc_id)),
+b AS (SELECT r, i FROM w JOIN m USING (g) WHERE least < doc_id),
+s AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + {n} THEN 0 ELSE 1 END AS first FROM b),
+k AS (SELECT r, i, sum(first) OVER (PARTITION BY r ORDER BY i) AS run FROM s),
+u AS (SELECT r, run, min(i) AS a, max(i) + {n} AS b FROM k GROUP BY r, run),
+v AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM u),
+y AS (SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS reach,
+             string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+      FROM v JOIN t USING (r) GROUP BY r)
+SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(reach, 0) + 1))) AS kept_sha256
+FROM t LEFT JOIN y USING (r)"""
+
+
+SQL["op9_suffix_array_dedup"] = _suffix_dedup()
 SQL["op4_minhash_dedup"] = _near_duplicates()
 SQL["op1_quality_rules"] = _quality_rules()
 SQL["op10_decontaminate"] = _decontaminate()
