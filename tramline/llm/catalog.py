@@ -24,6 +24,16 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
+def op5_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tramline.llm.lm_ppm import score_texts
+    return score_texts(_documents(spark, sf_dir))
+
+
+def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tramline.llm.pii import find_personal_data
+    return find_personal_data(_documents(spark, sf_dir))
+
+
 def op7_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tramline.llm.sharding import shard_table
     return shard_table(_documents(spark, sf_dir))
@@ -48,7 +58,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality_rules, op4_minhash_dedup, op7_shard_shuffle, op8_best_fit_packing, op9_suffix_array_dedup, op10_decontaminate)}
+        op1_quality_rules, op4_minhash_dedup, op5_ppm_scores, op6_bootstrapped_pii,
+        op7_shard_shuffle, op8_best_fit_packing, op9_suffix_array_dedup, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
