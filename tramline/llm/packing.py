@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -25,65 +26,85 @@ from tramline.llm.common import bounded_batches, group_rank, n_buckets, stored,
 SEQUENCE = 2048
 END_ID = 0
 
-MAX_CACHED = 300_000     # white-space-free strings and words whose ids a worker remembers
+MAX_CACHED = 500_000     # white-space-free strings and words whose ids a worker remembers
 SLICE_BYTES = 2 << 20    # a longer text is tokenized in slices that end at white space
 
-# Latin letters that lower-casing maps one to one, then ASCII marks: tokenized apart.
-_WORD = re.compile("([a-z\xe0-\xf6\xf8-\xff]+)([.,!?;:%$&#*]*)")
+# A lower-case Latin word, the ASCII marks after it (both are tokenized apart), and what else there is.
+_PARTS = re.compile("([a-z\xe0-\xf6\xf8-\xff]*)([.,!?;:%$&#*]*)([^ ]*)(?: |$)")
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
+def _byte_letters() -> list[str]:
+    """The printable letter that byte-level BPE writes for each byte."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in own else next(rest)) for b in range(256)]
+
+
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
     The tokenizer breaks at white space, so a text's ids are those of its
     white-space-free strings in order; each is encoded once and remembered.
-    Within one, a Latin word and the marks after it are apart too.
+    Within one, a lower-cased Latin word and the marks after it are apart
+    too, and as they need no normalising they go to the tokenizer's model
+    itself.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self.strings: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self._encode_slice, _slices(text)))
-
-    def _encode_slice(self, text: bytes) -> bytes:
-        split = text.split()
+        self.words: dict[str, bytes] = {"": b""}
+        sample = "Voil\xe0, na\xefve (1) WORDS!\nagain"
+        if self.encode([sample.encode()])[0] != np.array(
+                self.tokenizer.encode(sample, add_special_tokens=False).ids, "<u4").tobytes():
+            raise ValueError("the tokenizer does not lower-case and break at white space")
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
+        out = []
+        for t in texts:
+            if len(t) > SLICE_BYTES:
+                out.append(b"".join(x for s in _slices(t) for x in self._encode([s])))
+            else:
+                out.append(t)
+        short = [i for i, t in enumerate(texts) if len(t) <= SLICE_BYTES]
+        for i, x in zip(short, self._encode([texts[i] for i in short])):
+            out[i] = x
+        return out
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
+        split = [t.split() for t in texts]
         if len(self.strings) > MAX_CACHED:
             self.strings.clear()
         if len(self.words) > MAX_CACHED:
-            self.words.clear()
-        new = set(split).difference(self.strings)
+            self.words = {"": b""}
+        new = set().union(*split).difference(self.strings)
         if new:
             self._learn(list(new))
-        return b"".join(map(self.strings.__getitem__, split))
+        get = self.strings.__getitem__
+        return [b"".join(map(get, s)) for s in split]
 
     def _learn(self, new: list[bytes]) -> None:
-        parts, need = [], {}
-        for b in new:
-            s = b.decode()
-            if s.isascii() or max(s) <= "\xff":
-                if m := _WORD.fullmatch(low := s.lower()):
-                    s = m[1]
-                    if m[2]:
-                        parts.append((s, m[2]))
-                        need[m[2]] = None
-                    else:
-                        parts.append((s,))
-                    need[s] = None
-                    continue
-            parts.append((s,))
-            need[s] = None
-        missing = [s for s in need if s not in self.words]
-        encoded = self.tokenizer.encode_batch(missing, add_special_tokens=False)
-        self.words.update((s, np.array(e.ids, "<u4").tobytes()) for s, e in zip(missing, encoded))
-        words = self.words
-        for b, p in zip(new, parts):
-            self.strings[b] = words[p[0]] if len(p) == 1 else words[p[0]] + words[p[1]]
+        words, strings = self.words, self.strings
+        parts = _PARTS.findall(b" ".join(new).decode().lower())
+        plain = {w for w, _, rest in parts if w and not rest}
+        plain.update({marks for w, marks, rest in parts if w and not rest})
+        for w in plain.difference(words):
+            spelt = w if w.isascii() else "".join(map(self.letters.__getitem__, w.encode()))
+            words[w] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        other = []
+        for b, (word, marks, rest) in zip(new, parts):
+            if rest or not word:
+                other.append(b)
+            else:
+                strings[b] = words[word] + words[marks] if marks else words[word]
+        for b, e in zip(other, self.tokenizer.encode_batch_fast([b.decode() for b in other], add_special_tokens=False)):
+            strings[b] = array("I", e.ids).tobytes()
 
 
 def _slices(text: bytes):
@@ -109,8 +130,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_i
             ids = batch.column("doc_id")
             for first, texts in text_chunks(batch):
                 rows, numbers, starts, data = [], [], [], []
-                for i, t in enumerate(texts, first):
-                    coded = encoder.encode(t) + end
+                for i, coded in enumerate(encoder.encode(texts), first):
+                    coded += end
                     for k, at in enumerate(range(0, len(coded), 4 * sequence)):
                         rows.append(i)
                         numbers.append(k)
