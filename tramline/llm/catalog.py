@@ -19,6 +19,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir))
 
 
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tramline.llm.importance import importance_resample
+    return importance_resample(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
+def op3_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tramline.llm.licenses import scan_licenses
+    return scan_licenses(_documents(spark, sf_dir))
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tramline.llm.minhash import near_duplicates
     return near_duplicates(_documents(spark, sf_dir))
@@ -58,7 +68,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality_rules, op4_minhash_dedup, op5_ppm_scores, op6_bootstrapped_pii,
+        op1_quality_rules, op2_importance_resampling, op3_license_sentences, op4_minhash_dedup, op5_ppm_scores, op6_bootstrapped_pii,
         op7_shard_shuffle, op8_best_fit_packing, op9_suffix_array_dedup, op10_decontaminate)}
 
 

@@ -1,6 +1,7 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
 from tramline.llm import decontaminate as dec
+from tramline.llm import licenses as lic
 from tramline.llm import minhash as mh
 from tramline.llm import quality_rules as qr
 from tramline.llm import suffix_dedup as sd
@@ -66,6 +67,37 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
 FROM d LEFT JOIN h USING (r) LEFT JOIN m USING (r)"""
 
 
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _licenses() -> str:
+    lower = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    named = "CASE " + " ".join(f"WHEN regexp_matches(s, {_quoted(f'(?:^| )(?:{p})$')}) THEN '{n}'"
+                               for n, p in lic.SENTENCES) + " ELSE '-' END"
+    clean = (f"regexp_replace(regexp_replace(regexp_replace(x, {_quoted(lic.JUNK)}, ' ', 'g'), "
+             f"{_quoted(lic.SPACES)}, ' ', 'g'), '^ | $|[.,]+ ?$', '', 'g')")
+    steps, found = [], []
+    for k, (name, parts) in enumerate(lic.RULES):
+        wanted = "".join(f",{p}," for p in parts)
+        steps.append(f"contains(r{k}, '{wanted}') AS f{k}, replace(r{k}, '{wanted}', ',#,') AS r{k + 1}")
+        found.append(f"CASE WHEN f{k} THEN '{name}' END")
+    bad = ", ".join(map(_quoted, lic.RESTRICTED))
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+q AS (SELECT r, string_split_regex(translate(text, {lower}) || chr(10), {_quoted(lic.BREAK)}) AS xs FROM t
+      WHERE regexp_matches(replace(translate(text, {lower}), chr(10), ' '), {_quoted(lic.TRIGGER)})),
+i AS (SELECT r, list_transform(list_transform(xs, lambda x: {clean}), lambda s: {named}) AS ids FROM q),
+n AS (SELECT doc_id, len(list_filter(coalesce(ids, []), lambda x: x <> '-')) AS n_sentences,
+             regexp_replace(regexp_replace(',' || array_to_string(coalesce(ids, []), ',') || ',', '(,-)+,', ',-,', 'g'),
+                            '^,(-,)?|(,-)?,$', '', 'g') AS sentences
+      FROM t LEFT JOIN i USING (r)),
+f AS (SELECT doc_id, n_sentences, sentences, ',' || replace(sentences, ',', ',,') || ',' AS r0, {", ".join(steps)} FROM n),
+g AS (SELECT *, list_sort(list_distinct(list_filter([{", ".join(found)}], lambda x: x IS NOT NULL))) AS names FROM f)
+SELECT doc_id, n_sentences, sentences, array_to_string(names, ',') AS licenses, list_has_any(names, [{bad}]) AS restricted
+FROM g"""
+
+
 def _near_duplicates() -> str:
     n = mh.SHINGLE
     return rf"""
@@ -108,6 +140,7 @@ FROM t LEFT JOIN y USING (r)"""
 
 
 SQL["op9_suffix_array_dedup"] = _suffix_dedup()
+SQL["op3_license_sentences"] = _licenses()
 SQL["op4_minhash_dedup"] = _near_duplicates()
 SQL["op1_quality_rules"] = _quality_rules()
 SQL["op10_decontaminate"] = _decontaminate()
