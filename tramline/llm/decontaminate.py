@@ -258,7 +258,7 @@ def _contaminated():
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all their columns as they were."""
-    return mark(docs, benchmark, window).where(~_contaminated()).select(*docs.columns)
+    return mark(docs, benchmark, window).where(~_contaminated()).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,

@@ -257,5 +257,5 @@ def redact(docs: DataFrame) -> DataFrame:
             columns.append(F.when(F.col("__spans").isNull(), F.col("n_chars"))
                            .otherwise(F.length("__text")).cast(f.dataType).alias("n_chars"))
         else:
-            columns.append(F.col(f.name))
+            columns.append(F.col(f"`{f.name}`"))
     return out.select(*columns)

@@ -120,6 +120,8 @@ def suffix_ranks(symbols: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.
         tied = ~first
         tied[:-1] |= ~first[1:]
         places = np.flatnonzero(tied)  # places in the order that belong to tied groups
+        if not len(places):
+            break
         suffix = order[places]
         if done >= longest:  # what is tied now is equal up to its end
             order[places] = suffix[np.lexsort([suffix, rank[suffix]])]
