@@ -74,6 +74,15 @@ def test_read_feed_types_and_missing_file(spark, feed):
         G.read_feed(spark, feed, ["routes", "calendar"])
 
 
+def test_quoted_line_breaks_in_every_table(spark, scratch):
+    _write(scratch, "trips.txt", 'route_id,service_id,trip_id,trip_headsign\nr1,s1,t1,"Gent\nSint"\n')
+    _write(scratch, "stop_times.txt", 'trip_id,arrival_time,departure_time,stop_id,stop_sequence\n'
+                                      't1,08:00:00,"08:01:00\n",s1,1\n')
+    tables = G.read_feed(spark, scratch, ["trips", "stop_times"])
+    assert [(r.trip_id, r.trip_headsign) for r in tables["trips"].collect()] == [("t1", "Gent\nSint")]
+    assert [(r.trip_id, r.stop_id) for r in tables["stop_times"].collect()] == [("t1", "s1")]
+
+
 def test_project_to_schema_absent_extra_and_strict_cast(spark):
     df = spark.createDataFrame([("1", "a", "x", "extra"), ("", "b", "2", "y")],
                                "id string, name string, n string, junk string")

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from tramline.plans import loads as L
-from tramline.sources.sinks import CheckFailed
+from tramline.sources.sinks import CheckFailed, current_version, read_published
 from tests.test_gtfs_reader import ROUTES, STOP_TIMES, STOPS, TRIPS, _write
 
 CALENDAR = ("service_id,monday,tuesday,wednesday,thursday,friday,saturday,sunday,"
@@ -34,7 +34,7 @@ def test_static_load_checks_then_publishes(spark, scratch):
     # NOT NULL on trips.route_id aborts the publish; nothing is written.
     with pytest.raises(CheckFailed, match="trips.route_id"):
         L.load_static_feed(spark, feed, out)
-    assert not os.path.exists(os.path.join(out, "routes"))
+    assert current_version(spark, out) is None and os.listdir(out) == []
     # the same feed with its NOT NULL breaks repaired publishes in full
     _write(feed, "trips.txt", TRIPS.replace(",svc1,t4,Nowhere,,,,\n", "")
            .replace("r2,,t2", "r2,svc1,t2"))
@@ -51,10 +51,26 @@ def test_load_dimensions_drops_orphans(spark, scratch):
     feed = os.path.join(scratch, "feed")
     os.makedirs(feed)
     _feed(feed)
-    paths, counts = L.load_dimensions(spark, feed, os.path.join(scratch, "dims"))
-    assert spark.read.parquet(paths["dim_trips"]).count() == 2
+    out = os.path.join(scratch, "dims")
+    paths, counts = L.load_dimensions(spark, feed, out)
+    assert read_published(spark, out, "dim_trips").count() == 2
     c = counts.first()
     assert (c.kept, c.rejected) == (2, 2)
+    # duplicate and missing keys are refused as the warehouse's constraints do; the old version stays
+    before = current_version(spark, out)
+    _write(feed, "stops.txt", STOPS + STOPS.split("\n")[1] + "\n" + ",No id,1,1,1,,,,\n")
+    with pytest.raises(CheckFailed, match="dim_stations.stop_id: 1 NULL.*duplicate primary key"):
+        L.load_dimensions(spark, feed, out)
+    assert current_version(spark, out) == before
+    assert sorted(os.listdir(out)) == ["_manifest", f"version={before}"]
+    # columns that a feed leaves out count as blank
+    _write(feed, "stops.txt", "stop_id,stop_name\ns1,One\n")
+    _write(feed, "routes.txt", "route_id\nr1\n")
+    _write(feed, "trips.txt", "trip_id,route_id\nt1,r1\n")
+    L.load_dimensions(spark, feed, out)
+    assert tuple(read_published(spark, out, "dim_stations").first()) == ("s1", "One", None, None, None)
+    assert tuple(read_published(spark, out, "dim_routes").first()) == ("r1", None, None, None, 2)
+    assert tuple(read_published(spark, out, "dim_trips").first()) == ("t1", "r1", "UNKNOWN", None, None, None)
     os.remove(os.path.join(feed, "routes.txt"))
     with pytest.raises(FileNotFoundError):
         L.load_dimensions(spark, feed, os.path.join(scratch, "dims2"))

@@ -29,18 +29,23 @@ def test_publish_is_all_or_nothing(spark, scratch):
 
     with pytest.raises(K.CheckFailed):
         K.publish_tables(spark, {"a": bad, "b": bad}, root, order=["a", "b"], checks=checks)
+    # a failure half-way, with the first table written
+    broken = spark.range(1).select(F.raise_error(F.lit("half-way")).cast("int").alias("x"))
+    with pytest.raises(Exception, match="half-way"):
+        K.publish_tables(spark, {"a": bad, "b": broken}, root, order=["a", "b"])
     # neither table changed
-    assert [r.x for r in spark.read.parquet(os.path.join(root, "a")).collect()] == [1]
-    assert [r.x for r in spark.read.parquet(os.path.join(root, "b")).collect()] == [1]
+    assert [r.x for r in K.read_published(spark, root, "a").collect()] == [1]
+    assert [r.x for r in K.read_published(spark, root, "b").collect()] == [1]
+    K.publish_tables(spark, {"a": bad, "b": a}, root, order=["a", "b"])
+    assert [r.x for r in K.read_published(spark, root, "a").collect()] == [2, 2]
 
 
-def test_batch_partition_overwrite_is_idempotent(spark, scratch):
+def test_poll_partition_overwrite_is_idempotent(spark, scratch):
     p = os.path.join(scratch, "t")
-    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    K.write_batch_partition(df, p, 0)
-    K.write_batch_partition(df, p, 1)
-    K.write_batch_partition(df, p, 0)  # retry of batch 0
-    assert spark.read.parquet(p).count() == 4
+    df = spark.createDataFrame([(1, "a", "2024-01-01"), (2, "b", "2024-01-01")], "k int, poll_id string, fetched_date string")
+    K.write_poll_partitions(df, p)
+    K.write_poll_partitions(df.filter("k = 1"), p)  # poll a again
+    assert spark.read.parquet(p).count() == 2
     K.append_rows(spark.createDataFrame([], "k int, v string"), os.path.join(scratch, "e"))
 
 
@@ -86,7 +91,7 @@ def test_share_of_total_is_a_scalar_subquery(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.catalog.queries()))
 def test_no_python_udf_or_cross_join_in_any_query(spark, key):
     plan = _plan(E.queries()[key](spark, SF))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",

@@ -94,8 +94,9 @@ def decode_long(c) -> Column:
     """
     c = _col(c)
     is_obj = F.startswith(F.ltrim(c), F.lit("{"))
-    low = F.coalesce(F.get_json_object(c, "$.low").try_cast("bigint"), F.lit(0).cast("bigint"))
-    high = F.coalesce(F.get_json_object(c, "$.high").try_cast("bigint"), F.lit(0).cast("bigint"))
+    parts = F.from_json(c, "low bigint, high bigint")
+    low = F.coalesce(parts["low"], F.lit(0).cast("bigint"))
+    high = F.coalesce(parts["high"], F.lit(0).cast("bigint"))
     combined = F.shiftleft(high, 32).bitwiseOR(low.bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint")))
     return F.when(is_obj, combined).otherwise(c.try_cast("bigint"))
 
@@ -103,15 +104,19 @@ def decode_long(c) -> Column:
 def epoch_to_ts(c) -> Column:
     """SC-9: epoch seconds (number or Long object) -> naive UTC timestamp.
 
-    NULL-safe; 0 is 1970-01-01, not NULL. Requires session time zone UTC
-    (set by ``tramline.session``).
+    NULL-safe; 0 is 1970-01-01, not NULL. Counted from an NTZ literal, so the
+    session's time zone plays no part.
     """
-    return F.timestamp_seconds(decode_long(c)).cast("timestamp_ntz")
+    return F.timestamp_add("SECOND", decode_long(c), _EPOCH_NTZ())
 
 
-def epoch_long_to_ts(c) -> Column:
-    """SC-9 for a column that is already BIGINT."""
-    return F.timestamp_seconds(_col(c)).cast("timestamp_ntz")
+def utc_ntz(ts) -> Column:
+    """A TIMESTAMP as its naive UTC time, whatever the session's zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), _EPOCH_NTZ())
+
+
+def _EPOCH_NTZ() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def train_category(short_name) -> Column:

@@ -39,10 +39,15 @@ def width_violations(df: DataFrame, widths: dict) -> DataFrame:
 
 def fk_violations(child: DataFrame, column: str, parent: DataFrame, parent_column: str
                   ) -> DataFrame:
-    """CHK-3: child rows whose non-NULL reference has no parent (NULL allowed)."""
-    p = parent.select(F.col(parent_column).alias("_ref")).distinct()
-    c = child.filter(F.col(column).isNotNull())
-    return c.join(p, c[column] == p["_ref"], "left_anti")
+    """CHK-3: references without a parent (NULL allowed) and how many child rows have them.
+
+    Child rows are counted per reference first, so a reference that many
+    rows share is one row in the join, and the parent's keys need no distinct.
+    """
+    counts = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_ref")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    p = parent.select(F.col(parent_column).alias("_ref"))
+    return counts.join(p, "_ref", "left_anti").select(F.col("_ref").alias(column), "n_rows")
 
 
 def fk_report(checks) -> DataFrame:
@@ -53,11 +58,11 @@ def fk_report(checks) -> DataFrame:
     """
     parts = [fk_violations(cdf, col, pdf, pcol).select(
         F.lit(cn).alias("child_table"), F.lit(col).alias("child_column"),
-        F.lit(pn).alias("parent_table"))
+        F.lit(pn).alias("parent_table"), "n_rows")
         for cn, cdf, col, pn, pdf, pcol in checks]
     found = reduce(DataFrame.unionByName, parts).groupBy(
         "child_table", "child_column", "parent_table").agg(
-        F.count(F.lit(1)).alias("violations"))
+        F.sum("n_rows").alias("violations"))
     spark = checks[0][1].sparkSession
     names = spark.createDataFrame([(cn, col, pn) for cn, _, col, pn, _, _ in checks],
                                   "child_table string, child_column string, parent_table string")

@@ -3,10 +3,10 @@
 A poll is one JSON document ``{"entity": [...]}`` (one file per poll on
 disk). Everything here is a DataFrame transform over *many* polls at once:
 ``from_json`` with the declared schema, ``posexplode`` of the entity list
-and of each child array, and column selection. Keys are deterministic
-hashes of (feed, poll file, position, id), computed before the children
-are exploded, so parents and children agree without a write-back and a
-replay of the same file yields the same keys (KEY-1, KEY-2).
+and of each child array, and column selection. Keys are the poll's 128-bit
+id and positions in it, known before the children are exploded, so parents
+and children agree without a write-back and a replay of the same file
+yields the same keys (KEY-1, KEY-2).
 """
 
 from __future__ import annotations
@@ -15,9 +15,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tramline.functions.timecols import epoch_to_ts
-from tramline.sources.schemas import ALERT, FEED_MESSAGE, TRIP_UPDATE
+from tramline.functions.timecols import epoch_to_ts, utc_ntz
+from tramline.sources.schemas import ALERT, FACT_WIDTHS, FEED_MESSAGE, TRIP_UPDATE
 
 # The run summary's label when no station filter is given, its
 # status value, and the alert text fields with the feed objects they come from.
@@ -27,48 +28,75 @@ TEXT_FIELDS = (("header", "headerText"), ("description", "descriptionText"), ("u
 
 
 # ----------------------------------------------------------------- SRC-3
+_CORRUPT = "_malformed"
+_POLL_SCHEMA = T.StructType([*FEED_MESSAGE.fields, T.StructField(_CORRUPT, T.StringType())])
+
+
 def poll_time(msg: Column, file_mtime: Column) -> Column:
     """STR-2: the poll stamp — the feed header's timestamp, else the file's mtime."""
-    return F.coalesce(epoch_to_ts(msg["header"]["timestamp"]), file_mtime.cast("timestamp_ntz"))
+    return F.coalesce(epoch_to_ts(msg["header"]["timestamp"]), utc_ntz(file_mtime))
+
+
+def poll_columns(raw: DataFrame, feed: str) -> DataFrame:
+    """Text polls (``value`` and file metadata) -> feed, source_file, poll_id, fetched_at, msg, malformed.
+
+    ``poll_id`` is a 128-bit hash of feed, file and text: it comes from the
+    data, so a replay gives it again whatever batch the poll is in.
+    ``malformed`` is the text of a poll that is no JSON, or has a value that
+    does not fit its declared type; NULL for a sound poll.
+    """
+    named = raw.select(F.lit(feed).alias("feed"), F.col("_metadata.file_path").alias("source_file"),
+                       F.col("_metadata.file_modification_time").alias("_mtime"), "value")
+    parsed = parse_polls(named, "value")
+    return parsed.select("feed", "source_file", "poll_id", poll_time(F.col("msg"), F.col("_mtime")).alias("fetched_at"),
+                         "msg", "malformed")
 
 
 def read_poll_files(spark: SparkSession, path: str, feed: str,
                     one_poll_per_file: bool = True) -> DataFrame:
-    """Poll files -> one row per poll: (feed, source_file, fetched_at, msg).
+    """Poll files -> one row per poll (see ``poll_columns``).
 
     ``one_poll_per_file``: each file is one (multi-line) JSON document, as a
     poller writes it; otherwise JSON lines, one poll per line, which Spark
-    splits across tasks. ``fetched_at`` is the header timestamp, else the
-    file's modification time (both stable on replay).
+    splits across tasks; a line repeated word for word in a file is one poll.
+    ``fetched_at`` is the header timestamp, else the file's modification time
+    (both stable on replay).
     """
-    raw = (spark.read.schema(FEED_MESSAGE).option("multiLine", one_poll_per_file)
-           .option("mode", "PERMISSIVE").json(path))
-    msg = F.struct(*[F.col(c) for c in FEED_MESSAGE.fieldNames()])
-    return raw.select(
-        F.lit(feed).alias("feed"),
-        F.col("_metadata.file_path").alias("source_file"),
-        poll_time(msg, F.col("_metadata.file_modification_time")).alias("fetched_at"),
-        msg.alias("msg"),
-    )
+    raw = spark.read.text(path, wholetext=one_poll_per_file)
+    polls = poll_columns(raw, feed)
+    return polls if one_poll_per_file else polls.dropDuplicates(["poll_id"])
 
 
 def parse_polls(polls: DataFrame, payload: str = "payload") -> DataFrame:
-    """Poll rows carrying the JSON text -> the same rows with a parsed ``msg``."""
-    return polls.withColumn("msg", F.from_json(F.col(payload), FEED_MESSAGE)).drop(payload)
+    """Poll rows carrying the JSON text -> the same rows with ``poll_id``, ``msg`` and ``malformed``."""
+    text = F.col(payload)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    parsed = polls.withColumn("_msg", F.from_json(text, _POLL_SCHEMA, options)).withColumn(
+        "poll_id", F.md5(F.concat_ws("\u0001", "feed", "source_file", text)))
+    broken = F.col("_msg").isNull() | F.col(f"_msg.{_CORRUPT}").isNotNull()
+    return (parsed.withColumn("malformed", F.when(broken, text))
+            .withColumn("msg", F.struct(*[F.col(f"_msg.{c}").alias(c) for c in FEED_MESSAGE.fieldNames()]))
+            .drop("_msg", payload))
 
 
 def entities(polls: DataFrame) -> DataFrame:
     """One row per feed entity; a poll without ``entity`` gives no rows.
 
-    ``entity_key`` = xxhash64(feed, source_file, header timestamp, position,
-    entity id): unique per poll even when one file holds several polls.
+    ``entity_key`` = poll id and position in the poll: no two entities share
+    one, and children add their own position to it (KEY-1, KEY-2).
     """
-    e = polls.select("feed", "source_file", "fetched_at",
-                     F.col("msg.header.timestamp").alias("_poll_ts"),
+    e = polls.select("feed", "source_file", "poll_id", "fetched_at",
                      F.posexplode(F.col("msg.entity")).alias("entity_pos", "entity"))
-    return e.withColumn("entity_key", F.xxhash64("feed", "source_file", "_poll_ts",
-                                                 "entity_pos", F.col("entity.id"))
-                        ).drop("_poll_ts")
+    return e.withColumn("entity_key", _key("poll_id", "entity_pos"))
+
+
+def _key(*parts) -> Column:
+    return F.concat_ws("-", *[F.col(p).cast("string") if isinstance(p, str) else p for p in parts])
+
+
+def poll_of(key) -> Column:
+    """The poll id that a key begins with."""
+    return F.substring(key, 1, 32)
 
 
 # ------------------------------------------------------------------- F-6
@@ -116,23 +144,33 @@ def resolve_station_ids(dim_stations: DataFrame, station_input) -> DataFrame | N
             .select(F.col("stop_id").cast("string").alias("stop_id")).distinct())
 
 
+def station_ids(stop_ids: DataFrame) -> Column:
+    """The resolved stop ids as one array: a part of the station table, so bounded by the network."""
+    return stop_ids.agg(F.collect_set("stop_id")).scalar()
+
+
+def stops_at(stop_ids: DataFrame | None, on_no_match: str = "all") -> Column:
+    """F-9 as a flag: ANY of the entity's stops is in ``stop_ids`` (None = no filter).
+
+    An empty id set means "no filter" in the reference (T-1,
+    ``on_no_match='all'``); ``on_no_match='none'`` matches nothing instead.
+    """
+    if stop_ids is None:
+        return F.lit(True)
+    ids = station_ids(stop_ids)
+    stops = F.transform("entity.tripUpdate.stopTimeUpdate", lambda s: s["stopId"])
+    hit = F.coalesce(F.arrays_overlap(stops, ids), F.lit(False))
+    return hit | (F.size(ids) == 0) if on_no_match == "all" else hit
+
+
 def filter_trips_by_stations(trip_ents: DataFrame, stop_ids: DataFrame | None,
                              on_no_match: str = "all") -> DataFrame:
     """F-9: keep a trip entity if ANY of its stops is in ``stop_ids``.
 
-    Kept trips keep ALL their stops (T-2). ``stop_ids`` None = no filter.
-    An empty id set means "no filter" in the reference (T-1,
-    ``on_no_match='all'``); ``on_no_match='none'`` keeps nothing instead.
+    Kept trips keep ALL their stops (T-2). The ids are one scalar, tested
+    against each entity's own stops: no join, one pass.
     """
-    if stop_ids is None:
-        return trip_ents
-    if stop_ids.isEmpty():
-        return trip_ents if on_no_match == "all" else trip_ents.filter(F.lit(False))
-    stops = trip_ents.select(
-        "entity_key",
-        F.explode("entity.tripUpdate.stopTimeUpdate.stopId").alias("stop_id"))
-    hit = stops.join(stop_ids, "stop_id", "left_semi").select("entity_key").distinct()
-    return trip_ents.join(hit, "entity_key", "left_semi")
+    return trip_ents if stop_ids is None else trip_ents.filter(stops_at(stop_ids, on_no_match))
 
 
 # --------------------------------------------------------------- JSN-3/4
@@ -173,7 +211,7 @@ def trip_stop_updates(trip_ents: DataFrame, carry: dict | None = None) -> DataFr
     s = F.col("s")
     return e.select(
         *list(carry or {}),
-        F.xxhash64("update_pk", "pos", F.lit("stop")).alias("id"),
+        _key("update_pk", "pos").alias("id"),
         "update_pk",
         F.coalesce(s["stopSequence"], F.lit(0)).alias("stop_sequence"),
         s["stopId"].alias("stop_id"),
@@ -199,7 +237,7 @@ def alert_active_periods(alert_ents: DataFrame, carry: dict | None = None) -> Da
     e = alert_ents.select(F.col("entity_key").alias("alert_pk"), *_carry(carry),
                           F.posexplode("entity.alert.activePeriod").alias("pos", "p"))
     return e.select(*list(carry or {}),
-                    F.xxhash64("alert_pk", "pos", F.lit("period")).alias("id"), "alert_pk",
+                    _key("alert_pk", "pos").alias("id"), "alert_pk",
                     epoch_to_ts(F.col("p.start")).alias("period_start"),
                     epoch_to_ts(F.col("p.end")).alias("period_end"))
 
@@ -218,7 +256,7 @@ def alert_texts(alert_ents: DataFrame, carry: dict | None = None) -> DataFrame:
     e = e.select("alert_pk", *list(carry or {}), F.col("f.field_name").alias("field_name"),
                  F.posexplode("f.tr").alias("pos", "t"))
     return e.select(*list(carry or {}),
-                    F.xxhash64("alert_pk", "field_name", "pos").alias("id"), "alert_pk",
+                    _key("alert_pk", "field_name", "pos").alias("id"), "alert_pk",
                     "field_name", F.col("t.language").alias("language"),
                     F.col("t.text").alias("text_value"))
 
@@ -230,7 +268,7 @@ def alert_informed_entities(alert_ents: DataFrame, carry: dict | None = None) ->
     i = F.col("i")
     return e.select(
         *list(carry or {}),
-        F.xxhash64("alert_pk", "pos", F.lit("informed")).alias("id"), "alert_pk",
+        _key("alert_pk", "pos").alias("id"), "alert_pk",
         i["agencyId"].alias("agency_id"), i["routeId"].alias("route_id"),
         i["routeType"].alias("route_type"), i["trip"]["tripId"].alias("trip_id"),
         i["trip"]["startDate"].alias("trip_start_date"),
@@ -241,28 +279,27 @@ def alert_informed_entities(alert_ents: DataFrame, carry: dict | None = None) ->
 
 
 # ----------------------------------------------------------------- SNK-6
-def ingest_summary(trip_feed_ents: DataFrame, kept_trip_ents: DataFrame,
-                   alert_ents: DataFrame, station_filter, stop_ids: DataFrame | None
-                   ) -> DataFrame:
-    """SNK-6: the run summary as one row, computed in one aggregate job.
+def ingest_summary(trip_feed_ents: DataFrame, alert_ents: DataFrame, station_filter,
+                   stop_ids: DataFrame | None, on_no_match: str = "all", by=()) -> DataFrame:
+    """SNK-6: the run summary as one row, or one for each value of ``by`` (poll columns).
 
-    Narrow tagged projections are unioned and counted with conditional
-    counts: each task pre-counts its rows, one tiny final merge.
+    Each entity is looked at once: narrow flags are unioned and summed, each
+    task pre-sums its rows.
     """
-    parts = [trip_feed_ents.select(F.lit("fetched").alias("_k"), F.lit(None).cast("string").alias("_v")),
-             kept_trip_ents.select(F.lit("kept").alias("_k"), F.lit(None).cast("string").alias("_v")),
-             alert_ents.select(F.lit("alert").alias("_k"), F.lit(None).cast("string").alias("_v"))]
-    if stop_ids is not None:
-        parts.append(stop_ids.select(F.lit("id").alias("_k"), F.col("stop_id").alias("_v")))
-    u = reduce(DataFrame.unionByName, parts)
-    k = F.col("_k")
-    return u.agg(
-        F.count_distinct(F.when(k == "id", F.col("_v"))).alias("resolved_stop_ids_count"),
-        F.count_if(k == "fetched").alias("total_trips_fetched"),
-        F.count_if(k == "kept").alias("trips_inserted"),
-        F.count_if(k == "alert").alias("alerts_processed"),
-    ).select(F.lit(station_filter or NO_FILTER_LABEL).alias("station_filter"),
-             F.lit(STATUS_OK).alias("status"), "*")
+    kept = _present(F.col("entity.tripUpdate"), TRIP_UPDATE.fieldNames()) & stops_at(stop_ids, on_no_match)
+    one, none = F.lit(1), F.lit(0)
+    u = trip_feed_ents.select(*by, one.alias("f"), kept.cast("int").alias("k"), none.alias("a")).unionByName(
+        alert_ents.select(*by, none.alias("f"), none.alias("k"), one.alias("a")))
+    ids = F.size(station_ids(stop_ids)) if stop_ids is not None else F.lit(0)
+
+    def total(c):
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    sums = [total("f").alias("total_trips_fetched"), total("k").alias("trips_inserted"),
+            total("a").alias("alerts_processed")]
+    summed = u.groupBy(*by).agg(*sums) if by else u.agg(*sums)
+    return summed.select(*by, F.lit(station_filter or NO_FILTER_LABEL).alias("station_filter"),
+                         F.lit(STATUS_OK).alias("status"), ids.cast("bigint").alias("resolved_stop_ids_count"),
+                         "total_trips_fetched", "trips_inserted", "alerts_processed")
 
 
 # ------------------------------------------------------------- one call
@@ -276,11 +313,16 @@ FACT_NOT_NULL = {
 
 
 class InvalidFeedRows(ValueError):
-    """Raised in ``strict`` mode when a fact row breaks a NOT NULL column."""
+    """Raised in ``strict`` mode for a malformed poll, or a fact row that breaks
+    a NOT NULL column or is wider than its column."""
 
 
-def enforce_not_null(tables: dict[str, DataFrame], mode: str = "keep") -> dict[str, DataFrame]:
-    """T-3: rows that would break a NOT NULL column (e.g. a stop without ``stopId``).
+REJECTED = "table_name string, reason string, row_json string"
+
+
+def enforce_columns(tables: dict[str, DataFrame], mode: str = "keep") -> dict[str, DataFrame]:
+    """T-3, CHK-5: rows that would break a NOT NULL column (e.g. a stop without
+    ``stopId``) or are wider than their column.
 
     ``keep``: unchanged (lazy). ``strict``: like the reference's single
     commit — nothing is accepted if any row is bad (raises before writing).
@@ -291,17 +333,18 @@ def enforce_not_null(tables: dict[str, DataFrame], mode: str = "keep") -> dict[s
         return tables
     out = dict(tables)
     rejected = []
-    for name, cols in FACT_NOT_NULL.items():
-        if name not in tables:
+    for name, df in tables.items():
+        breaks = [(F.col(c).isNull(), f"{c} is null") for c in FACT_NOT_NULL.get(name, [])]
+        breaks += [(F.length(c) > n, f"{c} is wider than {n}") for c, n in FACT_WIDTHS.get(name, {}).items()]
+        if not breaks:
             continue
-        df = tables[name]
-        bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+        bad = F.coalesce(reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c, _ in breaks]), F.lit(False))
+        reason = F.concat_ws(",", *[F.when(c, F.lit(why)) for c, why in breaks])
         if mode == "strict":
-            if not df.filter(bad).isEmpty():
-                raise InvalidFeedRows(f"{name}: NULL in a NOT NULL column of {cols}")
+            first = df.filter(bad).select(reason).first()
+            if first is not None:
+                raise InvalidFeedRows(f"{name}: {first[0]}")
             continue
-        reason = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(f"{c} is null"))
-                                    for c in cols])
         out[name] = df.filter(~bad)
         rejected.append(df.filter(bad).select(
             F.lit(name).alias("table_name"), reason.alias("reason"),
@@ -310,9 +353,7 @@ def enforce_not_null(tables: dict[str, DataFrame], mode: str = "keep") -> dict[s
     rejected.extend(dup_rows)
     if mode == "quarantine":
         spark = next(iter(tables.values())).sparkSession
-        out["rejected"] = (reduce(DataFrame.unionByName, rejected) if rejected else
-                           spark.createDataFrame([], "table_name string, reason string, "
-                                                     "row_json string"))
+        out["rejected"] = reduce(DataFrame.unionByName, rejected, spark.createDataFrame([], REJECTED))
     return out
 
 
@@ -352,27 +393,54 @@ def _enforce_unique_alerts(tables: dict[str, DataFrame], mode: str):
     return out, diverted
 
 
+def sound_polls(polls: DataFrame, mode: str) -> tuple[DataFrame, DataFrame | None]:
+    """SRC-3: polls to go on with, and the ``rejected`` rows of malformed ones.
+
+    ``strict`` raises for a malformed poll, as the reference's parser does;
+    ``quarantine`` diverts its raw text; ``keep`` goes on with what could be
+    read of it. Polls without the column (built by hand) count as sound.
+    """
+    if mode == "keep" or "malformed" not in polls.columns:
+        return polls, None
+    broken = polls.filter("malformed IS NOT NULL")
+    if mode == "strict":
+        first = broken.select("source_file").first()
+        if first is not None:
+            raise InvalidFeedRows(f"malformed poll in {first[0]}")
+        return polls, None
+    return polls.filter("malformed IS NULL"), broken.select(
+        F.lit("polls").alias("table_name"), F.concat(F.lit("malformed poll in "), "source_file").alias("reason"),
+        F.col("malformed").alias("row_json"))
+
+
 def flatten(trip_polls: DataFrame, alert_polls: DataFrame,
             dim_stations: DataFrame | None = None, station_filter=None,
-            on_no_match: str = "all", on_invalid: str = "keep") -> dict[str, DataFrame]:
+            on_no_match: str = "all", on_invalid: str = "keep", carry: dict | None = None,
+            summary_by=()) -> dict[str, DataFrame]:
     """Both feeds -> the six fact tables and the summary (lazy DataFrames).
 
-    Callers that write several outputs should persist the entity frames
+    Callers that write several outputs should persist the polls
     (``streaming.ingest`` does, per micro-batch) so JSON is parsed once.
-    ``on_invalid`` handles NOT NULL breaks: keep / strict / quarantine.
+    ``on_invalid`` handles malformed polls, NOT NULL breaks and overlong
+    values: keep / strict / quarantine. ``carry`` copies poll columns onto
+    the child rows.
     """
+    trip_polls, bad_trips = sound_polls(trip_polls, on_invalid)
+    alert_polls, bad_alerts = sound_polls(alert_polls, on_invalid)
     t_ents = entities(trip_polls)
     a_ents = alert_entities(entities(alert_polls))
     ids = (resolve_station_ids(dim_stations, station_filter)
            if dim_stations is not None else None)
     kept = filter_trips_by_stations(trip_update_entities(t_ents), ids, on_no_match)
-    tables = {
+    tables = enforce_columns({
         "trip_updates": trip_updates(kept),
-        "trip_stop_updates": trip_stop_updates(kept),
+        "trip_stop_updates": trip_stop_updates(kept, carry),
         "service_alerts": service_alerts(a_ents),
-        "alert_active_periods": alert_active_periods(a_ents),
-        "alert_texts": alert_texts(a_ents),
-        "alert_informed_entities": alert_informed_entities(a_ents),
-        "summary": ingest_summary(t_ents, kept, a_ents, station_filter, ids),
-    }
-    return enforce_not_null(tables, on_invalid)
+        "alert_active_periods": alert_active_periods(a_ents, carry),
+        "alert_texts": alert_texts(a_ents, carry),
+        "alert_informed_entities": alert_informed_entities(a_ents, carry),
+        "summary": ingest_summary(t_ents, a_ents, station_filter, ids, on_no_match, summary_by),
+    }, on_invalid)
+    if bad_trips is not None:
+        tables["rejected"] = tables["rejected"].unionByName(bad_trips).unionByName(bad_alerts)
+    return tables

@@ -16,7 +16,7 @@ from tramline.sources.tables import read_table
 
 PART_SCHEMA = [("p_partkey", "int"), ("p_name", "str"), ("p_size", "int"),
                ("p_retailprice", "float"), ("p_container", "str")]
-PURGE_BEFORE = "1993-01-01"  # CHK-6 retention: snapshots older than this go
+PURGE_BEFORE = "1997-01-01"  # CHK-6 retention: snapshots older than this go
 
 # DuckDB twins of the cleaning column builders (ASCII whitespace fixtures).
 def _strip(c):
@@ -46,12 +46,12 @@ SELECT {_clean('trip_id', 100)} AS trip_id, {_clean('route_id', 50)} AS route_id
        {_digits('bikes_allowed')} AS bikes_allowed,
        {_digits('wheelchair_accessible')} AS wheelchair_accessible
 FROM raw_trips_text"""
-_TRIPS_SQL = sql_with("raw_routes_text", "raw_trips_text",
-                      extra={"dim_routes": _DIM_ROUTES, "clean_trips": _CLEAN_TRIPS})
+_TRIPS_SQL = sql_with("raw_routes_partial_text", "raw_trips_text",
+                      extra={"dim_routes": _DIM_ROUTES.replace("raw_routes_text", "raw_routes_partial_text"), "clean_trips": _CLEAN_TRIPS})
 
 
 def _dims(spark, d):
-    routes = D.dim_routes(X.raw_routes_text(spark, d))
+    routes = D.dim_routes(X.raw_routes_partial_text(spark, d))
     return routes, X.raw_trips_text(spark, d)
 
 
@@ -115,10 +115,12 @@ def default_route_type_q(spark, d):
 @register("drop_empty_columns", """
 SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
        CASE WHEN p_partkey % 11 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END AS p_size,
-       ' ' AS p_mfgr
+       CAST(CAST(p_retailprice AS DECIMAL(18, 2)) AS VARCHAR) AS p_retailprice, ' ' AS p_mfgr
 FROM part""")
 def drop_empty_columns_q(spark, d):
-    return Q.drop_empty_columns(X.part_text(spark, d).drop("p_retailprice"))
+    parts = X.part_text(spark, d)
+    price = F.col("p_retailprice").cast("decimal(18,2)").cast("string")  # one text form in both engines
+    return Q.drop_empty_columns(parts.withColumn("p_retailprice", price))
 
 
 # ------------------------------------------------------------ dimensions

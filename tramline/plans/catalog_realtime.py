@@ -22,14 +22,12 @@ _ENTITY_ID = {"entity_id": "entity.id"}
 
 
 def _trip_polls(spark, d):
-    """The trip-update polls derived from orders/lineitem, read as staged files."""
-    return R.read_poll_files(spark, X.staged_polls(spark, d, "trip-update"), "trip-update",
-                             one_poll_per_file=False)
+    """The trip-update polls derived from orders/lineitem, built and parsed in one lazy plan."""
+    return R.parse_polls(X.trip_feed_polls(spark, d))
 
 
 def _alert_polls(spark, d):
-    return R.read_poll_files(spark, X.staged_polls(spark, d, "alert"), "alert",
-                             one_poll_per_file=False)
+    return R.parse_polls(X.alert_feed_polls(spark, d))
 
 
 def _trip_ents(spark, d):
@@ -200,7 +198,7 @@ def surrogate_keys(spark, d):
     ``update_pk`` (uniqueness and orphans in a single shuffle, no anti-join).
     """
     ents = R.trip_update_entities(_trip_ents(spark, d))
-    tu = R.trip_updates(ents).select("update_pk", F.lit(None).cast("bigint").alias("id"),
+    tu = R.trip_updates(ents).select("update_pk", F.lit(None).cast("string").alias("id"),
                                      F.lit(1).alias("is_parent"))
     st = R.trip_stop_updates(ents).select("update_pk", "id", F.lit(0).alias("is_parent"))
     per_key = tu.unionByName(st).groupBy("update_pk").agg(

@@ -1,8 +1,8 @@
 """End-to-end loads: the static warehouse (SNK-1) and the dimension seed (SNK-3).
 
-Both read a staged feed folder, run their checks as Spark jobs on the
-staged copies and publish only if the checks pass, so a failed run leaves
-the previous tables in place.
+Both read a staged feed folder, write a new version, run their checks as
+Spark jobs on it and make it current only if they pass, so a failed run
+leaves the previous tables in place.
 """
 
 from __future__ import annotations
@@ -14,27 +14,36 @@ from tramline.operators import dims as D
 from tramline.operators import quality as Q
 from tramline.sources import gtfs as G
 from tramline.sources.schemas import (
-    GTFS_FOREIGN_KEYS, GTFS_LOAD_ORDER, GTFS_NOT_NULL, GTFS_PRIMARY_KEYS,
+    DIM_PRIMARY_KEYS, GTFS_FOREIGN_KEYS, GTFS_LOAD_ORDER, GTFS_NOT_NULL, GTFS_PRIMARY_KEYS,
+    WAREHOUSE_NOT_NULL,
 )
-from tramline.sources.sinks import publish_tables
+from tramline.sources.sinks import path_exists, publish_tables
 
 DIMENSION_FILES = ("stops", "routes", "trips")
 
 
-def feed_checks(tables: dict[str, DataFrame], enforce_fk: bool = False) -> list[str]:
-    """CHK-1/CHK-2 (and CHK-3 when asked) over staged tables -> problems found.
+def key_checks(tables: dict[str, DataFrame], not_null: dict, primary_keys: dict) -> list[str]:
+    """CHK-1/CHK-2 over written tables -> problems found.
 
     One aggregate per table for NOT NULL, one grouped count per primary key.
-    The reference declares foreign keys but SQLite does not enforce them,
-    so FK breaks are reported only with ``enforce_fk``.
     """
     problems = []
     for name, df in tables.items():
-        nn = Q.not_null_violations(df, GTFS_NOT_NULL[name]).filter(F.col("null_count") > 0)
+        nn = Q.not_null_violations(df, not_null[name]).filter(F.col("null_count") > 0)
         for r in nn.collect():  # at most one row per checked column
             problems.append(f"{name}.{r.column_name}: {r.null_count} NULL")
-        if not Q.pk_violations(df, GTFS_PRIMARY_KEYS[name]).isEmpty():
-            problems.append(f"{name}: duplicate primary key {GTFS_PRIMARY_KEYS[name]}")
+        if not Q.pk_violations(df, primary_keys[name]).isEmpty():
+            problems.append(f"{name}: duplicate primary key {primary_keys[name]}")
+    return problems
+
+
+def feed_checks(tables: dict[str, DataFrame], enforce_fk: bool = False) -> list[str]:
+    """CHK-1/CHK-2 (and CHK-3 when asked) over a feed's tables -> problems found.
+
+    The reference declares foreign keys but SQLite does not enforce them,
+    so FK breaks are reported only with ``enforce_fk``.
+    """
+    problems = key_checks(tables, GTFS_NOT_NULL, GTFS_PRIMARY_KEYS)
     if enforce_fk:
         checks = [(c, tables[c], cc, p, tables[p], pc) for c, cc, p, pc in GTFS_FOREIGN_KEYS
                   if c in tables and p in tables]
@@ -62,10 +71,11 @@ def load_dimensions(spark: SparkSession, feed_dir: str, out_root: str
                     ) -> tuple[dict[str, str], DataFrame]:
     """Dimension seed: dim_stations, dim_routes, dim_trips (orphan trips dropped).
 
-    All three are staged and published together (routes before trips);
-    returns the published paths and a one-row (kept, rejected) trip count.
+    All three become current together, after their keys and NOT NULL columns
+    are checked as the warehouse's constraints do; returns the published
+    paths and a one-row (kept, rejected) trip count.
     """
-    missing = [f for f in DIMENSION_FILES if not _exists(spark, feed_dir, f)]
+    missing = [f for f in DIMENSION_FILES if not path_exists(spark, f"{feed_dir}/{f}.txt")]
     if missing:
         raise G.MissingFeedFile(f"missing GTFS files: {', '.join(m + '.txt' for m in missing)}")
     stations = D.dim_stations(G.read_feed_text(spark, feed_dir, "stops"))
@@ -74,11 +84,7 @@ def load_dimensions(spark: SparkSession, feed_dir: str, out_root: str
     trips, _ = D.dim_trips(raw_trips, routes)
     paths = publish_tables(spark, {"dim_stations": stations, "dim_routes": routes,
                                    "dim_trips": trips}, out_root,
-                           order=["dim_stations", "dim_routes", "dim_trips"])
+                           order=["dim_stations", "dim_routes", "dim_trips"],
+                           checks=lambda t: key_checks(t, WAREHOUSE_NOT_NULL, DIM_PRIMARY_KEYS))
     counts = D.dim_trips_counts(raw_trips, spark.read.parquet(paths["dim_routes"]))
     return paths, counts
-
-
-def _exists(spark: SparkSession, feed_dir: str, name: str) -> bool:
-    import os
-    return os.path.exists(os.path.join(feed_dir, f"{name}.txt"))

@@ -57,10 +57,8 @@ def get_session(master: str | None = None, app_name: str = "tramline",
 
 def apply_required_conf(spark: SparkSession) -> None:
     for k, v in REQUIRED_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):  # else keep the cluster's
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared cluster: keep theirs
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -74,37 +72,45 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set our own only when unset.
 
-    The fallback (a fresh folder under /tmp) is for local tests only — on a
-    cluster the setting is always present and shared by all executors.
+    The fallback (a fresh folder under /tmp) is for a local master only: on
+    a cluster a folder of one machine would lose what other machines wrote,
+    so there an unset folder is an error.
     """
     d = checkpoint_dir(spark)
     if d:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
         return d
+    if not fallback and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     d = fallback or tempfile.mkdtemp(prefix="tramline-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(d)
     spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
+MAX_SHUFFLE_PARTITIONS = 20_000
+
+
 def recommended_conf(input_bytes: int, total_cores: int,
                      target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Partition sizing for a cluster run, derived from the input volume.
 
-    Shuffle partitions start at ~input / target size (at least 2 per core) so
-    every post-shuffle task handles about ``target_partition_bytes`` even
-    before AQE coalesces small ones; scans split at the same size. At 100 TB
-    and 256 MiB that is ~400k initial shuffle partitions — AQE coalesces what
-    turns out small and splits skewed join partitions (a hot key holding a
-    third of the rows is split across many tasks).
+    Shuffle partitions start at ~input / target size, at least 2 per core and
+    at most ``MAX_SHUFFLE_PARTITIONS``: blocks are map tasks times partitions,
+    and the driver keeps a size for each, so beyond that partitions grow
+    instead (5 GB each if 100 TB were shuffled whole, which aggregates and
+    pruned columns do not; sorts spill). AQE coalesces what turns out small
+    and splits skewed join partitions. Scans split at 4 times the target from
+    10 TB on, which cuts the map tasks likewise.
     """
-    initial = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    initial = max(2 * total_cores, min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // target_partition_bytes)))
+    split = target_partition_bytes * (4 if input_bytes >= 10 * 2**40 else 1)
     return {
         "spark.sql.shuffle.partitions": str(initial),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes":
             str(2 * target_partition_bytes),

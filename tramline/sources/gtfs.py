@@ -13,24 +13,23 @@ from pyspark.sql import functions as F
 
 from tramline.functions.text import cast_lenient, cast_strict
 from tramline.sources.schemas import GTFS_LOAD_ORDER, GTFS_TABLES, KIND_TO_SQL
-
-# Tables whose text has no embedded newlines: read without multiLine so
-# Spark can split the file across tasks (stop_times is the big one).
-SPLITTABLE = {"stop_times", "calendar_dates", "trips"}
-
+from tramline.sources.sinks import path_exists
 
 class MissingFeedFile(FileNotFoundError):
     pass
 
 
-def read_csv_text(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """SRC-1: one GTFS text file, header row, BOM stripped, all columns STRING.
 
     ``escape='"'`` keeps doubled quotes inside quoted fields intact; short
     rows give NULL for the missing trailing columns; blank lines are skipped.
+    Every table is read with quoted line breaks allowed. That makes a file
+    one task; a table too big for that can be a folder of files, each with
+    the header, at the same path.
     """
     df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("escape", '"').option("multiLine", multiline)
+          .option("escape", '"').option("multiLine", True)
           .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(path))
     # A UTF-8 BOM can survive in the first header name; strip it.
     return df.toDF(*[c.lstrip("\ufeff").strip() for c in df.columns])
@@ -65,21 +64,19 @@ def read_feed(spark: SparkSession, feed_dir: str, tables=None, strict: bool = Tr
     """
     tables = list(tables or GTFS_LOAD_ORDER)
     required = set(required if required is not None else tables)
-    missing = [t for t in tables if t in required
-               and not os.path.exists(os.path.join(feed_dir, f"{t}.txt"))]
+    there = {t: path_exists(spark, os.path.join(feed_dir, f"{t}.txt")) for t in tables}
+    missing = [t for t in tables if t in required and not there[t]]
     if missing:
         raise MissingFeedFile(f"missing GTFS files: {', '.join(m + '.txt' for m in missing)}")
     out = {}
     for t in tables:
-        p = os.path.join(feed_dir, f"{t}.txt")
-        if not os.path.exists(p):
+        if not there[t]:
             continue
-        raw = read_csv_text(spark, p, multiline=t not in SPLITTABLE)
+        raw = read_csv_text(spark, os.path.join(feed_dir, f"{t}.txt"))
         out[t] = project_to_schema(raw, GTFS_TABLES[t], strict)
     return out
 
 
 def read_feed_text(spark: SparkSession, feed_dir: str, table: str) -> DataFrame:
     """One table as raw text (for the dimension loaders)."""
-    return read_csv_text(spark, os.path.join(feed_dir, f"{table}.txt"),
-                         multiline=table not in SPLITTABLE)
+    return read_csv_text(spark, os.path.join(feed_dir, f"{table}.txt"))

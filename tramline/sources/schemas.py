@@ -74,15 +74,6 @@ GTFS_FOREIGN_KEYS = [
 ]
 
 
-def gtfs_struct(table: str) -> T.StructType:
-    return T.StructType([T.StructField(c, KIND_TO_TYPE[k], True)
-                         for c, k in GTFS_TABLES[table]])
-
-
-def all_string_struct(columns) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-
-
 # ---------------------------------------------------------------- GTFS-RT feed
 # Every int64 that may arrive as {low, high, unsigned} is declared STRING:
 # Spark then keeps the object's raw JSON text and decode_long() reads it.
@@ -149,14 +140,9 @@ DIM_WIDTHS = {
                    "route_long_name": 200},
     "dim_trips": {"trip_id": 100, "route_id": 50, "service_id": 50, "trip_headsign": 150},
 }
+DIM_PRIMARY_KEYS = {"dim_stations": ["stop_id"], "dim_routes": ["route_id"], "dim_trips": ["trip_id"]}
 WAREHOUSE_NOT_NULL = {
     "dim_stations": ["stop_id", "stop_name"],
     "dim_routes": ["route_id", "route_type"],
     "dim_trips": ["trip_id", "route_id", "service_id"],
-    "trip_updates": ["update_pk", "entity_id", "trip_id", "fetched_at"],
-    "trip_stop_updates": ["id", "update_pk", "stop_sequence", "stop_id"],
-    "service_alerts": ["alert_pk", "entity_id", "fetched_at"],
-    "alert_active_periods": ["id", "alert_pk"],
-    "alert_texts": ["id", "alert_pk", "field_name"],
-    "alert_informed_entities": ["id", "alert_pk"],
 }

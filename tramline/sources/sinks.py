@@ -1,9 +1,10 @@
 """Writers (SNK-1..SNK-5).
 
-Parquet has no multi-table commit, so a multi-table load is staged:
-every table is written under a fresh staging folder, the checks run on the
-staged data, and only then is each table published (overwrite). A failure
-before publishing leaves the previous tables untouched.
+Parquet has no multi-table commit, so a multi-table load is versioned: every
+table is written once, under the folder of a new version, the checks run on
+what was written, and then one line in a small manifest makes the version
+current. Readers take their paths from the manifest, so they see all tables
+of one version or all of another, wherever a load fails.
 """
 
 from __future__ import annotations
@@ -24,48 +25,81 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by=None) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+_MANIFEST = "_manifest"
+
+
+def _filesystem(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in any store that Spark can read."""
+    fs, p = _filesystem(spark, path)
+    return fs.exists(p)
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The version that the last complete load made current."""
+    path = os.path.join(root, _MANIFEST)
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema("version string").csv(path).agg(F.max("version")).first()[0]
+
+
+def published_path(spark: SparkSession, root: str, name: str) -> str:
+    return os.path.join(root, f"version={current_version(spark, root)}", name)
+
+
+def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.parquet(published_path(spark, root, name))
 
 
 def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
                    order=None, checks=None) -> dict[str, str]:
-    """SNK-1 / SNK-3: stage all tables, validate, then publish parents first.
+    """SNK-1 / SNK-3: write all tables of a new version, validate, then switch to it.
 
-    ``checks(staged: dict[name, DataFrame])`` returns a list of problems;
-    any problem aborts before publishing. Returns {name: published path}.
+    ``checks(written: dict[name, DataFrame])`` returns a list of problems. A
+    problem or a failure at any point leaves the old version current; the
+    unfinished folder is removed. Versions are numbered upwards; one load
+    runs at a time. Returns {name: published path}.
     """
-    run = uuid.uuid4().hex[:12]
-    stage_root = os.path.join(root, "_staging", run)
-    staged_paths = {}
-    for name in (order or list(tables)):
-        p = os.path.join(stage_root, name)
-        tables[name].write.mode("overwrite").parquet(p)
-        staged_paths[name] = p
-    staged = {n: spark.read.parquet(p) for n, p in staged_paths.items()}
-    problems = checks(staged) if checks else []
-    if problems:
-        raise CheckFailed("; ".join(problems))
-    published = {}
-    for name in (order or list(tables)):
-        dst = os.path.join(root, name)
-        staged[name].write.mode("overwrite").parquet(dst)
-        published[name] = dst
-    return published
-
-
-def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    """SNK-4: (re)write exactly the partition ``batch_id=<id>`` of a table.
-
-    Dynamic partition overwrite makes a retried micro-batch replace its own
-    partition instead of appending duplicates.
+    names = list(order or tables)
+    version = f"{int((current_version(spark, root) or '0').split('-')[0]) + 1:010d}-{uuid.uuid4().hex[:8]}"
+    folder = os.path.join(root, f"version={version}")
+    paths = {n: os.path.join(folder, n) for n in names}
+    try:
+        for n in names:
+            tables[n].write.parquet(paths[n])
+        problems = checks({n: spark.read.parquet(p) for n, p in paths.items()}) if checks else []
+        if problems:
+            raise CheckFailed("; ".join(problems))
+        spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("append").csv(
+            os.path.join(root, _MANIFEST))
+    except Exception:
+        fs, p = _filesystem(spark, folder)
+        fs.delete(p, True)
+        raise
+    return paths
+
+
+POLL_PARTITION = ("fetched_date", "poll_id")
+
+
+def write_poll_partitions(df: DataFrame, path: str, sort_col: str | None = None) -> None:
+    """SNK-4: (re)write exactly the partitions of the polls in ``df``.
+
+    ``fetched_date`` and ``poll_id`` come from the data, so whatever batch or
+    checkpoint brings a poll again, it replaces its own rows and no others
+    (dynamic partition overwrite). The rows of one poll, which one document
+    holds, are one file sorted by ``sort_col`` (SNK-5).
     """
-    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").parquet(path))
+    out = df.repartition(*POLL_PARTITION)
+    if sort_col:
+        out = out.sortWithinPartitions(*POLL_PARTITION, sort_col)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*POLL_PARTITION).parquet(path))
 
 
 def write_fact_layout(df: DataFrame, path: str, ts_col: str = "fetched_at",

@@ -15,9 +15,6 @@ Mapping (driver -> transit):
 
 from __future__ import annotations
 
-import hashlib
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,11 +107,9 @@ def calendar_dates(spark: SparkSession, d: str) -> DataFrame:
     e = read_table(spark, d, "events", "user_id", "event_type", "ts")
     sid = F.when(F.col("user_id") % 2 == 0, F.concat(_s("user_id"), _lit("-all"))) \
            .otherwise(F.concat(_s("user_id"), _lit("-"), F.col("event_type")))
-    return (e.filter(F.col("event_type") != "error")
-             .select(sid.alias("service_id"),
-                     F.date_format("ts", "yyyyMMdd").alias("date"),
-                     _lit(1).alias("exception_type"))
-             .distinct())
+    # an error removes the date (2), any other event adds it (1)
+    return e.select(sid.alias("service_id"), F.date_format("ts", "yyyyMMdd").alias("date"),
+                    F.when(F.col("event_type") == "error", 2).otherwise(1).alias("exception_type")).distinct()
 
 
 def translations(spark: SparkSession, d: str) -> DataFrame:
@@ -208,43 +203,6 @@ def _polls(entities: DataFrame, feed: str) -> DataFrame:
     )
 
 
-def staged_polls(spark: SparkSession, d: str, feed: str) -> str:
-    """Stage the derived poll payloads once as JSON-lines files; return the folder.
-
-    This is the shape real polls arrive in (files on shared storage). The
-    folder lives under the cluster's ``spark.checkpoint.dir`` and is keyed
-    by the source tables' paths, sizes and modification times, so a changed
-    input re-stages. A folder without Spark's ``_SUCCESS`` marker (an
-    interrupted write) is rewritten.
-    """
-    from tramline.session import ensure_checkpoint_dir
-    from tramline.sources.tables import table_path
-    sources = {"trip-update": ("orders", "lineitem"), "alert": ("conversations",)}[feed]
-    sig = hashlib.sha1()
-    for t in sources:
-        p = os.path.abspath(table_path(d, t))
-        st = os.stat(p) if os.path.exists(p) else None
-        sig.update(f"{p}:{st.st_size if st else 0}:{st.st_mtime_ns if st else 0};".encode())
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = os.path.join(root, "tramline-staged-polls", sig.hexdigest()[:16], feed)
-    if not _has_success(spark, path):
-        build = trip_feed_polls if feed == "trip-update" else alert_feed_polls
-        build(spark, d).select("payload").write.mode("overwrite").text(path)
-    return path
-
-
-def _has_success(spark: SparkSession, path: str) -> bool:
-    """True when Spark committed a write at ``path`` (its ``_SUCCESS`` marker exists)."""
-    from pyspark.errors import AnalysisException
-    try:
-        spark.read.text(path + "/_SUCCESS")
-        return True
-    except AnalysisException:
-        return False
-
-
 def trip_feed_polls(spark: SparkSession, d: str) -> DataFrame:
     """Trip-update poll payloads: one entity per order, its lines as stops.
 
@@ -398,8 +356,8 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 SELECT DISTINCT
        CASE WHEN user_id % 2 = 0 THEN CAST(user_id AS VARCHAR) || '-all'
             ELSE CAST(user_id AS VARCHAR) || '-' || event_type END AS service_id,
-       strftime(ts, '%Y%m%d') AS date, 1 AS exception_type
-FROM events WHERE event_type <> 'error'""",
+       strftime(ts, '%Y%m%d') AS date, CASE event_type WHEN 'error' THEN 2 ELSE 1 END AS exception_type
+FROM events""",
     "translations": """
 SELECT 'stops' AS table_name, 'stop_name' AS field_name, n_name AS field_value,
        'en' AS language, 'EN ' || n_name AS translation
@@ -466,10 +424,10 @@ def _route_prefix(seg: Column) -> Column:
 
 
 def raw_routes_text(spark: SparkSession, d: str) -> DataFrame:
-    """Routes for every customer with c_custkey % 10 <> 0 (the others are orphans' routes)."""
+    """A route for every customer."""
     c = read_table(spark, d, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     k = F.col("c_custkey")
-    return c.filter(k % 10 != 0).select(
+    return c.select(
         F.concat(_lit(" "), _s(k), _lit(" ")).alias("route_id"),
         F.when(k % 6 == 0, _lit("")).otherwise(F.concat(_lit("AG"), _s("c_nationkey"))
                                               ).alias("agency_id"),
@@ -481,6 +439,11 @@ def raw_routes_text(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def raw_routes_partial_text(spark: SparkSession, d: str) -> DataFrame:
+    """The feed of the orphan checks: it lacks the routes of every tenth customer."""
+    return raw_routes_text(spark, d).filter(F.trim("route_id").cast("bigint") % 10 != 0)
+
+
 def raw_trips_text(spark: SparkSession, d: str) -> DataFrame:
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
                    "o_orderpriority")
@@ -574,7 +537,7 @@ SELECT ' ' || CAST(c_custkey AS VARCHAR) || ' ' AS route_id,
        c_name || ' -- ' || repeat('x', CAST(c_custkey % 250 AS INTEGER)) AS route_long_name,
        CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN '0' WHEN 2 THEN '3' WHEN 3 THEN ' 2 '
             ELSE 'x' END AS route_type
-FROM customer WHERE c_custkey % 10 <> 0""",
+FROM customer""",
     "raw_trips_text": """
 SELECT CASE WHEN o_orderkey % 5 = 0 THEN ' ' || CAST(o_orderkey AS VARCHAR)
             ELSE CAST(o_orderkey AS VARCHAR) END AS trip_id,
@@ -613,3 +576,5 @@ FROM lineitem""",
     "routes_partial": """
 SELECT * FROM (""" + SQL["routes"] + """) WHERE CAST(route_id AS BIGINT) % 10 <> 0""",
 })
+SQL["raw_routes_partial_text"] = f"""
+SELECT * FROM ({SQL["raw_routes_text"]}) WHERE CAST(trim(route_id) AS BIGINT) % 10 <> 0"""

@@ -4,8 +4,9 @@ The reference polls an HTTP feed and inserts each snapshot. Here every
 snapshot is a staged JSON file; a Structured Streaming file source picks
 new files up, and ``foreachBatch`` flattens each micro-batch into the six
 fact tables. The parsed batch is persisted once and fanned out to all
-outputs, each written to its ``batch_id=`` partition with dynamic
-overwrite, so a retried batch replaces its own output (idempotent).
+outputs. Tables are partitioned by poll date and poll id, both taken from
+the data: a poll that comes again, in whatever batch of whatever
+checkpoint, replaces its own rows and touches no others.
 """
 
 from __future__ import annotations
@@ -13,68 +14,81 @@ from __future__ import annotations
 import os
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tramline.operators import realtime as R
 from tramline.session import ensure_checkpoint_dir
-from tramline.sources.schemas import FEED_MESSAGE
-from tramline.sources.sinks import write_batch_partition
+from tramline.sources.sinks import POLL_PARTITION, path_exists, write_fact_layout, write_poll_partitions
 
-COMMITTED = "committed_batches"
-FACT_TABLES = ("trip_updates", "trip_stop_updates", "service_alerts",
-               "alert_active_periods", "alert_texts", "alert_informed_entities", "summary")
+COMMITTED = "committed_polls"
+# Each fact table, the key whose first part is the poll id, and its sort column.
+FACT_TABLES = {
+    "trip_updates": ("update_pk", "trip_id"), "trip_stop_updates": ("update_pk", "stop_id"),
+    "service_alerts": ("alert_pk", "entity_id"), "alert_active_periods": ("alert_pk", "alert_pk"),
+    "alert_texts": ("alert_pk", "alert_pk"), "alert_informed_entities": ("alert_pk", "stop_id"),
+}
 
 
 def poll_stream(spark: SparkSession, path: str, feed: str,
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """STR-1/STR-2: a stream of poll files; ``fetched_at`` = header time, else file mtime."""
-    r = spark.readStream.schema(FEED_MESSAGE).option("multiLine", True)
+    r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = r.json(path)
-    msg = F.struct(*[F.col(c) for c in FEED_MESSAGE.fieldNames()])
-    return raw.select(
-        F.lit(feed).alias("feed"),
-        F.col("_metadata.file_path").alias("source_file"),
-        R.poll_time(msg, F.col("_metadata.file_modification_time")).alias("fetched_at"),
-        msg.alias("msg"),
-    )
-
-
-def flatten_batch(batch: DataFrame, batch_id: int, out_root: str,
-                  dim_stations: DataFrame | None = None, station_filter=None,
-                  on_invalid: str = "strict") -> None:
-    """SNK-4: one micro-batch -> every fact table's ``batch_id`` partition.
-
-    ``strict`` (default, as the reference): a NOT NULL break fails the batch
-    before anything is written; ``quarantine`` writes bad rows to ``rejected``.
+    return R.poll_columns(r.text(path, wholetext=True), feed)
+
+
+def flatten_batch(batch: DataFrame, out_root: str, dim_stations: DataFrame | None = None,
+                  station_filter=None, on_invalid: str = "strict") -> None:
+    """SNK-4: one micro-batch -> the partitions of its polls in every fact table.
+
+    ``strict`` (default, as the reference): a malformed poll, a NOT NULL
+    break or an overlong value fails the batch before anything is written;
+    ``quarantine`` writes such rows to ``rejected``.
     """
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         trips = batch.filter(F.col("feed") == "trip-update")
         alerts = batch.filter(F.col("feed") == "alert")
-        tables = R.flatten(trips, alerts, dim_stations, station_filter, on_invalid=on_invalid)
-        for name in FACT_TABLES + (("rejected",) if "rejected" in tables else ()):
-            write_batch_partition(tables[name], os.path.join(out_root, name), batch_id)
-        # published last: a batch is visible only once every table holds it
-        marker = batch.sparkSession.createDataFrame([(batch_id,)], "committed_batch long")
-        write_batch_partition(marker, os.path.join(out_root, COMMITTED), batch_id)
+        tables = R.flatten(trips, alerts, dim_stations, station_filter, on_invalid=on_invalid,
+                           carry={"fetched_at": "fetched_at"}, summary_by=["poll_id", "fetched_at"])
+        for name, (key, sort_col) in FACT_TABLES.items():
+            dated = tables[name].withColumn("fetched_date", F.to_date("fetched_at")).withColumn(
+                "poll_id", R.poll_of(key))
+            write_poll_partitions(dated, os.path.join(out_root, name), sort_col)
+        summary = tables["summary"].withColumn("fetched_date", F.to_date("fetched_at"))
+        write_poll_partitions(summary, os.path.join(out_root, "summary"))
+        if "rejected" in tables:
+            # a rejected row names its poll only in its text: keyed by that text
+            rejected = tables["rejected"].withColumn("poll_id", F.md5(F.concat_ws("-", "table_name", "reason", "row_json")))
+            write_poll_partitions(rejected.withColumn("fetched_date", F.lit(None).cast("date")),
+                                  os.path.join(out_root, "rejected"))
+        # published last: a poll is visible only once every table holds it
+        polls = batch.select("poll_id", F.to_date("fetched_at").alias("fetched_date"), "feed", "source_file")
+        write_poll_partitions(polls.distinct(), os.path.join(out_root, COMMITTED))
     finally:
         batch.unpersist()
 
 
 def read_committed(spark: SparkSession, out_root: str, table: str) -> DataFrame:
-    """A fact table restricted to fully written micro-batches.
+    """A fact table restricted to fully written polls.
 
-    The marker table has one row per batch; the semi-join on ``batch_id``
-    hides partitions of a batch that failed part-way (they are rewritten
-    when the batch is retried).
+    The marker table has one row per poll; the semi-join hides partitions
+    of polls whose batch failed part-way (they are rewritten when the batch
+    is retried).
     """
-    done = spark.read.parquet(os.path.join(out_root, COMMITTED)).select("batch_id")
-    return spark.read.parquet(os.path.join(out_root, table)).join(done, "batch_id", "left_semi")
+    done = spark.read.parquet(os.path.join(out_root, COMMITTED)).select(*POLL_PARTITION)
+    return spark.read.parquet(os.path.join(out_root, table)).join(done, list(POLL_PARTITION), "left_semi")
+
+
+def compact(spark: SparkSession, out_root: str, table: str, path: str, dates=None) -> None:
+    """SNK-5: the committed rows of a table, laid out by date in few files sorted by its sort column."""
+    rows = read_committed(spark, out_root, table)
+    if dates is not None:
+        rows = rows.filter(F.col("fetched_date").isin(*dates))
+    write_fact_layout(rows.drop("fetched_date"), path, sort_col=FACT_TABLES[table][1])
 
 
 def start_ingest(spark: SparkSession, trip_dir: str, alert_dir: str, out_root: str,
@@ -87,37 +101,42 @@ def start_ingest(spark: SparkSession, trip_dir: str, alert_dir: str, out_root: s
         poll_stream(spark, alert_dir, "alert", max_files_per_trigger))
     ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "tramline-ingest")
     w = (polls.writeStream.option("checkpointLocation", ckpt)
-         .foreachBatch(lambda df, bid: flatten_batch(df, bid, out_root, dim_stations,
-                                                     station_filter, on_invalid)))
+         .foreachBatch(lambda df, _: flatten_batch(df, out_root, dim_stations,
+                                                   station_filter, on_invalid)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 minutes")
     return w.start()
 
 
-def latest_state_stream(trip_updates_stream: DataFrame, watermark: str = "2 hours",
-                        day: str = "1 day") -> DataFrame:
-    """STR-3: latest snapshot per (trip, service day) as a streaming aggregate.
+def service_day(start_date="start_date", fetched_at="fetched_at") -> Column:
+    """The day a trip started: ``start_date``, else (absent, unreadable) the poll's day.
+
+    A start date after the poll's day counts as that day, so that a wrong
+    date far ahead cannot move the watermark.
+    """
+    named = F.try_to_date(start_date, "yyyyMMdd") if hasattr(F, "try_to_date") else \
+        F.to_date(F.try_to_timestamp(F.col(start_date), F.lit("yyyyMMdd")))
+    polled = F.to_date(fetched_at)
+    return F.least(F.coalesce(named, polled), polled)
+
+
+def latest_state_stream(trip_updates_stream: DataFrame, retention: str = "2 days") -> DataFrame:
+    """STR-3: latest snapshot per (trip, start_date) as a streaming aggregate.
 
     ``max(struct(update_timestamp, ...))`` keeps the newest snapshot (ties
-    broken by the following fields). State is bounded: the poll-day window
-    plus the watermark on ``fetched_at`` lets Spark drop a day's state once
-    it can no longer change. Run in ``update`` output mode.
+    broken by the following fields), whichever side of midnight a poll is.
+    State is bounded: the service day is the event time, and a day's state
+    goes once trips of a day ``retention`` later are seen. Run in ``update``
+    output mode.
     """
-    # Watermarks need TIMESTAMP (not NTZ); the session is UTC, so the cast
-    # keeps the wall-clock value.
-    s = (trip_updates_stream.withColumn("_event_ts", F.col("fetched_at").cast("timestamp"))
-         .withWatermark("_event_ts", watermark))
-    latest = F.max(F.struct("update_timestamp", "fetched_at", "entity_id", "route_id",
-                            "overall_delay", "update_pk"))
-    g = s.groupBy(F.window("_event_ts", day).alias("poll_day"), "trip_id", "start_date").agg(
+    # Watermarks need TIMESTAMP (not NTZ); only its order matters here.
+    s = (trip_updates_stream.withColumn("service_day", service_day())
+         .withColumn("_event_ts", F.col("service_day").cast("timestamp"))
+         .withWatermark("_event_ts", retention))
+    latest = F.max(F.struct(*LATEST_COLS))
+    g = s.groupBy("_event_ts", "service_day", "trip_id", "start_date").agg(
         latest.alias("_m"), F.count(F.lit(1)).alias("snapshots"))
-    return g.select(F.col("poll_day.start").cast("timestamp_ntz").alias("poll_day"),
-                    "trip_id", "start_date",
-                    F.col("_m.update_timestamp").alias("update_timestamp"),
-                    F.col("_m.fetched_at").alias("fetched_at"),
-                    F.col("_m.entity_id").alias("entity_id"),
-                    F.col("_m.route_id").alias("route_id"),
-                    F.col("_m.overall_delay").alias("overall_delay"),
-                    F.col("_m.update_pk").alias("update_pk"), "snapshots")
+    return g.select("service_day", "trip_id", "start_date",
+                    *[F.col(f"_m.{c}").alias(c) for c in LATEST_COLS], "snapshots")
 
 
 def trip_updates_stream(spark: SparkSession, trip_dir: str) -> DataFrame:
@@ -133,28 +152,25 @@ LATEST_COLS = ("update_timestamp", "fetched_at", "entity_id", "route_id", "overa
 def upsert_latest(headers: DataFrame, table_path: str, keys=("trip_id", "start_date")) -> None:
     """STR-3 as a table: merge trip headers into the latest-snapshot-per-trip table.
 
-    The table is partitioned by poll day. Only the days present in
-    ``headers`` are read back (partition pruning by semi-join), merged with
-    the new rows, reduced to the newest row per key with one aggregate and
-    rewritten with dynamic partition overwrite. The merged result is
-    checkpointed first because the job reads and rewrites the same table.
+    The table is partitioned by service day, which a trip keeps across
+    midnight. Only the days present in ``headers`` are read back (partition
+    pruning by semi-join), merged with the new rows, reduced to the newest
+    row per key with one aggregate and rewritten with dynamic partition
+    overwrite. The merged result is checkpointed first because the job reads
+    and rewrites the same table.
     """
     spark = headers.sparkSession
-    new = (headers.withColumn("poll_day", F.to_date("fetched_at"))
-           .select("poll_day", *keys, *LATEST_COLS))
+    new = headers.withColumn("service_day", service_day()).select("service_day", *keys, *LATEST_COLS)
     both = new
-    try:
-        old = spark.read.parquet(table_path)
-    except AnalysisException:  # first batch: no table yet
-        old = None
-    if old is not None:
-        days = new.select("poll_day").distinct()
-        both = old.select(*new.columns).join(days, "poll_day", "left_semi").unionByName(new)
-    m = both.groupBy("poll_day", *keys).agg(
+    if path_exists(spark, table_path):
+        days = new.select("service_day").distinct()
+        both = spark.read.parquet(table_path).select(*new.columns).join(
+            days, "service_day", "left_semi").unionByName(new)
+    m = both.groupBy("service_day", *keys).agg(
         F.max(F.struct(*[F.col(c) for c in LATEST_COLS])).alias("_m"))
-    latest = m.select("poll_day", *keys, *[F.col("_m." + c).alias(c) for c in LATEST_COLS])
+    latest = m.select("service_day", *keys, *[F.col("_m." + c).alias(c) for c in LATEST_COLS])
     (latest.checkpoint().write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("poll_day").parquet(table_path))
+     .partitionBy("service_day").parquet(table_path))
 
 
 def start_latest_table(spark: SparkSession, trip_dir: str, table_path: str,
