@@ -112,3 +112,12 @@ def test_like_ascii_ci_matches_sqlite(spark):
 def test_truncation_counts_characters_not_bytes(spark):
     # T-16: the loader truncates by characters (è is 2 bytes in UTF-8)
     assert _one_col(spark, ["Liège-Guillemins"], lambda c: T.clean_text(c, 4)) == ["Lièg"]
+
+
+def test_local_hour_in_another_zone(spark):
+    """SC-12: winter and summer time, and the night that has an hour twice."""
+    from tramline.functions.timecols import local_hour
+    df = spark.createDataFrame([("2024-01-05 08:00:00",), ("2024-07-05 08:00:00",), ("2024-10-27 00:30:00",),
+                                ("2024-10-27 01:30:00",), (None,)], "t string").select(
+        F.col("t").cast("timestamp_ntz").alias("t"))
+    assert [r[0] for r in df.select(local_hour("t", "Europe/Brussels")).collect()] == [9, 10, 2, 2, None]

@@ -117,3 +117,12 @@ def test_q5_amenities_routes_without_trips_vanish(feed):
     assert [r.route_id for r in ranked] == ["r2", "r1"]  # 0 % first; 100 % tie -> route_id
     assert [r.route_id for r in S.accessibility_sample(routes, trips, k=2).collect()] == [
         "r1", "r2"]
+
+
+def test_frequency_classes_come_in_their_order(spark):
+    """S-2: highest first, whatever the counts."""
+    days = [("a", 1), ("b", 3), ("c", 3), ("d", 6)]
+    rows = [(s, f"202401{1 + k:02d}", 1) for s, n in days for k in range(n)] + [("e", "20240102", 2)]
+    got = [r.frequency_category for r in S.service_frequency(
+        spark.createDataFrame(rows, "service_id string, date string, exception_type int")).collect()]
+    assert got == ["High Frequency", "Medium Frequency", "Low Frequency/Special"]

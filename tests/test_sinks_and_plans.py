@@ -156,9 +156,53 @@ def _first_join_or_agg_above(plan: str, table: str) -> str:
 
 
 @needs_data
-@pytest.mark.parametrize("key", ["q1_peak_hours", "q2_busiest_platforms", "join_three_way",
+@pytest.mark.parametrize("key", ["q1_peak_hours", "join_three_way",
                                  "count_distinct_trips", "left_join_stations",
                                  "kpi_by_category", "hourly_matrix"])
 def test_stop_rows_are_aggregated_before_any_join(spark, key):
     plan = _plan(E.queries()[key](spark, SF))
     assert _first_join_or_agg_above(plan, "lineitem") == "aggregate", key
+
+
+def _above(plan: str, table: str) -> list[str]:
+    """Nodes from a table's (first) scan up to the root."""
+    lines = plan.split("== Initial Plan ==")[0].split("\n")
+    idx = next(i for i, ln in enumerate(lines) if "FileScan" in ln and f"{table}.parquet" in ln)
+    depth, out = len(lines[idx]) - len(lines[idx].lstrip(" :+-|")), []
+    for ln in reversed(lines[:idx]):
+        d = len(ln) - len(ln.lstrip(" :+-|"))
+        if d < depth:
+            depth = d
+            out.append(ln.strip(" :+-|*()0123456789"))
+    return out
+
+
+@needs_data
+@pytest.mark.parametrize("key", ["platform_congestion", "station_hourly_volume", "curated_stations",
+                                 "station_ranking", "low_sample_flag", "canonical_station",
+                                 "busy_multi_platform_stations", "station_peak_hour"])
+def test_fact_rows_are_shuffled_once_on_the_snapshot(spark, key):
+    """With broadcast joins off, as the big sides will be: stations first where they filter."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        nodes = _above(_plan(E.queries()[key](spark, SF)), "lineitem")
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v) if v is not None else spark.conf.unset(n)
+    shuffled = [n for n in nodes if n.startswith("Exchange") and "update_pk" in n]
+    assert len(shuffled) == 1, nodes
+    joins = [n for n in nodes if "Join" in n.split(" ")[0]]
+    first = "stop_id" if key in ("platform_congestion", "station_hourly_volume", "curated_stations",
+                                 "station_ranking") else "update_pk"
+    assert first in joins[0]
+
+
+@needs_data
+def test_purge_and_orphan_checks_find_something(spark):
+    sf = "/root/testdata/sf0.01"
+    row = E.queries()["cascade_purge"](spark, sf).first()
+    assert row.purged_parents > 0 and row.kept_parents > 0
+    assert all(r.violations > 0 for r in E.queries()["fk_violations"](spark, sf).collect())

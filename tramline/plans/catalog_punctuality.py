@@ -24,11 +24,12 @@ def _star(spark, d, latest_only=True):
                   latest_only=latest_only)
 
 
-def _parts(spark, d, keys=(), latest_only=True):
-    """Star over per-snapshot partial sums, keyed by the fact-side dimensions named."""
+def _parts(spark, d, keys=(), latest_only=True, where=None):
+    """Star over partial sums, keyed by the fact-side dimensions named; ``where``: on stations."""
     return P.star_partials(X.fact_stop_updates(spark, d), X.fact_trip_updates(spark, d),
                            X.star_dim_trips(spark, d), X.star_dim_routes(spark, d),
-                           X.stops(spark, d), fact_keys=keys, latest_only=latest_only)
+                           X.stops(spark, d), fact_keys=keys, latest_only=latest_only,
+                           stations_where=where)
 
 
 _CAT = f"COALESCE(regexp_extract(r.route_short_name, '{CATEGORY_PATTERN}', 1), '')"
@@ -178,16 +179,18 @@ def hourly_matrix(spark, d):
 SELECT platform_code, {_MEASURES} FROM star WHERE stop_name = '{STATION}'
 GROUP BY platform_code""")
 def platform_congestion(spark, d):
-    return P.platform_congestion(_parts(spark, d, ("stop_id",)), STATION)
+    return P.platform_congestion(_parts(spark, d, ("stop_id",), where=F.col("stop_name") == STATION), STATION)
 
 
 @register("station_hourly_volume", _star_sql() + f"""
 SELECT arrival_hour, COUNT(*) AS stop_events, COUNT(DISTINCT trip_id) AS distinct_trains
 FROM star WHERE stop_name = '{STATION}' GROUP BY arrival_hour""")
 def station_hourly_volume(spark, d):
-    return P.station_hourly_volume(_parts(spark, d, ("stop_id", "arrival_hour")), STATION)
+    return P.station_hourly_volume(
+        _parts(spark, d, ("stop_id", "arrival_hour"), where=F.col("stop_name") == STATION), STATION)
 
 
+_CURATED = "stop_name IN (" + ", ".join(f"'{n}'" for n in CURATED) + ")"
 _CURATED_SQL = ", ".join(f"'{n}'" for n in CURATED)
 
 
@@ -195,7 +198,7 @@ _CURATED_SQL = ", ".join(f"'{n}'" for n in CURATED)
 SELECT stop_name, COUNT(*) AS stop_events, COUNT(DISTINCT trip_id) AS distinct_trains
 FROM star WHERE stop_name IN ({_CURATED_SQL}) GROUP BY stop_name""")
 def curated_stations(spark, d):
-    return P.curated_rows(_parts(spark, d, ("stop_id",)), CURATED).groupBy("stop_name").agg(
+    return P.curated_rows(_parts(spark, d, ("stop_id",), where=_CURATED), CURATED).groupBy("stop_name").agg(
         F.sum("_events").cast("bigint").alias("stop_events"),
         F.count_distinct("trip_id").alias("distinct_trains"))
 
@@ -205,7 +208,7 @@ SELECT *, ROW_NUMBER() OVER (ORDER BY on_time_rate DESC NULLS LAST, stop_name) A
 FROM (SELECT stop_name, {_MEASURES}, COUNT(DISTINCT trip_id) < 30 AS low_sample
       FROM star WHERE stop_name IN ({_CURATED_SQL}) GROUP BY stop_name)""")
 def station_ranking(spark, d):
-    return P.station_ranking(_parts(spark, d, ("stop_id",)), CURATED)
+    return P.station_ranking(_parts(spark, d, ("stop_id",), where=_CURATED), CURATED)
 
 
 _BUSY = """

@@ -168,28 +168,30 @@ def orphan_trips_rejected(spark, d):
 
 
 # ------------------------------------------------------------ integrity
-@register("fk_violations", sql_with("routes_partial", "trips", "stop_times", "stops") + """
+@register("fk_violations", sql_with(
+    "routes_partial", "trips", "trips_partial", "stop_times", "stops", "stops_partial") + """
 SELECT 'trips' AS child_table, 'route_id' AS child_column, 'routes' AS parent_table,
        COUNT(*) AS violations
 FROM trips t WHERE t.route_id IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM routes_partial r WHERE r.route_id = t.route_id)
 UNION ALL
 SELECT 'stop_times', 'trip_id', 'trips', COUNT(*) FROM stop_times st
-WHERE st.trip_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM trips t WHERE t.trip_id = st.trip_id)
+WHERE st.trip_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM trips_partial t WHERE t.trip_id = st.trip_id)
 UNION ALL
 SELECT 'stop_times', 'stop_id', 'stops', COUNT(*) FROM stop_times st
-WHERE st.stop_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stops s WHERE s.stop_id = st.stop_id)
+WHERE st.stop_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stops_partial s WHERE s.stop_id = st.stop_id)
 UNION ALL
 SELECT 'stops', 'parent_station', 'stops', COUNT(*) FROM stops c
 WHERE c.parent_station IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM stops p WHERE p.stop_id = c.parent_station)""")
+  AND NOT EXISTS (SELECT 1 FROM stops_partial p WHERE p.stop_id = c.parent_station)""")
 def fk_violations(spark, d):
     trips, st, stops = X.trips(spark, d), X.stop_times(spark, d), X.stops(spark, d)
+    some_trips, some_stops = X.trips_partial(spark, d), X.stops_partial(spark, d)
     return Q.fk_report([
         ("trips", trips, "route_id", "routes", X.routes_partial(spark, d), "route_id"),
-        ("stop_times", st, "trip_id", "trips", trips, "trip_id"),
-        ("stop_times", st, "stop_id", "stops", stops, "stop_id"),
-        ("stops", stops, "parent_station", "stops", stops, "stop_id"),
+        ("stop_times", st, "trip_id", "trips", some_trips, "trip_id"),
+        ("stop_times", st, "stop_id", "stops", some_stops, "stop_id"),
+        ("stops", stops, "parent_station", "stops", some_stops, "stop_id"),
     ])
 
 

@@ -93,10 +93,11 @@ def star(stop_updates: DataFrame, trip_updates: DataFrame, dim_trips: DataFrame,
 
 
 # ------------------------------------------------------------- partial sums
-# Every measure below is a sum of these per-row quantities, so the fact table
-# can be reduced to one row per snapshot (per update_pk and whatever fact-side
-# dimension a breakdown needs) *before* the star join: the join and its
-# shuffle see one row per snapshot instead of one per stop.
+# Every measure below is a sum of these per-row quantities. Where a breakdown
+# needs no more than the snapshot and the hour, the fact table is reduced to
+# partial sums *before* the star join, which then sees a few rows per
+# snapshot. With the stop in the key nothing would shrink, so there each row
+# is its own partial and the fact table is shuffled once, on ``update_pk``.
 PARTIALS = ("_events", "_recorded", "_on_time", "_delay_s", "_delayed_s")
 
 
@@ -108,11 +109,11 @@ def _partial_aggs(delay: str = "arrival_delay", threshold: int = ON_TIME_THRESHO
             F.sum(F.greatest(d, F.lit(0)).cast("bigint")).alias("_delayed_s")]
 
 
-def as_partials(star_df: DataFrame, delay: str = "arrival_delay",
+def as_partials(rows: DataFrame, delay: str = "arrival_delay",
                 threshold: int = ON_TIME_THRESHOLD_S) -> DataFrame:
-    """A row-level star as partials (each row a partial of itself)."""
+    """Stop rows as partials (each row a partial of itself)."""
     d = F.col(delay)
-    return star_df.withColumns({
+    return rows.withColumns({
         "_events": F.lit(1).cast("bigint"),
         "_recorded": F.when(d.isNotNull(), 1).otherwise(0).cast("bigint"),
         "_on_time": F.when(on_time_flag(d, threshold), 1).otherwise(0).cast("bigint"),
@@ -124,24 +125,29 @@ def as_partials(star_df: DataFrame, delay: str = "arrival_delay",
 def star_partials(stop_updates: DataFrame, trip_updates: DataFrame, dim_trips: DataFrame,
                   dim_routes: DataFrame, dim_stations: DataFrame | None = None,
                   fact_keys=(), latest_only: bool = True, route_type: int | None = RAIL,
-                  tz: str = "UTC", latest_keys=("trip_id",)) -> DataFrame:
-    """J-8 for measures: fact partial sums per (update_pk, *fact_keys) joined to the star.
+                  tz: str = "UTC", latest_keys=("trip_id",), stations_where=None) -> DataFrame:
+    """J-8 for measures: partial sums per (update_pk, *fact_keys) joined to the star.
 
     ``fact_keys`` may name ``stop_id`` (then stations are joined) and
-    ``arrival_hour`` (hour of arrival in ``tz``).
+    ``arrival_hour`` (hour of arrival in ``tz``). ``stations_where``, a
+    condition on the station columns, keeps those stations' rows alone: it is
+    applied to the stations, whose few stops then reduce the fact scan before
+    any fact row is shuffled on ``update_pk``.
     """
     fact = stop_updates
     if "arrival_hour" in fact_keys:
         fact = fact.withColumn("arrival_hour", local_hour("arrival_time", tz))
-    parts = fact.groupBy("update_pk", *fact_keys).agg(*_partial_aggs())
     heads = trip_headers(trip_updates, dim_trips, dim_routes, latest_only, route_type,
                          latest_keys)
-    j = parts.join(heads, "update_pk")
-    if "stop_id" in fact_keys and dim_stations is not None:
-        st = dim_stations.select("stop_id", "stop_name", "parent_station", "platform_code")
-        j = (j.join(st, "stop_id", "left")
-              .withColumn("station_id", F.coalesce("parent_station", "stop_id")))
-    return j
+    if "stop_id" not in fact_keys or dim_stations is None:
+        return fact.groupBy("update_pk", *fact_keys).agg(*_partial_aggs()).join(heads, "update_pk")
+    st = dim_stations.select("stop_id", "stop_name", "parent_station", "platform_code")
+    rows = as_partials(fact).select("update_pk", *fact_keys, *PARTIALS)
+    if stations_where is not None:
+        j = rows.join(st.filter(stations_where), "stop_id").join(heads, "update_pk")
+    else:
+        j = rows.join(heads, "update_pk").join(st, "stop_id", "left")
+    return j.withColumn("station_id", F.coalesce("parent_station", "stop_id"))
 
 
 # ------------------------------------------------------------------ measures
@@ -258,18 +264,21 @@ def busy_multi_platform_stations(star_df: DataFrame, k: int = 7) -> DataFrame:
 def station_peak_hour(star_df: DataFrame, k: int = 7) -> DataFrame:
     """D-7: the hour with the highest average delay at each busy station.
 
-    Per (station, hour) average, then ``max(struct(avg, hour))`` per station
-    (ties go to the later hour). Busy stations come from A-18 (top-k, at most
-    k rows), applied as a semi-join.
+    The star is reduced once to (station, platform, hour); a station's
+    entries (at most its platforms times 24) give both whether it is busy
+    (A-18) and its hours. Ties go to the later hour.
     """
-    busy = busy_multi_platform_stations(star_df, k).select("station_id")
-    rows = star_df.join(busy, "station_id", "left_semi")
-    per_hour = rows.groupBy("station_id", "arrival_hour").agg(
+    base = star_df.groupBy("station_id", "platform_code", "arrival_hour").agg(
+        *[F.sum(c).alias(c) for c in ("_events", "_recorded", "_delay_s")])
+    per_station = base.groupBy("station_id").agg(
+        F.count_distinct("platform_code").alias("n_platforms"), F.sum("_events").alias("stop_events"),
+        F.collect_list(F.struct("arrival_hour", "_delay_s", "_recorded")).alias("hours"))
+    busy = (per_station.filter(F.col("n_platforms") > 1)
+            .orderBy(F.col("stop_events").desc(), F.col("station_id")).limit(k))
+    per_hour = busy.select("station_id", F.inline("hours")).groupBy("station_id", "arrival_hour").agg(
         F.try_divide(F.sum("_delay_s"), F.sum("_recorded")).alias("_avg_s"),
-        F.sum("_recorded").alias("_n"))
-    per_hour = per_hour.filter(F.col("_n") > 0)
-    best = per_hour.groupBy("station_id").agg(
-        F.max(F.struct("_avg_s", "arrival_hour")).alias("_b"))
+        F.sum("_recorded").alias("_n")).filter(F.col("_n") > 0)
+    best = per_hour.groupBy("station_id").agg(F.max(F.struct("_avg_s", "arrival_hour")).alias("_b"))
     return best.select("station_id", F.col("_b.arrival_hour").alias("peak_hour"),
                        F.round(F.col("_b._avg_s") / F.lit(60.0), 4).alias("peak_avg_delay_min"))
 

@@ -105,10 +105,10 @@ def busiest_platforms(stop_times: DataFrame, stops: DataFrame, station_text: str
     plats = (platforms_of(stops, station_text)
              .filter(F.col("platform_code").isNotNull())
              .select("stop_id", "platform_code"))
-    # count stop events per stop first: the join sees one row per stop
-    per_stop = stop_times.groupBy("stop_id").agg(F.count(F.lit(1)).alias("_n"))
-    j = per_stop.join(plats, "stop_id")
-    return (j.groupBy("platform_code").agg(F.sum("_n").cast("bigint").alias("platform_usage_count"))
+    # the platforms of one station (a few, which Spark can broadcast) reduce the
+    # scan of stop_times; what is left is counted map-side
+    j = stop_times.select("stop_id").join(plats, "stop_id")
+    return (j.groupBy("platform_code").agg(F.count(F.lit(1)).alias("platform_usage_count"))
             .orderBy(F.col("platform_usage_count").desc(), F.col("platform_code").asc())
             .limit(k))
 
@@ -137,8 +137,12 @@ def morning_destinations(trips: DataFrame, stop_times: DataFrame,
     F-4: text comparison of fixed-width ``HH:MM:SS`` (``9:05:00`` is not
     before ``12:00:00``, as in the reference).
     """
-    first = (first_stop_per_trip(stop_times)
-             .filter(F.col("first_departure_time") < F.lit(before)).select("trip_id"))
+    # The least of 2 * sequence + (0 if the departure is early): even where an
+    # early departure is among the first stop's rows (T-6). A number, so the
+    # minimum is a hash aggregate in one pass over stop_times.
+    late = F.when(F.col("departure_time") < F.lit(before), 0).otherwise(1)
+    least = F.min(F.col("stop_sequence").cast("bigint") * 2 + late).alias("_least")
+    first = stop_times.groupBy("trip_id").agg(least).filter(F.col("_least") % 2 == 0).select("trip_id")
     j = trips.select("trip_id", "trip_headsign").join(first, "trip_id")
     return (j.groupBy("trip_headsign")
             .agg(F.count_distinct("trip_id").alias("trip_count"))
@@ -186,6 +190,13 @@ def classified_services(calendar_dates: DataFrame) -> DataFrame:
         "service_id", classify_frequency("typical_days_per_week").alias("frequency_category"))
 
 
+def typical_days_share(calendar_dates: DataFrame) -> DataFrame:
+    """W-2: services per typical number of days and their share of all (at most seven rows)."""
+    counts = typical_days_per_week(calendar_dates).groupBy("typical_days_per_week").agg(
+        F.count(F.lit(1)).alias("service_count"))
+    return share_of_total_window(counts, "service_count", "percentage")
+
+
 def service_frequency(calendar_dates: DataFrame, window_total: bool = True) -> DataFrame:
     """Q4: services per frequency class and their share (2 decimals).
 

@@ -512,6 +512,15 @@ def stop_updates_with_nulls(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def trips_partial(spark: SparkSession, d: str) -> DataFrame:
+    """The parents of the foreign key checks lack some trips and stops (creates orphans)."""
+    return trips(spark, d).filter(F.col("trip_id").cast("bigint") % 10 != 0)
+
+
+def stops_partial(spark: SparkSession, d: str) -> DataFrame:
+    return stops(spark, d).filter(~F.col("stop_id").endswith("7"))
+
+
 def routes_partial(spark: SparkSession, d: str) -> DataFrame:
     """~routes without the customers where c_custkey % 10 = 0 (creates orphans)."""
     return routes(spark, d).filter(F.col("route_id").cast("bigint") % 10 != 0)
@@ -576,5 +585,9 @@ FROM lineitem""",
     "routes_partial": """
 SELECT * FROM (""" + SQL["routes"] + """) WHERE CAST(route_id AS BIGINT) % 10 <> 0""",
 })
+SQL["trips_partial"] = f"""
+SELECT * FROM ({SQL["trips"]}) WHERE CAST(trip_id AS BIGINT) % 10 <> 0"""
+SQL["stops_partial"] = f"""
+SELECT * FROM ({SQL["stops"]}) WHERE stop_id NOT LIKE '%7'"""
 SQL["raw_routes_partial_text"] = f"""
 SELECT * FROM ({SQL["raw_routes_text"]}) WHERE CAST(trim(route_id) AS BIGINT) % 10 <> 0"""
