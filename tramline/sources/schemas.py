@@ -1,8 +1,7 @@
 """Declared schemas: GTFS static tables, the GTFS-RT JSON feed, the warehouse.
 
 Static tables are declared as ordered ``(column, kind)`` pairs with kind
-``str`` / ``int`` / ``float`` (what the files promise) plus their keys;
-``gtfs_struct`` turns one into a Spark ``StructType``.
+``str`` / ``int`` / ``float`` (what the files promise) plus their keys.
 """
 
 from __future__ import annotations
@@ -10,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 KIND_TO_SQL = {"str": "string", "int": "int", "float": "double"}
-KIND_TO_TYPE = {"str": T.StringType(), "int": T.IntegerType(), "float": T.DoubleType()}
 
 # The eight static tables, their columns in order and types.
 GTFS_TABLES: dict[str, list[tuple[str, str]]] = {
@@ -61,7 +59,7 @@ GTFS_NOT_NULL = {
     "translations": ["table_name", "field_name", "field_value", "language", "translation"],
 }
 
-# (child table, child column, parent table, parent column)
+# Fixed values: (child table, child column, parent table, parent column).
 GTFS_FOREIGN_KEYS = [
     ("stops", "parent_station", "stops", "stop_id"),
     ("calendar_dates", "service_id", "calendar", "service_id"),
@@ -75,6 +73,7 @@ GTFS_FOREIGN_KEYS = [
 
 
 # ---------------------------------------------------------------- GTFS-RT feed
+# Field names and types of the feed.
 # Every int64 that may arrive as {low, high, unsigned} is declared STRING:
 # Spark then keeps the object's raw JSON text and decode_long() reads it.
 _S, _I, _L = T.StringType(), T.IntegerType(), T.LongType()

@@ -12,11 +12,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents "
-                 "embeddings pages benchmark labels conversations").split()
-
 # The driver tables' columns and types (TESTDATA.md / FIXTURES.md §3).
-_SCHEMAS_DDL = {
+SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
@@ -40,9 +37,6 @@ _SCHEMAS_DDL = {
 }
 
 
-SCHEMAS = dict(_SCHEMAS_DDL)
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
