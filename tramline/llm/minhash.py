@@ -4,15 +4,18 @@ Two collections of ``HALVES`` half-bands of ``ROWS`` minhashes each are
 computed for a set. Every pair of one half-band of each collection is the
 key of a table: HALVES * HALVES tables of bands of 2 * ROWS minhashes, from
 2 * HALVES * ROWS minhashes instead of HALVES * HALVES * 2 * ROWS. Two sets
-of similarity s share no table with a probability below 2 * (1 - s**ROWS)**HALVES:
-2e-5 at 0.75, 1e-7 at 0.85.
-
-Equal sets are one node. In every table cell the nodes are first compared
-with the cell's smallest node alone; links found that way are contracted.
-Cells that still hold several components have their members compared by the
-half-bands they share, in blocks, and only pairs of different components
-that share enough go on to the exact comparison. So a group of thousands of
-copies costs as many comparisons as it has members, not its square.
+of similarity s share no table cell with a probability below
+2 * (1 - s**ROWS)**HALVES: 2e-5 at 0.75, 1e-7 at 0.85.
+
+Equal sets are one node. Nodes that share a cell meet in the group of its
+first half-band and are compared there by a sketch of ``SKETCH`` minhashes.
+Of pairs whose sketches leave no doubt a group hands on a spanning forest,
+of doubtful pairs all between different trees; these few pairs are confirmed
+on the full sets, and the confirmed links make the components. Groups of
+more than ``BLOCK`` members are first contracted: each member is confirmed
+against the smallest node of its cells, groups that are one component then
+are done, and the others are compared block by block. So thousands of near
+copies cost about as many confirmations as there are copies.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm.common import bounded_batches, stored, text_chunks
@@ -30,13 +33,18 @@ SHINGLE = 5
 PERCENT = 75
 ROWS = 2
 HALVES = 14
-BLOCK = 512          # members of a cell compared with each other at a time
-LEAST_SHARED = 4     # of 2 * HALVES; at 0.75 fewer are shared with a probability of 2e-6
+SKETCH = 1024
+BLOCK = 512                      # members of a group compared with each other at a time
+# Of SKETCH minhashes of similarity 0.75 fewer agree than the first with a
+# probability of 4e-6, of less than 0.75 more than the second with 2e-8.
+DOUBTFUL, SURE = 706, 845
 
 _RNG = np.random.default_rng(20240607)
 _XOR = _RNG.integers(0, 2**64, 2 * HALVES * ROWS, dtype=np.uint64)
 _ODD = _RNG.integers(0, 2**64, 2 * HALVES * ROWS, dtype=np.uint64) | np.uint64(1)
 _POWERS = _RNG.integers(0, 2**64, SHINGLE, dtype=np.uint64) | np.uint64(1)
+_XOR32 = _RNG.integers(0, 2**32, SKETCH, dtype=np.uint32)
+_ODD32 = _RNG.integers(0, 2**32, SKETCH, dtype=np.uint32) | np.uint32(1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -90,6 +98,19 @@ def half_bands(sets: list[np.ndarray]) -> np.ndarray:
     return bands
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """A byte of each of SKETCH minhashes for each set; those of empty sets mean nothing."""
+    flat = (np.concatenate([*sets, np.zeros(1, np.uint64)]) >> np.uint64(32)).astype(np.uint32)
+    sizes = np.array([len(s) for s in sets])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+    out = np.empty((len(sets), SKETCH), np.uint8)
+    for i in range(SKETCH):
+        least = np.minimum.reduceat((flat ^ _XOR32[i]) * _ODD32[i], starts)
+        least ^= least >> np.uint32(15)
+        out[:, i] = (least * np.uint32(0x2C1B3C6D)) >> np.uint32(24)
+    return out
+
+
 def _digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """128 bits that stand for a set."""
     a = np.array([_mix(s + np.uint64(7)).sum(dtype=np.uint64) for s in sets], np.uint64)
@@ -119,7 +140,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame) -> DataFrame:
-    """d1, d2 and the whole set of each document."""
+    """d1, d2, the whole set and the sketch of each document."""
     def run(batches):
         for batch in batches:
             for _, texts in text_chunks(batch):
@@ -127,13 +148,15 @@ def _full_sets(docs: DataFrame) -> DataFrame:
                 a, b = _digests(sets)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a), pa.array(b),
-                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                    names=["d1", "d2", "shingles"])
-    return docs.select("text").mapInArrow(run, "d1 bigint, d2 bigint, shingles array<bigint>")
+                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                     pa.array([x.tobytes() for x in sketches(sets)], pa.binary())],
+                    names=["d1", "d2", "shingles", "sketch"])
+    return docs.select("text").mapInArrow(run, "d1 bigint, d2 bigint, shingles array<bigint>, sketch binary")
 
 
 def _cells(nodes: DataFrame) -> DataFrame:
-    """key, node of the table cells that hold two nodes or more.
+    """node, i (of its first half-band) and least (smallest node) of each table
+    cell of two nodes or more.
 
     A half-band value that no other node has cannot be part of a shared
     cell, so keys are formed from the shared half-bands alone.
@@ -144,11 +167,11 @@ def _cells(nodes: DataFrame) -> DataFrame:
            .agg(F.collect_list(F.struct("i", "value")).alias("halves")))  # at most 2 * HALVES
     first = F.filter("halves", lambda h: h["i"] < HALVES)
     second = F.filter("halves", lambda h: h["i"] >= HALVES)
-    keys = F.flatten(F.transform(first, lambda a: F.transform(
-        second, lambda b: F.xxhash64(a["i"], a["value"], b["i"], b["value"]))))
-    cells = stored(own.select("node", F.explode(keys).alias("key")), "cells")
-    full = cells.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("members"))
-    return cells.join(full.where("members > 1"), "key")
+    keys = F.flatten(F.transform(first, lambda a: F.transform(second, lambda b: F.struct(
+        a["i"].alias("i"), F.xxhash64(a["i"], a["value"], b["i"], b["value"]).alias("key")))))
+    cells = stored(own.select("node", F.inline(keys)), "cells")
+    full = cells.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    return cells.join(full.where("least <> most"), "key").select("node", "i", "least")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -160,64 +183,114 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").where(both * 100 >= union * PERCENT).select("u", "v")
 
 
-def _near_in_blocks(members: DataFrame) -> DataFrame:
-    """Pairs of nodes of one cell and different components that share LEAST_SHARED half-bands.
-
-    ``members``: key, node, comp, members, n_shingles, bands. A cell with
-    more than BLOCK members is dealt into blocks; each pair of blocks is
-    looked at apart, so no task holds a whole cell.
+def _forest(rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Heaviest spanning forest by Prim: its edges (parent or -1 of each) and each one's tree."""
+    n = len(rank)
+    parent, tree = np.full(n, -1), np.full(n, -1)
+    best, near = np.zeros(n, rank.dtype), np.full(n, -1)
+    for _ in range(n):
+        v = int(np.argmax(np.where(tree < 0, best, -1)))
+        if best[v] > 0:
+            parent[v] = near[v]
+            tree[v] = tree[near[v]]
+        else:
+            v = int(np.argmax(tree < 0))
+            tree[v] = v
+        closer = (tree < 0) & (rank[v] > best)
+        best[closer] = rank[v][closer]
+        near[closer] = v
+    return parent, tree
+
+
+def _group_pairs(i: int, own: np.ndarray, node: np.ndarray, comp: np.ndarray, size: np.ndarray,
+                 bands: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs to confirm among the members of a group of half-band i.
+
+    A pair belongs to the group of the first half-band it shares, and there,
+    if both are of one block (``own``), to that block's comparison with
+    itself: it is handed on once. All sure pairs in sight join trees, in one order that
+    all groups follow: a pair left out is connected by pairs further up.
+    """
+    a, b = np.triu_indices(len(node), 1)
+    near = 100 * np.minimum(size[a], size[b]) >= PERCENT * np.maximum(size[a], size[b])
+    near &= (comp[a] != comp[b])
+    a, b = a[near], b[near]
+    step = SKETCH // 8
+    agree = np.zeros(len(a), np.int32)
+    for k in range(0, SKETCH, step):  # the first parts leave out most
+        for lo in range(0, len(a), 1 << 15):
+            x, y = a[lo:lo + (1 << 15)], b[lo:lo + (1 << 15)]
+            agree[lo:lo + (1 << 15)] += (sketch[x, k:k + step] == sketch[y, k:k + step]).sum(axis=1, dtype=np.int32)
+        done = k + step
+        share = DOUBTFUL / SKETCH
+        keep = agree >= done * share - (0 if done == SKETCH else 2.5 * np.sqrt(done * share * (1 - share)))
+        a, b, agree = a[keep], b[keep], agree[keep]
+    if not len(a):
+        return node[:0], node[:0]
+    equal = bands[a, :HALVES] == bands[b, :HALVES]
+    here = np.argmax(equal, axis=1) == i
+    here &= (bands[a, HALVES:] == bands[b, HALVES:]).any(axis=1)
+    if own.min() != own.max():
+        here &= own[a] != own[b]
+    sure = agree >= SURE
+    rank = np.zeros((len(node), len(node)), np.int64)
+    low, high = np.minimum(node[a], node[b]).astype(np.uint64), np.maximum(node[a], node[b]).astype(np.uint64)
+    tie = (_mix(low * np.uint64(3) + _mix(high)) >> np.uint64(24)).astype(np.int64)
+    order = (agree.astype(np.int64) << 40) | tie
+    rank[a[sure], b[sure]] = rank[b[sure], a[sure]] = order[sure]
+    same = comp[:, None] == comp[None, :]
+    rank[same] = 1 << 60
+    parent, tree = _forest(rank)
+    in_forest = (parent[a] == b) | (parent[b] == a)
+    out = here & np.where(sure, in_forest, tree[a] != tree[b])
+    return node[a[out]], node[b[out]]
+
+
+def _pairs_in_groups(members: DataFrame) -> DataFrame:
+    """Pairs of nodes to confirm. ``members``: i, value, members, node, comp; then n_shingles, bands, sketch.
+
+    A group with more than BLOCK members is dealt into blocks; each pair of
+    blocks is looked at apart, so no task holds a whole group.
     """
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = (members.withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
-                     "node", "comp", "n_shingles", "bands"))
-
-    def pairs(node, comp, size, bands):
-        shared = np.zeros((len(node), len(node)), np.int16)
-        for column in bands.T:
-            shared += column[:, None] == column[None, :]
-        near = (shared >= LEAST_SHARED) & (comp[:, None] != comp[None, :])
-        near &= 100 * np.minimum(size[:, None], size[None, :]) >= PERCENT * np.maximum(size[:, None], size[None, :])
-        return np.nonzero(np.triu(near, 1))
-
     def run(batches):
         held: list[pa.RecordBatch] = []
 
         def flush(table: pa.Table):
-            cell, node, comp, size = (table.column(c).to_numpy() for c in ("cell", "node", "comp", "n_shingles"))
+            cell, i, own, node, comp, size = (table.column(c).to_numpy() for c in (
+                "cell", "i", "own", "node", "comp", "n_shingles"))
             bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
             ends = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]])
-            us, vs = [], []
+            us, vs = [node[:0]], [node[:0]]
             for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                i, j = pairs(node[a:b], comp[a:b], size[a:b], bands[a:b])
-                us.append(node[a:b][i])
-                vs.append(node[a:b][j])
+                if b - a > 1:
+                    u, v = _group_pairs(i[a], own[a:b], node[a:b], comp[a:b], size[a:b], bands[a:b], sketch[a:b])
+                    us.append(u)
+                    vs.append(v)
             u, v = np.concatenate(us), np.concatenate(vs)
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))],
                                               names=["u", "v"])
 
         for batch in batches:
+            if not len(batch):
+                continue
             held.append(batch)
+            last = batch.column("cell")[len(batch) - 1].as_py()
+            if held[0].column("cell")[0].as_py() == last:
+                continue  # one cell so far
             table = pa.Table.from_batches(held)
-            cell = table.column("cell").to_numpy()
-            cut = int(np.searchsorted(cell, cell[-1])) if len(cell) else 0  # the last cell may go on
-            if cut:
-                yield flush(table.slice(0, cut))
-                held = table.slice(cut).to_batches()
-        if held and sum(len(b) for b in held):
+            cut = int(np.flatnonzero(table.column("cell").to_numpy() != last)[-1]) + 1  # the last may go on
+            yield flush(table.slice(0, cut))
+            held = table.slice(cut).to_batches()
+        if held:
             yield flush(pa.Table.from_batches(held))
 
-    ordered = dealt.repartition("cell").sortWithinPartitions("cell")
-    return ordered.mapInArrow(run, "u bigint, v bigint").distinct()
+    ordered = members.repartition("cell").sortWithinPartitions("cell")
+    return ordered.select("cell", "i", "own", "node", "comp", "n_shingles", "bands", "sketch").mapInArrow(
+        run, "u bigint, v bigint").distinct()
 
 
-def _similar_size(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     component_id is the smallest doc_id reachable over links (similarity of
@@ -226,49 +299,55 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     empty texts have no shingle, are linked with nothing and kept. Rows that
     share a doc_id are one document. A row without doc_id lends its links to
     others, but only rows with a doc_id name a component; it is always kept.
-    An empty table gives no rows; columns other than doc_id
-    and text are not read.
+    An empty table gives no rows; columns other than doc_id and text are not
+    read.
     """
     docs = docs.select("doc_id", "text")
     rows = stored(signatures(docs).withColumn("row", F.monotonically_increasing_id()), "signatures")
-    some = rows.where("n_shingles > 0")
-    kinds = stored(some.groupBy("d1", "d2").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"),
-                                                F.max("n_shingles").alias("n_shingles")), "sets")
-    nodes = (rows.join(kinds.select(F.col("node").alias("row")), "row", "left_semi")
-             .select(F.col("row").alias("node"), "n_shingles", "bands", "d1", "d2", "doc_id"))
-    cells = stored(_cells(nodes).join(nodes.select("node", "n_shingles"), "node"), "cells")
-
-    # the whole sets of the nodes that share a cell, from their texts
-    wanted = stored(nodes.join(cells.select("node").distinct(), "node", "left_semi")
-                    .select("node", "d1", "d2", "doc_id"), "wanted")
+    some = rows.where("n_shingles > 0").drop("bands")
+    kinds = stored(some.groupBy("d1", "d2").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id")),
+                   "sets")
+    nodes = rows.join(kinds.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+
+    # the groups of first half-bands, of nodes that share a cell
+    cells = stored(_cells(nodes), "shared")
+    value = F.element_at("bands", F.col("i") + 1)
+    groups = stored(cells.select("node", "i").distinct().join(nodes.select("node", "bands"), "node")
+                    .select("node", "i", value.alias("value")), "groups")
+    members = groups.groupBy("i", "value").agg(F.count("*").alias("members")).where("members > 1")
+    groups = groups.join(members, ["i", "value"])
+
+    # their whole sets, from the texts
+    wanted = nodes.join(cells.select("node").distinct(), "node", "left_semi").drop("bands")
     ids = wanted.select("doc_id").distinct()
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    sets = stored(_full_sets(texts).join(wanted.select("node", "d1", "d2"), ["d1", "d2"])
-                  .select("node", "shingles").dropDuplicates(["node"]), "shingles")
-
-    # first against the smallest node of each cell
-    size = nodes.select(F.col("node").alias("least"), F.col("n_shingles").alias("least_size"))
-    stars = (cells.where("node <> least").select(F.col("least"), "node", "n_shingles").distinct()
-             .join(size, "least").where(_similar_size(F.col("n_shingles"), F.col("least_size")))
-             .select(F.col("least").alias("u"), F.col("node").alias("v")))
-    again = _same_document(some, kinds)
-    linked = components(_confirmed(stars, sets).union(again))
+    sets = stored(_full_sets(texts).join(wanted.select("node", "d1", "d2", "n_shingles"), ["d1", "d2"])
+                  .select("node", "n_shingles", "shingles", "sketch").dropDuplicates(["node"]), "shingles")
+
+    # contract large groups
+    large = groups.where(F.col("members") > block).select("node").distinct()
+    stars = (cells.where("node <> least").join(large, "node", "left_semi")
+             .select(F.col("least").alias("u"), F.col("node").alias("v")).distinct())
+    linked = components(_confirmed(stars, sets).union(_same_document(some, kinds)))
     linked = stored(linked.select("node", F.col("root").alias("comp")), "linked")
+    groups = groups.join(linked, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = groups.groupBy("i", "value").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
+    groups = groups.join(mixed.select("i", "value"), ["i", "value"], "left_semi")
 
-    # then whatever different components still share a cell
-    comp = cells.join(linked, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = comp.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
-    members = (comp.join(mixed.select("key"), "key", "left_semi")
-               .join(nodes.select("node", "bands"), "node")
-               .select("key", "node", "comp", "members", "n_shingles", "bands"))
-    late = _confirmed(_near_in_blocks(members), sets)
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    dealt = (groups.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .withColumn("cell", F.xxhash64("i", "value", F.least("own", "other"), F.greatest("own", "other")))
+             .select("cell", "i", "own", "node", "comp")
+             .join(sets.select("node", "n_shingles", "sketch"), "node").join(nodes.select("node", "bands"), "node"))
+    late = _confirmed(_pairs_in_groups(dealt), sets)
     roots = stored(components(linked.select(F.col("node").alias("u"), F.col("comp").alias("v")).union(late)),
                    "roots")
 
-    named = (kinds.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    named = kinds.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = named.join(least, "root").select("d1", "d2", F.lit(1).alias("some"), "component_id")
-    found = rows.join(named, ["d1", "d2"], "left")
+    named = named.join(least, "root").select("d1", "d2", "component_id")
+    found = rows.drop("bands").join(named, ["d1", "d2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"),
                         (F.col("doc_id").isNull() | component.eqNullSafe(F.col("doc_id"))).alias("kept"))
@@ -298,7 +377,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
         return kept
     same = kept["doc_id"].eqNullSafe(twice["__kept_id"])
     first = (kept.join(twice, same, "left_semi").groupBy("doc_id")
-             .agg(F.min_by(F.struct(*docs.columns), F.struct(F.coalesce("text", F.lit("")))).alias("r")).select("r.*"))
+             .agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.coalesce("text", F.lit(""))).alias("r")).select("r.*"))
     return kept.join(twice, same, "left_anti").unionByName(first)
 
 

@@ -150,7 +150,11 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def drop_low_quality(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``quality_rules`` keeps, all their columns as they were."""
+    """The rows of ``docs`` that ``quality_rules`` keeps, all their columns as they were.
+
+    Null and empty texts go (they have no words); repeated rows stay or go
+    each; a null doc_id plays no part. An empty table gives no rows.
+    """
     bounded_batches(docs.sparkSession)
 
     def keep(batches):
