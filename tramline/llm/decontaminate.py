@@ -257,7 +257,11 @@ def _contaminated():
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, all their columns as they were."""
+    """The rows of ``docs`` that are not contaminated, all their columns as they were.
+
+    Null and empty texts stay; repeated rows stay or go each; a null doc_id
+    plays no part. An empty table gives no rows.
+    """
     return mark(docs, benchmark, window).where(~_contaminated()).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

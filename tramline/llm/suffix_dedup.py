@@ -33,8 +33,8 @@ WIDTH = 50
 GRAM = 16
 SPAN = WIDTH - GRAM + 1       # 16-byte strings in one of WIDTH bytes
 HOT = 4096                    # a minimizer of more texts is split
-SHARD_SEGMENTS = 60_000       # about 4 MB of segments
-RANGE_ANCHORS = 3_000_000
+SHARD_SEGMENTS = 10_000       # under 1 MB of segments: random access stays in cache
+RANGE_ANCHORS = 1_000_000     # minimizers that a task compares
 SLICE = 8 << 20               # positions fit in 24 bits of a sort key
 LAST = 2**63 - 1              # stands for a null doc_id: never the smaller one
 
@@ -106,20 +106,22 @@ def suffix_ranks(symbols: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.
     far, and sorts only the groups that are still tied.
     """
     n = len(symbols)
-    padded = np.concatenate([symbols.astype(np.uint64) + np.uint64(1), np.zeros(8, np.uint64)])
-    key = np.zeros(n, np.uint64)
-    for k in range(7):
-        key = (key << np.uint64(9)) | np.where(left > k, padded[k:k + n], np.uint64(0))
-    order = np.argsort(key)
+    eight = np.ndarray((n,), ">u8", symbols.tobytes() + bytes(8), strides=(1,)).astype(np.uint64)
+    within = np.minimum(left, 7).astype(np.uint64)  # symbols of the first 7 that are in the segment
+    blank = np.array([~np.uint64(0) << np.uint64(64 - 8 * k) if k else 0 for k in range(8)], np.uint64)
+    key = (eight & blank[within]) | within          # an ended suffix before one that goes on with zeros
+    order = np.argsort(key).astype(np.int32)  # a shard has far fewer than 2**31 symbols
     ordered = key[order]
-    first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    first = np.ones(n, bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    del eight, within, key, ordered
+    rank = np.empty(n, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n, dtype=np.int32), np.int32(0)))
     done, longest = 7, int(left.max(initial=0))
     while True:
         tied = ~first
         tied[:-1] |= ~first[1:]
-        places = np.flatnonzero(tied)  # places in the order that belong to tied groups
+        places = np.flatnonzero(tied).astype(np.int32)  # places in the order that belong to tied groups
         if not len(places):
             break
         suffix = order[places]
@@ -128,7 +130,7 @@ def suffix_ranks(symbols: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.
             break
         after = np.where(left[suffix] > done, rank[np.minimum(suffix + done, n - 1)] + 1, 0)
         group = rank[suffix]
-        combined = group * np.int64(n + 1) + after
+        combined = group.astype(np.int64) * (n + 1) + after
         by = np.argsort(combined)
         suffix, combined = suffix[by], combined[by]
         order[places] = suffix
@@ -136,8 +138,8 @@ def suffix_ranks(symbols: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.
         first[places] = new
         rank[suffix] = places[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
         done *= 2
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
     return order, place
 
 
@@ -147,11 +149,12 @@ def common_prefixes(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray,
 
     From one place to the next in a segment the prefix loses one symbol at
     most, so it is only carried on; all segments take a step at a time.
+    Suffixes shorter than ``cap`` are left out (0).
     """
     lcp = np.zeros(len(symbols), np.int16)
     carried = np.zeros(len(starts), np.int64)
-    for step in range(int(sizes.max(initial=0))):
-        lanes = np.flatnonzero(sizes > step)
+    for step in range(int(sizes.max(initial=0)) - cap + 1):
+        lanes = np.flatnonzero(sizes >= step + cap)
         here = starts[lanes] + step
         at = place[here]
         before = order[np.maximum(at - 1, 0)]
@@ -170,11 +173,12 @@ def common_prefixes(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray,
     return lcp
 
 
-def string_groups(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def string_groups(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The distinct strings of WIDTH bytes of the segments.
 
-    Returns the sorted strings, for each string of each segment (segment
-    after segment) its number among them, and where each segment's begin.
+    Returns all symbols, where among them the distinct strings begin (in the
+    strings' order), for each string of each segment (segment after segment)
+    its number among them, and where each segment's numbers begin.
     """
     sizes = np.array([len(s) for s in segments], np.int64)
     starts = np.cumsum(sizes) - sizes
@@ -182,21 +186,24 @@ def string_groups(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
     left = np.repeat(starts + sizes, sizes) - np.arange(len(symbols))
     order, place = suffix_ranks(symbols, left)
     lcp = common_prefixes(symbols, starts, sizes, order, place, left)
+    del place
     whole = left[order] >= WIDTH  # the other suffixes are shorter than a string
     order, lcp = order[whole], lcp[whole]
     new = lcp < WIDTH
     new[:1] = True
     group = np.empty(len(symbols), np.int64)
     group[order] = np.cumsum(new) - 1
-    heads = symbols[order[new][:, None] + np.arange(WIDTH)]
     strings = sizes - WIDTH + 1
-    return (np.ascontiguousarray(heads).view(f"S{WIDTH}").ravel(), group[left >= WIDTH],
-            np.cumsum(strings) - strings)
+    return symbols, order[new], group[left >= WIDTH], np.cumsum(strings) - strings
+
+
+def _strings_at(symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(symbols[places[:, None] + np.arange(WIDTH)]).view(f"S{WIDTH}").ravel()
 
 
 def smallest_ids(segments: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each string of each segment the smallest id of a segment with it; where each begins."""
-    strings, group, begins = string_groups(segments)
+    _, strings, group, begins = string_groups(segments)
     least = np.full(len(strings), LAST)
     np.minimum.at(least, group, np.repeat(ids, [len(s) - WIDTH + 1 for s in segments]))
     return least[group], begins
@@ -235,9 +242,18 @@ def _shard_spans(table: pa.Table) -> pa.Table:
                      "b": pa.array(np.concatenate([*b, np.zeros(0)]).astype(np.int64))})
 
 
+def _repeats(x: np.ndarray) -> np.ndarray:
+    """Which elements occur twice or more."""
+    ordered = np.sort(x)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(twice):
+        return np.zeros(len(x), bool)
+    return twice[np.minimum(np.searchsorted(twice, x), len(twice) - 1)] == x
+
+
 def _shared_minimizers(texts: DataFrame, ranges: int, hot_from: int) -> DataFrame:
-    """th, part, hashes, hot: for each text the minimizers (32 bits of the hash, within the
-    part) that another text has too, as little-endian bytes, and which of them are hot."""
+    """th, keys, hot: for each text its minimizers that another text has too, as
+    numbers (range and 32 bits of the hash) and whether so many texts have them."""
     def emit(batches):
         for batch in batches:
             ths = batch.column("th").to_numpy()
@@ -249,38 +265,71 @@ def _shared_minimizers(texts: DataFrame, ranges: int, hot_from: int) -> DataFram
                 part, low, text = part[by], low[by], text[by]
                 edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else [0]
                 own = ths[first:first + len(data)]
+                small = "<u2" if len(data) <= 1 << 16 else "<u4"
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array([int(part[a]) for a in edge[:-1]], pa.int64()),
                     "hashes": pa.array([low[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()),
-                    "texts": pa.array([text[a:b].astype("<u4").tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()),
+                    "texts": pa.array([text[a:b].astype(small).tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()),
                     "ths": pa.array([own.tobytes()] * (len(edge) - 1), pa.binary())})
 
     def shared(table: pa.Table) -> pa.Table:
         low, owner = [], []
         for h, t, own in zip(*(table.column(c).to_pylist() for c in ("hashes", "texts", "ths"))):
             low.append(np.frombuffer(h, "<u4"))
-            owner.append(np.frombuffer(own, "<i8")[np.frombuffer(t, "<u4")])
+            owner.append(np.frombuffer(own, "<i8")[np.frombuffer(t, f"<u{4 * len(t) // len(h)}")])
         low, owner = np.concatenate(low), np.concatenate(owner)
+        some = np.flatnonzero(_repeats(low))  # most hashes occur once
+        low, owner = low[some], owner[some]
         by = np.lexsort([owner, low])
         low, owner = low[by], owner[by]
-        new = np.concatenate([[True], (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])])
+        new = np.ones(len(low), bool)
+        new[1:] = (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])
         low, owner = low[new], owner[new]  # equal texts count once
-        heads = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+        heads = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]])) if len(low) else np.zeros(0, np.int64)
         times = np.diff(np.concatenate([heads, [len(low)]]))
         times = np.repeat(times, times)
         some = times > 1
         low, owner, hot = low[some], owner[some], (times[some] > hot_from).astype(np.uint8)
-        by = np.argsort(owner, kind="stable")
-        low, owner, hot = low[by], owner[by], hot[by]
-        edge = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]])) if len(owner) else np.array([0])
+        part = table.column("part")[0].as_py()
+        bucket = owner % ranges  # rows of one bucket of texts go on together
+        by = np.lexsort([owner, bucket])
+        low, owner, hot, bucket = low[by], owner[by], hot[by], bucket[by]
+        edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(low) else [0]
         return pa.table({
-            "th": pa.array(owner[edge[:-1]], pa.int64()),
-            "part": pa.array(np.full(len(edge) - 1, table.column("part")[0].as_py()), pa.int64()),
+            "bucket": pa.array([int(bucket[a]) for a in edge[:-1]], pa.int64()),
+            "part": pa.array([part] * (len(edge) - 1), pa.int64()),
+            "ths": pa.array([_runs(owner[a:b])[0].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()),
+            "sizes": pa.array([_runs(owner[a:b])[1].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()),
             "hashes": pa.array([low[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()),
             "hot": pa.array([hot[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())})
 
+    def gather(table: pa.Table) -> pa.Table:
+        owner, key, hot = [], [], []
+        for part, ths, sizes, low, h in zip(*(table.column(c).to_pylist() for c in (
+                "part", "ths", "sizes", "hashes", "hot"))):
+            owner.append(np.repeat(np.frombuffer(ths, "<i8"), np.frombuffer(sizes, "<u4")))
+            key.append(np.frombuffer(low, "<u4") | (np.uint64(part) << np.uint64(32)))
+            hot.append(np.frombuffer(h, np.uint8))
+        owner, key, hot = np.concatenate(owner), np.concatenate(key), np.concatenate(hot)
+        by = np.lexsort([key, owner])
+        owner, key, hot = owner[by], key[by], hot[by]
+        own, sizes = _runs(owner)
+        edge = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        return pa.table({
+            "th": pa.array(own, pa.int64()),
+            "keys": pa.array([key[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()),
+            "hot": pa.array([hot[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())})
+
     blobs = texts.select("th", "text").mapInArrow(emit, "part bigint, hashes binary, texts binary, ths binary")
-    return blobs.groupBy("part").applyInArrow(shared, "th bigint, part bigint, hashes binary, hot binary")
+    found = blobs.groupBy("part").applyInArrow(
+        shared, "bucket bigint, part bigint, ths binary, sizes binary, hashes binary, hot binary")
+    return found.groupBy("bucket").applyInArrow(gather, "th bigint, keys binary, hot binary")
+
+
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values and how often each comes."""
+    heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+    return ordered[heads], np.diff(np.concatenate([heads, [len(ordered)]])).astype("<u4")
 
 
 def _segments(found: DataFrame, ranges: int) -> DataFrame:
@@ -288,20 +337,19 @@ def _segments(found: DataFrame, ranges: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids, ths = batch.column("id").to_numpy(), batch.column("th").to_numpy()
-            lists = batch.column("lists").to_pylist()
+            keys, hot = batch.column("keys").to_pylist(), batch.column("hot").to_pylist()
             for start, data in text_chunks(batch):
                 text, h, first, end = minimizers(data)
                 part = (((h >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)) << np.uint64(32)
                 key = part | (h & np.uint64(0xFFFFFFFF))
                 edge = np.searchsorted(text, np.arange(len(data) + 1))
                 keep, hots = np.zeros(len(h), bool), np.zeros(len(h), bool)
-                for t, own in enumerate(lists[start:start + len(data)]):
+                for t in range(len(data)):
                     a, b = edge[t], edge[t + 1]
-                    known = np.concatenate([(np.uint64(x["part"]) << np.uint64(32)) | np.frombuffer(x["hashes"], "<u4")
-                                            for x in own])
-                    hot = np.concatenate([np.frombuffer(x["hot"], np.uint8) for x in own]).astype(bool)
-                    keep[a:b] = np.isin(key[a:b], known)
-                    hots[a:b] = np.isin(key[a:b], known[hot])
+                    known = np.frombuffer(keys[start + t], "<u8")  # sorted
+                    place = np.minimum(np.searchsorted(known, key[a:b]), len(known) - 1)
+                    keep[a:b] = known[place] == key[a:b]
+                    hots[a:b] = keep[a:b] & (np.frombuffer(hot[start + t], np.uint8)[place] > 0)
                 at = np.flatnonzero(keep)
                 yield pa.RecordBatch.from_pydict({
                     "h": pa.array(h[at].view(np.int64)), "hot": pa.array(hots[at]),
@@ -331,7 +379,8 @@ def _hot_spans(hot: DataFrame, shard_segments: int) -> DataFrame:
 
     def local(table: pa.Table) -> pa.Table:
         segments = table.column("segment").to_pylist()
-        strings, group, _ = string_groups(segments)
+        symbols, places, group, _ = string_groups(segments)
+        strings = _strings_at(symbols, places)
         least = np.full(len(strings), LAST)
         np.minimum.at(least, group, np.repeat(table.column("id").to_numpy(),
                                               [len(s) - WIDTH + 1 for s in segments]))
@@ -356,7 +405,7 @@ def _hot_spans(hot: DataFrame, shard_segments: int) -> DataFrame:
 
     def back(own: pa.Table, found: pa.Table) -> pa.Table:
         segments = own.column("segment").to_pylist()
-        _, group, begins = string_groups(segments)
+        _, _, group, begins = string_groups(segments)
         parts = sorted(zip(found.column("range").to_pylist(), found.column("least").to_pylist()))
         least = np.frombuffer(b"".join(x for _, x in parts), np.int64)[group]
         return pa.table({"h": own.column("h"), "segment": own.column("segment"),
@@ -368,11 +417,22 @@ def _hot_spans(hot: DataFrame, shard_segments: int) -> DataFrame:
         runs = runs.groupBy("range").applyInArrow(merge, "sub bigint, range int, least binary")
     lists = merged.groupBy("sub").cogroup(runs.select("sub", "range", "least").groupBy("sub")).applyInArrow(
         back, "h bigint, segment binary, least array<bigint>")
-    places = F.transform("least", lambda least, k: F.when(least < F.col("id"), k))
-    return (hot.join(lists, ["h", "segment"])
-            .select("id", "th", "first", F.explode(F.array_compact(places)).alias("k"))
-            .select("id", "th", (F.col("first") + F.col("k")).alias("a"),
-                    (F.col("first") + F.col("k") + WIDTH).alias("b")))
+    def runs_of(batches):
+        for batch in batches:
+            ids, firsts = batch.column("id").to_numpy(), batch.column("first").to_numpy()
+            rows, a, b = [], [], []
+            for i, least in enumerate(batch.column("least")):
+                x, y = _spans(least.values.to_numpy() < ids[i])
+                rows += [i] * len(x)
+                a.append(x + firsts[i])
+                b.append(y - 1 + firsts[i] + WIDTH)
+            at = pa.array(rows, pa.int64())
+            none = np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_pydict({
+                "id": batch.column("id").take(at), "th": batch.column("th").take(at),
+                "a": pa.array(np.concatenate([none, *a])), "b": pa.array(np.concatenate([none, *b]))})
+    return (hot.join(lists, ["h", "segment"]).select("id", "th", "first", "least")
+            .mapInArrow(runs_of, "id bigint, th bigint, a bigint, b bigint"))
 
 
 def _cut(text: bytes, a: np.ndarray, b: np.ndarray) -> tuple[int, list[tuple[int, int]]]:
@@ -432,23 +492,21 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, hot_from: int = HOT
     own = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
                       F.xxhash64(text).alias("th"), text.alias("text"))
     rows = stored(own.select("doc_id", "id", "th", F.octet_length("text").cast("long").alias("n_bytes"),
-                             F.sha2("text", 256).alias("sha")), "texts")
+                             F.unhex(F.sha2("text", 256)).alias("sha")), "texts")
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
-    ranges = max(1, math.ceil(total * 2 / (SPAN + 1) / RANGE_ANCHORS), min(12, total // 2**24))
+    ranges = max(1, math.ceil(total * 2 / (SPAN + 1) / RANGE_ANCHORS), min(12, total // 2**23))
     first = stored(rows.groupBy("sha").agg(F.min("id").alias("least"), F.min("th").alias("th")), "first")
 
-    lists = (_shared_minimizers(own, ranges, hot_from).groupBy("th")
-             .agg(F.collect_list(F.struct("part", "hashes", "hot")).alias("lists")))  # of one text
-    lists = stored(lists.join(first.select("th", F.col("least").alias("id")), "th"), "lists")
-    found = stored(own.join(lists, ["th", "id"]).select("id", "th", "text", "lists"), "found")
-    n = lists.select(F.sum(F.aggregate("lists", F.lit(0).cast("long"),
-                                       lambda a, x: a + F.octet_length(x["hashes"])))).first()[0] or 0
-    shards = n_buckets(spark, n // 4, shard_segments)
+    lists = _shared_minimizers(own, ranges, hot_from).join(first.select("th", F.col("least").alias("id")), "th")
+    found = stored(own.join(lists, ["th", "id"]).select("id", "th", "text", "keys", "hot"), "found")
+    n = found.select(F.sum(F.octet_length("keys").cast("long"))).first()[0] or 0
+    shards = n_buckets(spark, n // 8, shard_segments)
     segments = _segments(found, ranges)
     plain = (segments.where("NOT hot").withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)))
-             .groupBy("shard").applyInArrow(
+             .select("shard", "id", "th", "first", "segment").groupBy("shard").applyInArrow(
                  lambda t: _shard_spans(t), "id bigint, th bigint, a bigint, b bigint"))
-    spans = plain.union(_hot_spans(segments.where("hot").drop("hot"), shard_segments))
+    hot = stored(segments.where("hot").drop("hot"), "hot")
+    spans = plain.union(_hot_spans(hot, shard_segments))
     cut = _removed(found, spans, with_text)
 
     known = rows.join(first.select("sha", "least"), "sha").join(cut, ["id", "th"], "left")
@@ -458,7 +516,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, hot_from: int = HOT
         "doc_id", "n_bytes",
         F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copy, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copy, F.lit(empty)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256")]
+        F.when(copy, F.lit(empty)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256")]
     if with_text:
         columns.append(F.when(copy, F.lit(b"")).otherwise(F.col("kept_bytes")).alias("kept_bytes"))
     return known.select(*columns)
