@@ -369,7 +369,8 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     without doc_id stay.
     """
     found = stored(near_duplicates(docs), "duplicates")
-    stay = found.where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
+    # ids grow with the documents: never broadcast, whatever the estimate of a compressed file says
+    stay = found.where("kept").select(F.col("doc_id").alias("__kept_id")).distinct().hint("merge")
     kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["__kept_id"]), "left_semi")
     twice = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(
         F.col("doc_id").alias("__kept_id"))
