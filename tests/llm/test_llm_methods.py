@@ -215,6 +215,18 @@ def test_rule_spans_against_brute_force(spark, docs, texts):
         assert set(spans) <= set(filter(None, r["spans"].split(",")))
 
 
+def test_addresses_with_zero_parts(spark):
+    every = {i: f"at {x} now" for i, x in enumerate(
+        ["10.0.0.1", "0.0.0.0", "1.2.3.000", "8.8.8.0", "127.0.0.1", "255.000255.0.00", "256.0.0.1", "0.0.0.0256"])}
+    rows = spark.createDataFrame(list(every.items()), "doc_id bigint, text string")
+    for r in pii.find_personal_data(rows).collect():
+        spans = _brute_spans(every[r["doc_id"]])
+        assert r["n_ip"] == len(spans) == (r["doc_id"] < 6)
+        assert r["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+    got = {r["doc_id"]: r["text"] for r in pii.redact(rows.where("doc_id < 6")).collect()}
+    assert got == dict.fromkeys(range(6), "at <IP> now")
+
+
 def test_patterns_find_unseen_identifiers(spark):
     key = [f"{zlib.crc32(str(i).encode()):08x}{i:04x}a1b2c3d4" for i in range(8)]
     rows = [(i, f"text before secret_key={key[i]} and after") for i in range(8)]

@@ -34,7 +34,7 @@ RULES = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"  # gives back one zero: a part may be just 0
 _SPACE = r"\x20\x09-\x0D"
 CANDIDATE = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
 
