@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tramline.llm import decontaminate, importance, lm_ppm, minhash, packing, pii, sharding, suffix_dedup
+from tramline.llm import decontaminate, importance, licenses, lm_ppm, minhash, packing, pii, sharding, suffix_dedup
 from tramline.sources.tables import read_table
 
 SF = "/root/testdata/sf0.001"
@@ -237,6 +237,21 @@ def test_patterns_find_unseen_identifiers(spark):
     assert all(got[i].startswith("secret:23:") for i in range(8))
 
 
+# --- licences
+
+def _licenses(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["sentences"], r["licenses"]) for r in licenses.scan_licenses(rows).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_known_sentences_alone_are_found(spark):
+    got = _licenses(spark, [
+        "Released under the MIT License.", "distributed under the terms of the MIT license.", "All  rights reserved.",
+        "All\trights reserved.", "# All\n# rights reserved.", "Licensed\tunder CC BY 4.0.", "no such sentence"])
+    assert got == [("mit_ref", "MIT")] * 2 + [("proprietary", "Proprietary")] * 3 + [("cc_by4", "CC-BY-4.0"), ("", "")]
+
+
 # --- sharding
 
 def test_hypergeometric_moments_of_large_urns():
