@@ -252,6 +252,87 @@ def test_known_sentences_alone_are_found(spark):
     assert got == [("mit_ref", "MIT")] * 2 + [("proprietary", "Proprietary")] * 3 + [("cc_by4", "CC-BY-4.0"), ("", "")]
 
 
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY.
+"""
+_BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+%s
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+_NAMES = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE.
+"""
+_GPL = """This program is free software%s you can redistribute it and/or modify
+it under the terms of the GNU %s General Public License as published by
+the Free Software Foundation%s either version %s of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful.
+"""
+_MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_standard_licence_texts(spark):
+    every = [("MIT", _MIT), ("BSD-2-Clause", _BSD2 % ""), ("BSD-3-Clause", _BSD2 % _NAMES), ("Apache-2.0", _APACHE),
+             ("ISC", _ISC), ("GPL-2.0-or-later", _GPL % (";", "", ";", 2)), ("GPL-3.0-or-later", _GPL % (":", "", ",", 3)),
+             ("LGPL-2.0-or-later", _GPL % (";", "Library", ";", 2)), ("LGPL-2.1-or-later", _GPL % (";", "Lesser", ";", "2.1")),
+             ("LGPL-3.0-or-later", _GPL % (":", "Lesser", ",", 3)), ("MPL-2.0", _MPL)]
+
+    def lines(t, first, mark, last):
+        return first + "".join(f"{mark} {x}".rstrip() + "\n" for x in t.split("\n")) + last
+    forms = [lambda t: t, lambda t: lines(t, "/*\n", " *", " */\nint main() { return 0; }\n"), lambda t: lines(t, "", "#", "x = 1\n"),
+             lambda t: lines(t, "", "//", "x\n"), lambda t: lines(t, "<!--\n", "", "-->\n"),
+             lambda t: t.replace("\n", "\r\n"), lambda t: " ".join(t.split()),
+             lambda t: t.replace(' "', " ``").replace('"', "''"), lambda t: t.replace(' "', " \u201c").replace('"', "\u201d")]
+    got = _licenses(spark, [f(t) for f in forms for _, t in every])
+    assert [x for _, x in got] == [n for _ in forms for n, _ in every]
+
+
+def test_version_or_later_is_not_only(spark):
+    got = _licenses(spark, ["Licensed under the GNU General Public License version 2.",
+                            "Licensed under the GNU General Public License version 2 or later.",
+                            "Licensed under the Apache License, version 2.5 of ours."])
+    assert [x for _, x in got] == ["GPL-2.0-only", "", ""]
+
+
 # --- sharding
 
 def test_hypergeometric_moments_of_large_urns():

@@ -1,7 +1,7 @@
 """License scan by recognised sentences and ordered rules.
 
-A text is cut into sentences, each is normalised and, if it is known, named
-by an identifier. Licences are then read from the sequence of identifiers by
+A text is cut into sentences, each is normalised and the known sentences in
+it are named by identifiers, in the order of their places. Licences are then read from the sequence of identifiers by
 rules tried in order: a rule names a licence by identifiers that follow each
 other, and takes them out of the sequence, so that a longer rule goes before
 its parts. Every text is cut: no word is common to all known sentences.
@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Public licence texts. Identifier and pattern of the end of a normalised sentence.
+# Public licence texts. Identifier and pattern of a part of a normalised sentence;
+# the SQL twin reads these as they stand, scan_licenses by KNOWN below.
 SENTENCES = [
     ("apache2_ref", r"licensed under the apache license,? version 2(\.0)?"),
     ("apache2_copy", r"you may obtain a copy of the license at"),
@@ -44,6 +45,21 @@ SENTENCES = [
 # Read by the SQL twin alone, which leaves out texts without a match; scan_licenses leaves out none.
 TRIGGER = r"licen[sc]ed? |permission|redistribut|warrant|without|rights reserved|any later version|public domain| as is"
 
+# What SENTENCES writes otherwise than normalised texts do, or lacks of the standard texts.
+_AS_STANDARD = {
+    "mit_notice": r"permission notice (including the next paragraph )?shall be included in all copies or substantial portions of the software",
+    "isc_grant": r"permission to use, copy, modify, and( or|or)? distribute this software for any purpose with or without fee is hereby granted",
+    "isc_basis": r"the software is provided as is and the author disclaims all warranties",
+    "bsd_basis": r"this software is provided by the (copyright holders?|authors?|regents)( and contributors)? as is",
+    "gpl3_ref": r"licensed under the gnu general public license,? version 3(\.0)?(?!.*\blater\b)",
+    "gpl2_ref": r"licensed under the gnu general public license,? version 2(\.0)?(?!.*\blater\b)",
+    "gpl_redistribute": r"redistribute it and or modify it under the terms of the gnu general public license",
+    "lgpl_redistribute": r"redistribute it and or modify it under the terms of the gnu (lesser|library) general public license",
+    "gpl_later21": r"either version 2\.1 of the license, or (at your option )?any later version",
+    "mpl2_ref": r"subject to the terms of the mozilla public license,? (v|version) ?2\.0",
+}
+KNOWN = [(n, rf"\b(?:{p})(?![a-z0-9]|\.[0-9])") for n, p in (dict(SENTENCES) | _AS_STANDARD).items()]
+
 # Licence, identifiers in order; longer rules first.
 RULES = [
     ("MIT", ["mit_grant", "mit_notice", "mit_basis"]),
@@ -67,40 +83,48 @@ RULES = [
     ("Unlicense", ["unlicense"]),
     ("Proprietary", ["proprietary"]),
 ]
+ALL_RULES = [("ISC", ["isc_grant", "isc_basis"]), ("LGPL-2.1-or-later", ["lgpl_redistribute", "gpl_later21"]), *RULES]
 # Licences whose texts a corpus for any use should not have.
 RESTRICTED = ["CC-BY-NC-4.0", "Proprietary"]
 
 BREAK = r"[.!?;:]+[ \t]*\n|[.!?;:]+[ \t]+|\n[ \t]*\n"   # ends a sentence
 JUNK = r"[\"'`()*/#_]|(?:^|\n)[ \t]*[-;%]+"             # marks that say nothing
 SPACES = r"[ \t\r\n\f\v]+"
+_MARGIN = r"(?<=\n)[ \t/*#;%|<>\"'!-]*+"                # marks of comments before a line's words
+_QUOTES = r"[“”‘’]"
+_NOTHING = r"^(?:(?:and |or )?(?:[0-9]{1,2}|[a-z]))?$"  # between two sentences, or the number of a list
 
 
 def _sentences(text: Column) -> Column:
     """Normalised sentences: lower case (A-Z), no marks, single spaces."""
     low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    cut = F.split(F.concat(low, F.lit("\n")), BREAK, -1)
-    return F.transform(cut, lambda s: F.regexp_replace(
-        F.regexp_replace(F.regexp_replace(s, JUNK, " "), SPACES, " "), r"^ | $|[.,]+ ?$", ""))
+    lines = F.regexp_replace(F.concat(F.lit("\n"), low, F.lit("\n")), r"\r\n?", "\n")
+    lines = F.regexp_replace(F.regexp_replace(lines, _MARGIN, ""), r"\bv\.\s+(?=[0-9])", "v ")
+    cut = F.split(F.regexp_replace(lines, _QUOTES, " "), BREAK, -1)
+    clean = F.transform(cut, lambda s: F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
+        s, JUNK, " "), SPACES, " "), " (?=[,.])", ""), r"^ | $|[.,]+ ?$", ""))
+    return F.filter(clean, lambda s: ~s.rlike(_NOTHING))
 
 
-def _identifier(sentence: Column) -> Column:
-    out = F.lit("-")
-    for name, pattern in reversed(SENTENCES):
-        out = F.when(sentence.rlike(f"(?:^| )(?:{pattern})$"), name).otherwise(out)
-    return out
+def _identifiers(sentence: Column) -> Column:
+    """Of the known sentences in it, by place; '-' if there is none."""
+    places = F.array(*(F.struct(F.regexp_instr(sentence, F.lit(p)).alias("at"), F.lit(n).alias("name"))
+                       for n, p in KNOWN))
+    found = F.transform(F.array_sort(F.filter(places, lambda x: x["at"] > 0)), lambda x: x["name"])
+    return F.when(sentence.rlike("|".join(p for _, p in KNOWN)), found).otherwise(F.array(F.lit("-")))
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """doc_id, n_sentences, sentences, licenses, restricted of each row of ``docs``.
 
     ``sentences`` are the identifiers found, in order, comma-joined (a run of
-    unknown sentences between two is one ``-``); ``licenses`` the licences
+    unknown sentences between two is one ``-``), ``n_sentences`` their number; ``licenses`` the licences
     of the rules that match, sorted and comma-joined. A null or empty text
     has none. Repeated rows are scanned each; an empty table gives no rows;
     columns other than doc_id and text are not read.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    ids = F.transform(_sentences(text), _identifier)
+    ids = F.flatten(F.transform(_sentences(text), _identifiers))
     named = docs.select("doc_id", ids.alias("ids")).select(
         "doc_id", F.size(F.filter("ids", lambda x: x != "-")).cast("long").alias("n_sentences"),
         F.regexp_replace(F.concat(F.lit(","), F.concat_ws(",", "ids"), F.lit(",")), "(,-)+,", ",-,").alias("line"))
@@ -110,7 +134,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
                      F.array().cast("array<string>").alias("found"))
 
     rules = F.array(*(F.struct(F.lit(n).alias("name"), F.lit("".join(f",{p}," for p in ps)).alias("wanted"))
-                      for n, ps in RULES))
+                      for n, ps in ALL_RULES))
 
     def step(s: Column, r: Column) -> Column:
         return F.struct(F.replace(s["rest"], r["wanted"], F.lit(",#,")).alias("rest"),
