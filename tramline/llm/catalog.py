@@ -66,10 +66,26 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
+def op12_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every whole text, as digests; a null text is empty."""
+    from public_tokenizers import path
+
+    from tramline.llm.sentencepieces import encode_texts
+    return encode_texts(_documents(spark, sf_dir), path("piece_bpe_32k.model"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders over all documents, by language; a null text is empty."""
+    from tramline.llm.filter_audit import audit_filters
+    return audit_filters(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"),
+                         read_table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_importance_resampling, op3_license_sentences, op4_minhash_dedup, op5_ppm_scores, op6_bootstrapped_pii,
-        op7_shard_shuffle, op8_best_fit_packing, op9_suffix_array_dedup, op10_decontaminate)}
+        op7_shard_shuffle, op8_best_fit_packing, op9_suffix_array_dedup, op10_decontaminate, op12_sentencepieces,
+        op13_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:

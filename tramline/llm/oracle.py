@@ -1,6 +1,7 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
 from tramline.llm import decontaminate as dec
+from tramline.llm import filter_audit as fa
 from tramline.llm import licenses as lic
 from tramline.llm import minhash as mh
 from tramline.llm import quality_rules as qr
@@ -139,6 +140,46 @@ SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, c
 FROM t LEFT JOIN y USING (r)"""
 
 
+def _filter_audit() -> str:
+    words = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
+    bit = lambda col: f"instr('{fa.NAMES}', {col}) - 1"
+    letters = ", ".join(f"('{x}')" for x in fa.NAMES)
+    joins = " ".join(f"JOIN l l{k} ON {' AND '.join(f'l{k}.f <> l{j}.f' for j in range(k))}" for k in range(1, 5))
+    marks = fa.MARKS.decode()
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+e AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+b AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+w AS (SELECT doc_id, part, t, {words} AS ws FROM d),
+q AS (SELECT w.part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             (len(ws) < {fa.MIN_WORDS})::INT AS a,
+             (100 * len(list_distinct(ws)) < {fa.MIN_DISTINCT_PERCENT} * len(ws))::INT AS b,
+             (100 * len(regexp_replace(w.t, '[^A-Z]', '', 'g')) > {fa.MAX_CAPITAL_PERCENT} * length(w.t))::INT AS c,
+             regexp_matches(w.t, '[{marks}]')::INT AS d,
+             coalesce(least < w.doc_id OR (w.doc_id IS NULL AND least IS NOT NULL), false)::INT AS e
+      FROM w JOIN e ON e.t = w.t LEFT JOIN b ON b.doc_id = w.doc_id),
+m AS (SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS fails, count(*) AS n, sum(good)::BIGINT AS good,
+             sum(toxic)::BIGINT AS toxic FROM q GROUP BY ALL),
+l AS (SELECT * FROM (VALUES {letters}) AS x(f)),
+o AS (SELECT l0.f || l1.f || l2.f || l3.f || l4.f AS filter_order FROM l l0 {joins}),
+s AS (SELECT filter_order, step, {bit("substr(filter_order, step, 1)")} AS k,
+             list_sum(list_transform(range(1, step), lambda i: 1 << ({bit("substr(filter_order, i::INT, 1)")})))::INT AS before
+      FROM (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM o)),
+r AS (SELECT part, filter_order, step, k,
+             (sum(n) FILTER (fails & coalesce(before, 0) = 0 AND (fails >> k) & 1 = 0))::BIGINT AS kept,
+             (sum(n) FILTER (fails & coalesce(before, 0) = 0 AND (fails >> k) & 1 = 1))::BIGINT AS removed,
+             (sum(n) FILTER (fails & coalesce(before, 0) <> 0 AND (fails >> k) & 1 = 1))::BIGINT AS redundant,
+             (sum(n) FILTER (fails = 1 << k))::BIGINT AS unique_fails,
+             (sum(good) FILTER (fails & coalesce(before, 0) = 0 AND (fails >> k) & 1 = 1))::BIGINT AS good_lost,
+             (sum(toxic) FILTER (fails & coalesce(before, 0) = 0 AND (fails >> k) & 1 = 1))::BIGINT AS toxic_lost
+      FROM m CROSS JOIN s GROUP BY part, filter_order, step, k)
+SELECT part, filter_order, step, {", ".join(f"coalesce({c}, 0)::BIGINT AS {c}" for c in (
+        "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+       sum(coalesce(removed, 0)) OVER (PARTITION BY part, k)::BIGINT AS shapley
+FROM r"""
+
+
+SQL["op13_filter_audit"] = _filter_audit()
 SQL["op9_suffix_array_dedup"] = _suffix_dedup()
 SQL["op3_license_sentences"] = _licenses()
 SQL["op4_minhash_dedup"] = _near_duplicates()
