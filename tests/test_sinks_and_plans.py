@@ -40,13 +40,34 @@ def test_publish_is_all_or_nothing(spark, scratch):
     assert [r.x for r in K.read_published(spark, root, "a").collect()] == [2, 2]
 
 
-def test_poll_partition_overwrite_is_idempotent(spark, scratch):
-    p = os.path.join(scratch, "t")
-    df = spark.createDataFrame([(1, "a", "2024-01-01"), (2, "b", "2024-01-01")], "k int, poll_id string, fetched_date string")
-    K.write_poll_partitions(df, p)
-    K.write_poll_partitions(df.filter("k = 1"), p)  # poll a again
-    assert spark.read.parquet(p).count() == 2
-    K.append_rows(spark.createDataFrame([], "k int, v string"), os.path.join(scratch, "e"))
+def test_of_two_loads_at_once_one_wins(spark, scratch):
+    root = os.path.join(scratch, "wh")
+    one, two = (spark.createDataFrame([(x,)], "x int") for x in (1, 2))
+
+    def meanwhile(written):  # another load finishes while this one checks
+        K.publish_tables(spark, {"a": two}, root)
+        return []
+    with pytest.raises(K.LoadConflict):
+        K.publish_tables(spark, {"a": one}, root, checks=meanwhile)
+    assert [r.x for r in K.read_published(spark, root, "a").collect()] == [2]
+    assert len([f for f in os.listdir(root) if f.startswith("version=")]) == 1  # the loser's folder is gone
+
+
+def test_old_versions_go(spark, scratch):
+    root = os.path.join(scratch, "wh")
+    for k in range(5):
+        K.publish_tables(spark, {"a": spark.createDataFrame([(k,)], "x int")}, root, keep=2)
+    assert len([f for f in os.listdir(root) if f.startswith("version=")]) == 2 == len(K.versions(spark, root))
+    assert [r.x for r in K.read_published(spark, root, "a").collect()] == [4]
+
+
+def test_one_of_many_creates_a_file(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+    path = os.path.join(scratch, "log", "1.json")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda k: K.put_if_absent(spark, path, f"writer {k}"), range(8)))
+    assert sum(won) == 1 and open(path).read() == f"writer {won.index(True)}"
+    assert os.listdir(os.path.dirname(path)) == ["1.json"]
 
 
 def test_fact_layout_partitions_by_date(spark, scratch):

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tramline.operators import realtime as R
+from tramline.sources import commits as C
 from tramline.streaming import ingest as S
 
 from tests.test_realtime import ALERT_POLL, TRIP_POLL
@@ -28,8 +29,8 @@ def _second_poll():
     return p
 
 
-def _rows(spark, path, cols):
-    return sorted(tuple(r) for r in spark.read.parquet(path).select(*cols).collect())
+def _rows(spark, out, table, cols):
+    return sorted(tuple(r) for r in S.read_committed(spark, out, table).select(*cols).collect())
 
 
 def _ingest(spark, scratch, tdir, adir, out, ck, **options):
@@ -50,8 +51,7 @@ def _expected(spark, dirs, adir):
 
 
 def _written(spark, out):
-    return [_rows(spark, os.path.join(out, "trip_updates"), COLS),
-            _rows(spark, os.path.join(out, "trip_stop_updates"), STOP_COLS)]
+    return [_rows(spark, out, "trip_updates", COLS), _rows(spark, out, "trip_stop_updates", STOP_COLS)]
 
 
 def test_stream_matches_batch_whatever_the_batches(spark, scratch):
@@ -73,22 +73,15 @@ def test_stream_matches_batch_whatever_the_batches(spark, scratch):
     os.makedirs(empty)
     _ingest(spark, scratch, other, empty, out, "ck3")
     assert _written(spark, out) == _expected(spark, [tdir, other], adir)
-    assert spark.read.parquet(os.path.join(out, "alert_texts")).count() == 3
-    summary = spark.read.parquet(os.path.join(out, "summary"))
+    assert S.read_committed(spark, out, "alert_texts").count() == 3
+    summary = S.read_committed(spark, out, "summary")
     assert summary.agg(F.sum("total_trips_fetched"), F.sum("trips_inserted"),
                        F.sum("alerts_processed")).first()[:] == (15, 9, 2)
     # every poll that wrote facts is committed; readers see them all
     assert S.read_committed(spark, out, "trip_updates").count() == 9
-    # a poll written part-way (no marker) stays hidden
-    from tramline.sources.sinks import write_poll_partitions
-    partial = spark.read.parquet(os.path.join(out, "trip_updates")).limit(1).withColumn("poll_id", F.lit("half"))
-    write_poll_partitions(partial, os.path.join(out, "trip_updates"))
-    assert spark.read.parquet(os.path.join(out, "trip_updates")).count() == 10
+    # rows written part-way, which no commit names, stay hidden
+    C.stage(S.read_committed(spark, out, "trip_updates", with_run=True), out, "trip_updates")
     assert S.read_committed(spark, out, "trip_updates").count() == 9
-    # committed rows laid out by date
-    S.compact(spark, out, "trip_stop_updates", os.path.join(scratch, "layout"))
-    layout = spark.read.parquet(os.path.join(scratch, "layout"))
-    assert layout.count() == 9 and "fetched_date" in layout.columns
 
 
 def test_malformed_polls(spark, scratch):
@@ -115,7 +108,7 @@ def test_malformed_polls(spark, scratch):
     out = os.path.join(scratch, "quarantine")
     _ingest(spark, scratch, good, adir, out, "ck2", on_invalid="quarantine")
     assert S.read_committed(spark, out, "trip_updates").count() == 3
-    assert {r.row_json for r in spark.read.parquet(os.path.join(out, "rejected")).collect()} == set(broken.values())
+    assert {r.row_json for r in S.read_committed(spark, out, "rejected").collect()} == set(broken.values())
 
 
 def test_overlong_values(spark, scratch):

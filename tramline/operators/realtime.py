@@ -144,33 +144,33 @@ def resolve_station_ids(dim_stations: DataFrame, station_input) -> DataFrame | N
             .select(F.col("stop_id").cast("string").alias("stop_id")).distinct())
 
 
-def station_ids(stop_ids: DataFrame) -> Column:
-    """The resolved stop ids as one array: a part of the station table, so bounded by the network."""
-    return stop_ids.agg(F.collect_set("stop_id")).scalar()
-
-
-def stops_at(stop_ids: DataFrame | None, on_no_match: str = "all") -> Column:
-    """F-9 as a flag: ANY of the entity's stops is in ``stop_ids`` (None = no filter).
-
-    An empty id set means "no filter" in the reference (T-1,
-    ``on_no_match='all'``); ``on_no_match='none'`` matches nothing instead.
+def trips_at(trip_ents: DataFrame, stop_ids: DataFrame, on_no_match: str = "all") -> DataFrame:
+    """F-9: the ``entity_key`` of every trip entity that ANY stop id of ``stop_ids`` lets through.
+
+    Only (entity, stop) pairs meet the ids, in a join that Spark may shuffle,
+    so neither the ids nor an entity's stops need fit anywhere. An empty id
+    set means "no filter" in the reference (T-1, ``on_no_match='all'``);
+    ``on_no_match='none'`` then matches nothing instead. An entity that is
+    let through twice is there twice.
     """
-    if stop_ids is None:
-        return F.lit(True)
-    ids = station_ids(stop_ids)
-    stops = F.transform("entity.tripUpdate.stopTimeUpdate", lambda s: s["stopId"])
-    hit = F.coalesce(F.arrays_overlap(stops, ids), F.lit(False))
-    return hit | (F.size(ids) == 0) if on_no_match == "all" else hit
+    stops = trip_ents.select("entity_key", F.explode(F.transform("entity.tripUpdate.stopTimeUpdate", lambda s: s["stopId"]))
+                             .alias("stop_id"))
+    hits = stops.join(stop_ids, "stop_id", "left_semi").select("entity_key")
+    if on_no_match != "all":
+        return hits
+    empty = stop_ids.agg(F.count(F.lit(1)).alias("_n")).filter("_n = 0").select(F.lit(1).alias("_one"))  # a row or none
+    every = trip_ents.select("entity_key", F.lit(1).alias("_one")).join(empty, "_one", "left_semi").select("entity_key")
+    return hits.unionByName(every)
 
 
 def filter_trips_by_stations(trip_ents: DataFrame, stop_ids: DataFrame | None,
                              on_no_match: str = "all") -> DataFrame:
-    """F-9: keep a trip entity if ANY of its stops is in ``stop_ids``.
+    """F-9: keep a trip entity if ANY of its stops is in ``stop_ids`` (None = no filter).
 
-    Kept trips keep ALL their stops (T-2). The ids are one scalar, tested
-    against each entity's own stops: no join, one pass.
+    Kept trips keep ALL their stops (T-2).
     """
-    return trip_ents if stop_ids is None else trip_ents.filter(stops_at(stop_ids, on_no_match))
+    return trip_ents if stop_ids is None else trip_ents.join(
+        trips_at(trip_ents, stop_ids, on_no_match), "entity_key", "left_semi").select(*trip_ents.columns)
 
 
 # --------------------------------------------------------------- JSN-3/4
@@ -279,27 +279,34 @@ def alert_informed_entities(alert_ents: DataFrame, carry: dict | None = None) ->
 
 
 # ----------------------------------------------------------------- SNK-6
+COUNTS = ("total_trips_fetched", "trips_inserted", "alerts_processed")
+
+
 def ingest_summary(trip_feed_ents: DataFrame, alert_ents: DataFrame, station_filter,
                    stop_ids: DataFrame | None, on_no_match: str = "all", by=()) -> DataFrame:
     """SNK-6: the run summary as one row, or one for each value of ``by`` (poll columns).
 
-    Each entity is looked at once: narrow flags are unioned and summed, each
-    task pre-sums its rows.
+    Narrow flags of entities are unioned and summed, each task pre-sums its
+    rows. A writer counts while it writes instead (``streaming.ingest``).
     """
-    kept = _present(F.col("entity.tripUpdate"), TRIP_UPDATE.fieldNames()) & stops_at(stop_ids, on_no_match)
+    is_trip = _present(F.col("entity.tripUpdate"), TRIP_UPDATE.fieldNames())
     one, none = F.lit(1), F.lit(0)
-    u = trip_feed_ents.select(*by, one.alias("f"), kept.cast("int").alias("k"), none.alias("a")).unionByName(
-        alert_ents.select(*by, none.alias("f"), none.alias("k"), one.alias("a")))
-    ids = F.size(station_ids(stop_ids)) if stop_ids is not None else F.lit(0)
+    fetched = trip_feed_ents.select(*by, one.alias("f"), (is_trip.cast("int") if stop_ids is None else none).alias("k"),
+                                    none.alias("a"))
+    u = fetched.unionByName(alert_ents.select(*by, none.alias("f"), none.alias("k"), one.alias("a")))
+    ids = F.lit(0)
+    if stop_ids is not None:
+        trips = trip_feed_ents.filter(is_trip)
+        kept = trips.select("entity_key", *by).join(trips_at(trips, stop_ids, on_no_match), "entity_key", "left_semi")
+        u = u.unionByName(kept.select(*by, none.alias("f"), one.alias("k"), none.alias("a")))
+        ids = stop_ids.agg(F.count(F.lit(1))).scalar()
 
     def total(c):
         return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-    sums = [total("f").alias("total_trips_fetched"), total("k").alias("trips_inserted"),
-            total("a").alias("alerts_processed")]
+    sums = [total(c).alias(name) for c, name in zip("fka", COUNTS)]
     summed = u.groupBy(*by).agg(*sums) if by else u.agg(*sums)
     return summed.select(*by, F.lit(station_filter or NO_FILTER_LABEL).alias("station_filter"),
-                         F.lit(STATUS_OK).alias("status"), ids.cast("bigint").alias("resolved_stop_ids_count"),
-                         "total_trips_fetched", "trips_inserted", "alerts_processed")
+                         F.lit(STATUS_OK).alias("status"), ids.cast("bigint").alias("resolved_stop_ids_count"), *COUNTS)
 
 
 # ------------------------------------------------------------- one call
@@ -317,7 +324,17 @@ class InvalidFeedRows(ValueError):
     a NOT NULL column or is wider than its column."""
 
 
-REJECTED = "table_name string, reason string, row_json string"
+REJECTED = "table_name string, reason string, row_json string, poll_id string, fetched_at timestamp_ntz"
+
+
+def _rejects(rows: DataFrame, table: str, reason: Column) -> DataFrame:
+    """Rows as ``rejected`` keeps them, with their poll where they name it."""
+    key = next((c for c in ("poll_id", "update_pk", "alert_pk") if c in rows.columns), None)
+    stamp = F.col("fetched_at") if "fetched_at" in rows.columns else F.lit(None)
+    return rows.select(F.lit(table).alias("table_name"), reason.alias("reason"),
+                       F.to_json(F.struct(*[F.col(c) for c in rows.columns])).alias("row_json"),
+                       (poll_of(key) if key else F.lit(None).cast("string")).alias("poll_id"),
+                       stamp.cast("timestamp_ntz").alias("fetched_at"))
 
 
 def enforce_columns(tables: dict[str, DataFrame], mode: str = "keep") -> dict[str, DataFrame]:
@@ -332,7 +349,7 @@ def enforce_columns(tables: dict[str, DataFrame], mode: str = "keep") -> dict[st
     if mode == "keep":
         return tables
     out = dict(tables)
-    rejected = []
+    rejected, broken = [], []
     for name, df in tables.items():
         breaks = [(F.col(c).isNull(), f"{c} is null") for c in FACT_NOT_NULL.get(name, [])]
         breaks += [(F.length(c) > n, f"{c} is wider than {n}") for c, n in FACT_WIDTHS.get(name, {}).items()]
@@ -341,15 +358,18 @@ def enforce_columns(tables: dict[str, DataFrame], mode: str = "keep") -> dict[st
         bad = F.coalesce(reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c, _ in breaks]), F.lit(False))
         reason = F.concat_ws(",", *[F.when(c, F.lit(why)) for c, why in breaks])
         if mode == "strict":
-            first = df.filter(bad).select(reason).first()
-            if first is not None:
-                raise InvalidFeedRows(f"{name}: {first[0]}")
+            broken.append(df.filter(bad).select(F.concat(F.lit(f"{name}: "), reason).alias("why")))
             continue
         out[name] = df.filter(~bad)
-        rejected.append(df.filter(bad).select(
-            F.lit(name).alias("table_name"), reason.alias("reason"),
-            F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("row_json")))
-    out, dup_rows = _enforce_unique_alerts(out, mode)
+        rejected.append(_rejects(df.filter(bad), name, reason))
+    if mode == "strict":
+        broken += [d.select(F.lit("service_alerts: duplicate (entity_id, fetched_at)").alias("why"))
+                   for d in _repeated_alerts(tables)]
+        first = reduce(DataFrame.unionByName, broken).first() if broken else None  # one job for all tables
+        if first is not None:
+            raise InvalidFeedRows(first[0])
+        return out
+    out, dup_rows = _enforce_unique_alerts(out)
     rejected.extend(dup_rows)
     if mode == "quarantine":
         spark = next(iter(tables.values())).sparkSession
@@ -360,36 +380,35 @@ def enforce_columns(tables: dict[str, DataFrame], mode: str = "keep") -> dict[st
 ALERT_CHILDREN = ("alert_active_periods", "alert_texts", "alert_informed_entities")
 
 
-def _enforce_unique_alerts(tables: dict[str, DataFrame], mode: str):
+def _repeated_alerts(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """The alerts of a poll beyond the first with their id (lowest ``alert_pk``), if there is such a table."""
+    if "service_alerts" not in tables:
+        return []
+    alerts = tables["service_alerts"]
+    keep = alerts.groupBy("entity_id", "fetched_at").agg(F.min("alert_pk").alias("alert_pk"))
+    return [alerts.join(keep, "alert_pk", "left_anti")]
+
+
+def _enforce_unique_alerts(tables: dict[str, DataFrame]):
     """CHK-4: one alert per (entity_id, fetched_at).
 
-    strict: raise if a poll repeats an alert id. quarantine: keep the row
-    with the lowest ``alert_pk``; the others and their child rows are
-    diverted (no orphans are left behind).
+    quarantine: keep the row with the lowest ``alert_pk``; the others and
+    their child rows are diverted (no orphans are left behind).
     """
     if "service_alerts" not in tables:
         return tables, []
     alerts = tables["service_alerts"]
     keep = alerts.groupBy("entity_id", "fetched_at").agg(F.min("alert_pk").alias("alert_pk"))
-    dups = alerts.join(keep, "alert_pk", "left_anti")
-    if mode == "strict":
-        if not dups.isEmpty():
-            raise InvalidFeedRows("service_alerts: duplicate (entity_id, fetched_at)")
-        return tables, []
+    dups, = _repeated_alerts(tables)
     out = dict(tables)
     out["service_alerts"] = alerts.join(keep.select("alert_pk"), "alert_pk", "left_semi")
     bad_pk = dups.select("alert_pk")
-    diverted = [dups.select(F.lit("service_alerts").alias("table_name"),
-                            F.lit("duplicate (entity_id, fetched_at)").alias("reason"),
-                            F.to_json(F.struct(*[F.col(c) for c in alerts.columns])
-                                      ).alias("row_json"))]
+    diverted = [_rejects(dups, "service_alerts", F.lit("duplicate (entity_id, fetched_at)"))]
     for name in ALERT_CHILDREN:
         if name in out:
             child = out[name]
             out[name] = child.join(bad_pk, "alert_pk", "left_anti")
-            diverted.append(child.join(bad_pk, "alert_pk", "left_semi").select(
-                F.lit(name).alias("table_name"), F.lit("parent alert diverted").alias("reason"),
-                F.to_json(F.struct(*[F.col(c) for c in child.columns])).alias("row_json")))
+            diverted.append(_rejects(child.join(bad_pk, "alert_pk", "left_semi"), name, F.lit("parent alert diverted")))
     return out, diverted
 
 
@@ -410,7 +429,7 @@ def sound_polls(polls: DataFrame, mode: str) -> tuple[DataFrame, DataFrame | Non
         return polls, None
     return polls.filter("malformed IS NULL"), broken.select(
         F.lit("polls").alias("table_name"), F.concat(F.lit("malformed poll in "), "source_file").alias("reason"),
-        F.col("malformed").alias("row_json"))
+        F.col("malformed").alias("row_json"), "poll_id", "fetched_at")
 
 
 def flatten(trip_polls: DataFrame, alert_polls: DataFrame,

@@ -2,9 +2,10 @@
 
 Parquet has no multi-table commit, so a multi-table load is versioned: every
 table is written once, under the folder of a new version, the checks run on
-what was written, and then one line in a small manifest makes the version
-current. Readers take their paths from the manifest, so they see all tables
-of one version or all of another, wherever a load fails.
+what was written, and then one small file in the manifest, created only if
+it is not there, makes the version current. Readers take their paths from
+the manifest, so they see all tables of one version or all of another,
+wherever a load fails. Tables that grow poll by poll are in ``commits``.
 """
 
 from __future__ import annotations
@@ -28,46 +29,100 @@ def append_rows(df: DataFrame, path: str) -> None:
 _MANIFEST = "_manifest"
 
 
-def _filesystem(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+def filesystem(spark: SparkSession, path: str):
+    """The store that holds a path, and the path in its terms."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, in any store that Spark can read."""
-    fs, p = _filesystem(spark, path)
+    fs, p = filesystem(spark, path)
     return fs.exists(p)
 
 
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with a text; False, with nothing changed, if there is one of that name.
+
+    The text is written under another name first, so no reader sees half of it.
+    """
+    fs, p = filesystem(spark, path)
+    fs.mkdirs(p.getParent())
+    draft = f".{uuid.uuid4().hex}"
+    if fs.getUri().getScheme() == "file":
+        target = p.toUri().getPath()
+        source = os.path.join(os.path.dirname(target), draft)
+        with open(source, "w") as f:
+            f.write(text)
+        try:
+            os.link(source, target)  # fails if the name is taken
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(source)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source = hadoop.Path(p.getParent(), draft)
+    out = fs.create(source, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark._sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = getattr(hadoop, "Options$Rename").NONE
+    try:
+        hadoop.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration()).rename(source, p, options)
+        return True
+    except Exception as e:
+        fs.delete(source, False)
+        if "AlreadyExists" in str(e):
+            return False
+        raise
+
+
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """The complete versions that are still there, oldest first."""
+    fs, p = filesystem(spark, os.path.join(root, _MANIFEST))
+    if not fs.exists(p):
+        return []
+    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(p)) if n.isdigit())
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
     """The version that the last complete load made current."""
-    path = os.path.join(root, _MANIFEST)
-    if not path_exists(spark, path):
-        return None
-    return spark.read.schema("version string").csv(path).agg(F.max("version")).first()[0]
+    return max(versions(spark, root), default=None)
+
+
+def _folder(spark: SparkSession, root: str, version: str) -> str:
+    """The folder that a version's line in the manifest names."""
+    return spark.read.text(os.path.join(root, _MANIFEST, version)).first()[0]
 
 
 def published_path(spark: SparkSession, root: str, name: str) -> str:
-    return os.path.join(root, f"version={current_version(spark, root)}", name)
+    return os.path.join(root, _folder(spark, root, current_version(spark, root)), name)
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(published_path(spark, root, name))
 
 
+class LoadConflict(RuntimeError):
+    """Another load made its version current while this one ran."""
+
+
 def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
-                   order=None, checks=None) -> dict[str, str]:
+                   order=None, checks=None, keep: int = 3) -> dict[str, str]:
     """SNK-1 / SNK-3: write all tables of a new version, validate, then switch to it.
 
     ``checks(written: dict[name, DataFrame])`` returns a list of problems. A
     problem or a failure at any point leaves the old version current; the
-    unfinished folder is removed. Versions are numbered upwards; one load
-    runs at a time. Returns {name: published path}.
+    unfinished folder is removed. Of two loads at once the first to finish
+    wins and the other raises ``LoadConflict``. The last ``keep`` versions
+    stay for readers that hold their paths. Returns {name: published path}.
     """
     names = list(order or tables)
-    version = f"{int((current_version(spark, root) or '0').split('-')[0]) + 1:010d}-{uuid.uuid4().hex[:8]}"
-    folder = os.path.join(root, f"version={version}")
+    before = current_version(spark, root)
+    version = f"{int(before or 0) + 1:010d}"
+    relative = f"version={version}-{uuid.uuid4().hex[:8]}"
+    folder = os.path.join(root, relative)
     paths = {n: os.path.join(folder, n) for n in names}
     try:
         for n in names:
@@ -75,33 +130,19 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
         problems = checks({n: spark.read.parquet(p) for n, p in paths.items()}) if checks else []
         if problems:
             raise CheckFailed("; ".join(problems))
-        spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("append").csv(
-            os.path.join(root, _MANIFEST))
+        if not put_if_absent(spark, os.path.join(root, _MANIFEST, version), relative):
+            raise LoadConflict(f"version {version} is another load's")
     except Exception:
-        fs, p = _filesystem(spark, folder)
+        fs, p = filesystem(spark, folder)
         fs.delete(p, True)
         raise
+    for old in versions(spark, root)[:-keep]:
+        for path in (os.path.join(root, _folder(spark, root, old)), os.path.join(root, _MANIFEST, old)):
+            fs, p = filesystem(spark, path)
+            fs.delete(p, True)
     return paths
 
 
-POLL_PARTITION = ("fetched_date", "poll_id")
-
-
-def write_poll_partitions(df: DataFrame, path: str, sort_col: str | None = None) -> None:
-    """SNK-4: (re)write exactly the partitions of the polls in ``df``.
-
-    ``fetched_date`` and ``poll_id`` come from the data, so whatever batch or
-    checkpoint brings a poll again, it replaces its own rows and no others
-    (dynamic partition overwrite). The rows of one poll, which one document
-    holds, are one file sorted by ``sort_col`` (SNK-5).
-    """
-    out = df.repartition(*POLL_PARTITION)
-    if sort_col:
-        out = out.sortWithinPartitions(*POLL_PARTITION, sort_col)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*POLL_PARTITION).parquet(path))
-
-
 def write_fact_layout(df: DataFrame, path: str, ts_col: str = "fetched_at",
                       sort_col: str = "trip_id", mode: str = "overwrite",
                       num_partitions: int | None = None) -> None:
