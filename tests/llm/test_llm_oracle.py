@@ -1,6 +1,7 @@
 """Queries with SQL against DuckDB: on the smallest driver tables and on awkward rows."""
 
 import os
+import random
 
 import duckdb
 import pytest
@@ -29,6 +30,22 @@ ITEMS = [(1, " ".join(WORDS[200:220])), (2, "Short ITEM"), (3, None), (4, "...")
          (6, "short item"), (None, "one two")]
 
 
+def _turns():
+    """Conversations of 1 to 300 turns with nulls, odd roles, gaps, equal turns and repeated rows."""
+    rng = random.Random(11)
+    role = lambda: rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None, "unknown"])
+    text = lambda: rng.choice(["Fine. ", "Why?", "Cut off", "", None, " \n", "é!\n", f"Number {rng.random()}.", "No. 5 "])
+    rows = []
+    for c in [None, *range(160), 900, 901]:
+        n = 300 if c in (900, None) else 70 if c == 901 else rng.randrange(1, 12)
+        wild = rng.random() < 0.6
+        for t in range(n):
+            rows.append((c, rng.choice([t, t, t, 5, None]) if wild else t,
+                         role() if wild else ["user", "assistant"][t % 2], text() if wild else f"Turn {t}."))
+        rows += rng.sample(rows[-n:], n // 4)
+    return rows
+
+
 def _canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted(tuple(str(r[i]) for i in order) for r in rows)
@@ -36,7 +53,7 @@ def _canon(cols, rows):
 
 def _compare(spark, key, sf_dir):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet/*.parquet')"
                     if os.path.isdir(f"{sf_dir}/{t}.parquet") else
                     f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
@@ -63,6 +80,8 @@ def awkward(spark, tmp_path_factory):
     spark.createDataFrame(ITEMS, "item_id bigint, text string").coalesce(1).write.parquet(f"{d}/benchmark.parquet")
     spark.createDataFrame([(9, 1, 0), (17, 0, 0)], "doc_id bigint, quality int, toxic int").coalesce(1).write.parquet(
         f"{d}/labels.parquet")
+    spark.createDataFrame(_turns(), "conv_id bigint, turn bigint, role string, text string").repartition(3).write.parquet(
+        f"{d}/conversations.parquet")
     return d
 
 
@@ -73,5 +92,5 @@ def test_awkward_rows(spark, awkward, key):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(k[2:].split("_")[0]) for k in catalog.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in E.queries() and "pipeline" not in E.oracle_sql()

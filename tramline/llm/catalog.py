@@ -66,6 +66,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by their ids and turns, and their cheapest repairs."""
+    from tramline.llm.turn_repair import damage, repair
+    return repair(damage(read_table(spark, sf_dir, "conversations")))
+
+
 def op12_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every whole text, as digests; a null text is empty."""
     from public_tokenizers import path
@@ -84,8 +90,8 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_importance_resampling, op3_license_sentences, op4_minhash_dedup, op5_ppm_scores, op6_bootstrapped_pii,
-        op7_shard_shuffle, op8_best_fit_packing, op9_suffix_array_dedup, op10_decontaminate, op12_sentencepieces,
-        op13_filter_audit)}
+        op7_shard_shuffle, op8_best_fit_packing, op9_suffix_array_dedup, op10_decontaminate, op11_turn_repair,
+        op12_sentencepieces, op13_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
