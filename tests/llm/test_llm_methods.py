@@ -333,6 +333,31 @@ def test_version_or_later_is_not_only(spark):
     assert [x for _, x in got] == ["GPL-2.0-only", "", ""]
 
 
+def test_choice_negation_notices_and_tags(spark):
+    cases = [
+        ("Copyright 2020 A. All rights reserved.\n\n" + _BSD2 % "", "BSD-2-Clause"),
+        ("Licensed under either the Apache License, Version 2.0 or the MIT license.", "Apache-2.0,MIT"),
+        ("Available under the MIT license or the Apache License, version 2.0 at your option.", "Apache-2.0,MIT"),
+        ("SPDX-License-Identifier: MIT", "MIT"), ("// SPDX-License-Identifier: MIT OR Apache-2.0\nint x;", "Apache-2.0,MIT"),
+        ("# SPDX-License-Identifier: (GPL-2.0+ OR BSD-3-Clause)", "BSD-3-Clause,GPL-2.0-or-later"),
+        ("SPDX-License-Identifier: MIT-0", ""), ("SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0-only"),
+        ("Not licensed under the MIT license.", ""), ("It is no longer available under the MIT license.", ""),
+        ("All rights reserved.", "Proprietary"), ("All rights reserved. Licensed under CC BY 4.0.", "CC-BY-4.0"),
+        ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and", "BSL-1.0"),
+        (_GPL % (";", "Affero", ",", 3), "AGPL-3.0-or-later")]
+    assert [x for _, x in _licenses(spark, [t for t, _ in cases])] == [n for _, n in cases]
+
+
+def test_every_known_sentence_has_a_word_that_calls_for_cutting():
+    def needed(m):  # of a group: nothing if it may be left out or has a choice
+        return "" if m[2] or "|" in m[1] else m[1]
+    for name, pattern, _ in licenses.KNOWN:
+        fixed, before = pattern, None
+        while fixed != before:
+            fixed, before = re.sub(r"\(\?:([^()]*)\)(\?|\{0,9\})?", needed, fixed), fixed
+        assert any(w in fixed for w in licenses.WORDS), name
+
+
 # --- sharding
 
 def test_hypergeometric_moments_of_large_urns():
