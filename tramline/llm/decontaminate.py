@@ -157,18 +157,18 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def item_chunks(benchmark: DataFrame) -> Iterator[list[tuple[str, list[bytes]]]]:
+def item_chunks(benchmark: DataFrame) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """The items' words, at most ``MAX_CHUNK_WORDS`` at a time (an item alone may exceed it)."""
     chunk: list[tuple[str, list[bytes]]] = []
     size = 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("name"), "text").where("text is not null and item_id is not null")
+    rows = benchmark.select(F.col("item_id").cast("string").alias("name"), "text").where("text is not null")
     for row in rows.toLocalIterator():
         words = words_of(row["text"].encode())
         if chunk and size + len(words) > MAX_CHUNK_WORDS:
             yield chunk
             chunk, size = [], 0
         if words:
-            chunk.append((str(row["name"]), words))
+            chunk.append((row["name"], words))
             size += len(words)
     yield chunk
 
@@ -180,7 +180,7 @@ def _scan(texts: list[bytes], automaton: SuffixAutomaton):
         words = words_of(t)
         ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
         spans, names = automaton.hits(ids)
-        yield len(words), _merged(spans), names
+        yield len(words), _merged(spans), names - {None}
 
 
 # Columns that ``mark`` adds.
@@ -235,8 +235,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
     A null or empty text has no words and is never contaminated. Items
     without words match nothing; an empty benchmark gives no hits. Repeated
-    rows are judged one by one; repeated item ids count once, a null item id
-    is dropped. Other columns are not read.
+    rows are judged one by one; repeated item ids count once. An item without an
+    id hits like any other, but is neither counted nor named. Other columns
+    are not read.
     """
     n_hit = _n_hit()
     return mark(docs.select("doc_id", "text"), benchmark, window).select(
