@@ -19,6 +19,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -215,6 +216,12 @@ class Vocabulary:
         return text
 
 
+@lru_cache(maxsize=1)
+def vocabulary(path: str) -> Vocabulary:
+    """A worker's vocabulary: the units that it knows outlive a task."""
+    return Vocabulary(path)
+
+
 def encode_texts(docs: DataFrame, model_path: str, checked: str | None = "units",
                  with_ids: bool = False, with_text: bool = False) -> DataFrame:
     """One row for each document: doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids, decoded).
@@ -228,12 +235,12 @@ def encode_texts(docs: DataFrame, model_path: str, checked: str | None = "units"
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model_path)
+        known = vocabulary(model_path)
         sha = lambda xs: pa.array([hashlib.sha256(x).hexdigest() for x in xs])
         for batch in batches:
             for first, texts in text_chunks(batch):
-                ids = vocabulary.encode([t.decode("utf-8", "replace") for t in texts], checked)
-                back = [vocabulary.decode(x) for x in ids]
+                ids = known.encode([t.decode("utf-8", "replace") for t in texts], checked)
+                back = [known.decode(x) for x in ids]
                 columns = {"doc_id": batch.column("doc_id").slice(first, len(texts)),
                            "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
                            "ids_sha256": sha(ids), "decoded_sha256": sha(back)}
