@@ -175,13 +175,13 @@ def interactions(sizes: DataFrame, names: str = NAMES) -> DataFrame:
     """
     table = sizes.sparkSession.createDataFrame(
         steps(names), "filter_order string, step int, k int, before int, own int, others int")
-    by_part = sizes.groupBy("part").agg(F.array_sort(F.collect_list(
+    by_part = sizes.groupBy("part").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(
         F.struct("bits", "failing", "good", "toxic"))).alias("u"))  # as many entries as sets of filters
     u = lambda bits, field: F.element_at("u", bits + 1)[field]
     after = F.col("before") + F.col("own")
     added = lambda field: u(after, field) - u(F.col("before"), field)
     every = Window.partitionBy("part", "k")
-    return (sizes.select("part", "bits", "n").join(by_part, "part").join(table, F.col("bits") == F.col("before"))
+    return (by_part.withColumn("bits", F.explode(F.col("u.bits"))).join(table, F.col("bits") == F.col("before"))
             .withColumn("removed", added("failing"))
             .select("part", "filter_order", "step", (F.col("n") - u(after, "failing")).alias("kept"), "removed",
                     (u(F.col("own"), "failing") - F.col("removed")).alias("redundant"),
