@@ -1,7 +1,7 @@
 """Removal of repeated byte strings with suffix arrays.
 
 A string of ``WIDTH`` bytes that occurs in two texts has the same minimizer
-(the 16 bytes with the smallest hash in it) in both. So the minimizers that
+(the 24 bytes with the smallest hash in it) in both. So the minimizers that
 two different texts share mark all places that can repeat; the rest of the
 corpus is not looked at again. Round each shared minimizer lies a segment:
 the bytes of all strings whose minimizer it is. Segments are dealt into
@@ -30,33 +30,36 @@ from pyspark.sql import functions as F
 from tramline.llm.common import bounded_batches, n_buckets, stored, text_chunks
 
 WIDTH = 50
-GRAM = 16
-SPAN = WIDTH - GRAM + 1       # 16-byte strings in one of WIDTH bytes
+GRAM = 24                     # shorter ones are shared by chance: their segments would be sorted for nothing
+SPAN = WIDTH - GRAM + 1       # 24-byte strings in one of WIDTH bytes
+RUN = 4096                    # strings of one segment at most
 HOT = 4096                    # a minimizer of more texts is split
 SHARD_SEGMENTS = 10_000       # under 1 MB of segments: random access stays in cache
 RANGE_ANCHORS = 1_000_000     # minimizers that a task compares
-SLICE = 8 << 20               # positions fit in 24 bits of a sort key
+SLICE = 2 << 20               # positions fit in 24 bits of a sort key
 LAST = 2**63 - 1              # stands for a null doc_id: never the smaller one
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _grams(data: bytes) -> np.ndarray:
-    """A 64-bit hash of the 16 bytes from each position."""
+    """A 64-bit hash of the 24 bytes from each position."""
     n = len(data) - GRAM + 1
     eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
     h = eight[:n] * _A
-    h ^= h >> np.uint64(29)
-    h += eight[8:8 + n] * _B
-    h ^= h >> np.uint64(32)
-    h *= _A
+    for at in range(8, GRAM, 8):
+        h ^= h >> np.uint64(29)
+        h += eight[at:at + n] * _B
+        h ^= h >> np.uint64(32)
+        h *= _A
     return h ^ (h >> np.uint64(31))
 
 
 def minimizers(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(text, hash, first string, end of strings) of each minimizer of the texts.
+    """(text, hash, first string, end of strings) of the runs of strings with one minimizer.
 
-    Strings first to end - 1 of that text, by their place, have it in common.
+    Strings first to end - 1 of that text, by their place, have it, at most
+    RUN of them.
     """
     parts: list[tuple[np.ndarray, ...]] = []
     held: list[tuple[int, int, bytes]] = []
@@ -69,16 +72,19 @@ def minimizers(texts: list[bytes]) -> tuple[np.ndarray, ...]:
         starts = np.cumsum(sizes) - sizes
         grams = _grams(data)
         key = (grams & ~np.uint64(0xFFFFFF)) | np.arange(len(grams), dtype=np.uint64)
-        for step in (1, 2, 4, 8, 16, SPAN - 32):
+        for step in (1, 2, 4, 8, SPAN - 16):
             key = np.minimum(key[:-step], key[step:])
         own = np.concatenate([np.arange(a, a + n - WIDTH + 1) for a, n in zip(starts, sizes)])
         at = (key[own] & np.uint64(0xFFFFFF)).astype(np.int64)
         which = np.repeat(np.arange(len(held)), sizes - WIDTH + 1)
-        new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (which[1:] != which[:-1])]))
+        h = grams[at]  # a run with one hash is one segment, wherever its strings have it
+        heads = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (which[1:] != which[:-1])]))
+        inside = np.arange(len(at)) - np.repeat(heads, np.diff(np.concatenate([heads, [len(at)]])))
+        new = np.flatnonzero(inside % RUN == 0)
         end = np.concatenate([new[1:], [len(at)]])
         w = which[new]
         shift = np.array([s for _, s, _ in held])[w] - starts[w]
-        parts.append((np.array([t for t, _, _ in held])[w], grams[at[new]],
+        parts.append((np.array([t for t, _, _ in held])[w], h[new],
                       own[new] + shift, own[end - 1] + 1 + shift))
         held.clear()
 
