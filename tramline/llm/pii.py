@@ -3,15 +3,16 @@
 Rules find e-mail addresses, IP addresses, card and phone numbers. These,
 and strings of an unmistakable secret's shape, are the seeds. What stands
 before a seed (its last words, and a key such as ``password=`` in the same
-string) is a lexical pattern; every string with a digit or an at sign is a
-candidate instance of the patterns it stands in. The graph of patterns and
+string) is a lexical pattern; every string with a digit, an at sign or a key
+is a candidate instance of the patterns it stands in. The graph of patterns and
 instances is scored in rounds: a pattern is as good as the share of its
 instances that are sure, an instance as good as its patterns together. The
 instances of sure patterns become sure, and so on. Instances found that no
 rule matched are added to the spans.
 
-Everything is DataFrame functions. Texts are scanned once; the graph has
-short strings only and is summed with partial aggregates.
+Everything is DataFrame functions. Texts are scanned once, long ones in
+slices that no match can cross, so that time grows with the text; the graph
+has short strings only and is summed with partial aggregates.
 """
 
 from __future__ import annotations
@@ -36,7 +37,11 @@ RULES = {
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"  # gives back one zero: a part may be just 0
 _SPACE = r"\x20\x09-\x0D"
-CANDIDATE = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
+CANDIDATE = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@=:]*+[0-9@=:][^{_SPACE}]*+"
+
+# A slice ends at white space after a letter, or at a line's end: no rule's match has either.
+SLICE_CHARS = 8000
+SLICES = rf"(?s).{{{SLICE_CHARS}}}.*?(?:\n|[A-Za-z][{_SPACE}])|.+"
 
 # Seeds besides the rules: keys of a fixed prefix and length, and long strings of hexadecimal digits.
 SECRET_SEED = r"^(?:AKIA[0-9A-Z]{16}|(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{16,})$"
@@ -95,16 +100,28 @@ _CHECKS = {
 }
 
 
+def _slices(text: Column) -> Column:
+    """The text in pieces of about SLICE_CHARS that no match crosses."""
+    return F.when(F.length(text) > 2 * SLICE_CHARS, F.regexp_extract_all(text, F.lit(SLICES), F.lit(0))).otherwise(F.array(text))
+
+
 def _scan(docs: DataFrame) -> DataFrame:
-    """doc_id, key (of the row), base spans (a, b, k, m) and mentions of each document."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    df = docs.select("doc_id", text.alias("__text"), _row_key(text).alias("key"))
+    """One row for each slice: doc_id, row, key (of the row), n (slices), at (the slice's first place),
+    base spans (a, b, k, m) and mentions, by their places in the whole text."""
+    whole = F.coalesce(F.col("text"), F.lit(""))
+    parts = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), _row_key(whole).alias("key"),
+                        _slices(whole).alias("__slices"))
+    ends = F.aggregate("__slices", F.array(F.lit(0)), lambda all_, s: F.array_append(all_, F.element_at(all_, -1) + F.length(s)))
+    parts = parts.withColumn("__ends", F.when(F.size("__slices") > 1, ends).otherwise(F.array(F.lit(0))))
+    last = lambda i: F.when(i > 0, F.right(F.col("__slices")[i - 1], F.lit(CONTEXT_CHARS))).otherwise("")
+    each = F.transform("__slices", lambda s, i: F.struct(F.col("__ends")[i].alias("at"), last(i).alias("__last"), s.alias("__text")))
+    df = parts.select("doc_id", "row", "key", F.size("__slices").alias("n"), F.inline(each))
     t = F.col("__text")
     for kind in RULES:
         need = t.contains(NEEDS[kind]) if NEEDS[kind] else F.lit(True)
         digits = F.lit(True) if kind == "email" else t.rlike("[0-9]")
         df = _places(df, t, kind, RULES[kind], need & digits)
-    df = _places(df, t, "candidate", CANDIDATE, t.rlike("[0-9@]"))
+    df = _places(df, t, "candidate", CANDIDATE, t.rlike("[0-9@=:]"))
 
     def spans(kind: str) -> Column:
         return F.transform(F.filter(kind, lambda x: _CHECKS[kind](x["m"])), lambda x: F.struct(
@@ -125,15 +142,18 @@ def _scan(docs: DataFrame) -> DataFrame:
     def mention(a: Column, key: Column, m: Column, k: Column) -> Column:
         at = a - F.length(key)
         before = F.substr(F.col("__text"), F.greatest(at - CONTEXT_CHARS + 1, F.lit(1)), F.least(at, F.lit(CONTEXT_CHARS)))
+        before = F.when(at < CONTEXT_CHARS, F.right(F.concat("__last", before), F.lit(CONTEXT_CHARS))).otherwise(before)
         words = F.regexp_replace(F.lower(F.regexp_extract(
             before, rf"((?:[^{_SPACE}]+[{_SPACE}]+)?[^{_SPACE}]+[{_SPACE}]*)$", 1)), "[0-9]", "0")
-        return F.struct(a.alias("a"), (a + F.length(m)).alias("b"), m.alias("m"), k.alias("k"),
+        return F.struct((F.col("at") + a).alias("a"), (F.col("at") + a + F.length(m)).alias("b"), m.alias("m"), k.alias("k"),
                         F.trim(words).alias("words"), F.lower(key).alias("prefix"))
     seeds = F.transform("base", lambda s: mention(s["a"], F.lit(""), s["m"], s["k"]))
     others = F.transform("free", lambda x: mention(
         x["a"], x["key"], x["m"], F.when(x["m"].rlike(SECRET_SEED), F.lit(KINDS.index("secret"))).cast("int")))
+    placed = F.transform("base", lambda s: F.struct((F.col("at") + s["a"]).alias("a"), (F.col("at") + s["b"]).alias("b"),
+                                                    s["k"].alias("k")))
     return (df.withColumn("free", free).withColumn("mentions", F.concat(seeds, others))
-            .select("doc_id", "key", "base", "mentions"))
+            .select("doc_id", "row", "key", "n", "at", placed.alias("base"), "mentions"))
 
 
 def _row_key(text: Column) -> Column:
@@ -179,17 +199,17 @@ def _score(edges: DataFrame) -> DataFrame:
 
 
 def _found(rows: DataFrame) -> DataFrame:
-    """key and spans (a, b, k) that the patterns add, one row for each document with any."""
-    mentions = rows.select("key", F.explode("mentions").alias("x")).select("key", "x.*")
+    """key, at and spans (a, b, k) that the patterns add, one row for each slice with any."""
+    mentions = rows.select("key", "at", F.explode("mentions").alias("x")).select("key", "at", "x.*")
     at = _patterns(mentions)
     edges = stored(at.groupBy("pattern", F.sha2("m", 256).alias("instance")).agg(F.min("k").alias("k")), "edges")
     good = _score(edges)
     rule = KINDS.index("secret")
     added = (at.where(f"k IS NULL OR k = {rule}").join(good, "pattern", "left")
-             .groupBy("key", "a", "b").agg(F.min(F.coalesce("kind", "k")).alias("k")).where("k IS NOT NULL"))
-    loose = mentions.where(f"k = {rule}").select("key", "a", "b", "k")  # seeds without any context
-    return (added.select("key", "a", "b", "k").union(loose).groupBy("key", "a", "b").agg(F.min("k").alias("k"))
-            .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("a", "b", "k"))).alias("added")))
+             .groupBy("key", "at", "a", "b").agg(F.min(F.coalesce("kind", "k")).alias("k")).where("k IS NOT NULL"))
+    loose = mentions.where(f"k = {rule}").select("key", "at", "a", "b", "k")  # seeds without any context
+    return (added.select("key", "at", "a", "b", "k").union(loose).groupBy("key", "at", "a", "b").agg(F.min("k").alias("k"))
+            .groupBy("key", "at").agg(F.array_sort(F.collect_list(F.struct("a", "b", "k"))).alias("added")))
 
 
 def _written(spans: Column) -> Column:
@@ -215,47 +235,61 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     gives no rows; other columns are not read.
     """
     rows = stored(_scan(docs), "mentions")
-    both = rows.join(_found(rows), "key", "left")
-    base = F.transform("base", lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b"), s["k"].alias("k")))
-    every = F.array_distinct(F.concat(base, F.coalesce("added", F.array().cast("array<struct<a:int,b:int,k:int>>"))))
+    every = F.array_distinct(F.concat("base", F.coalesce("added", F.array().cast(SPANS))))
+    both = rows.join(_found(rows), ["key", "at"], "left").select("doc_id", "row", "n", "base", every.alias("every"))
+    long = both.where("n > 1").groupBy("row").agg(F.first("doc_id").alias("doc_id"), *(
+        F.flatten(F.collect_list(c)).alias(c) for c in ("base", "every")))  # the spans of one document
+    both = both.where("n = 1").select("doc_id", "base", "every").unionByName(long.select("doc_id", "base", "every"))
     def count(k: int) -> Column:
         return F.size(F.filter("base", lambda s: s["k"] == k)).cast("long").alias(f"n_{KINDS[k]}")
-    return both.select("doc_id", *map(count, range(len(RULES))), F.sha2(_written(_ordered(base)), 256).alias("base_sha256"),
-                       _written(_ordered(every)).alias("spans"))
+    return both.select("doc_id", *map(count, range(len(RULES))),
+                       F.sha2(_written(_ordered(F.col("base"))), 256).alias("base_sha256"),
+                       _written(_ordered(F.col("every"))).alias("spans"))
+
+
+SPANS = "array<struct<a:int,b:int,k:int>>"
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with ``<EMAIL>``, ``<IP>`` and so on in the place of the spans found.
 
     Overlapping spans become one, named for the first. ``n_chars``, where
-    there is such a number, follows the new text; other columns and texts
-    without spans, null texts among them, stay as they are.
+    there is such a number, follows the new text; other columns, whatever
+    their names, and texts without spans, null texts among them, stay as they
+    are. Repeated rows are changed alike; an empty table stays empty.
     """
     rows = stored(_scan(docs), "mentions")
-    base = F.transform("base", lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b"), s["k"].alias("k")))
-    every = F.concat(base, F.coalesce("added", F.array().cast("array<struct<a:int,b:int,k:int>>")))
-    spans = (rows.join(_found(rows), "key", "left").select(F.col("key").alias("__key"), _ordered(every).alias("__spans"))
-             .where(F.size("__spans") > 0).dropDuplicates(["__key"]))
+    every = F.concat("base", F.coalesce("added", F.array().cast(SPANS)))
+    spans = (rows.join(_found(rows), ["key", "at"], "left").select("key", "at", _ordered(every).alias("spans"))
+             .where(F.size("spans") > 0).dropDuplicates(["key", "at"])
+             .groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("at", "spans"))).alias("spans")))
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own")
     text = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.withColumn("__key", _row_key(text)).join(spans, "__key", "left")
+    joined = docs.select(own, _row_key(text).alias("key")).join(spans, "key", "left")
     names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
 
-    def step(state: Column, s: Column) -> Column:
-        """(text so far, end of the last span): gap and name, nothing for a span inside the last."""
-        inside = s["a"] < state["at"]
-        piece = F.concat(F.substr(F.col("text"), state["at"] + 1, s["a"] - state["at"]), F.element_at(names, s["k"] + 1))
-        return F.struct(F.when(inside, state["out"]).otherwise(F.concat(state["out"], piece)).alias("out"),
-                        F.greatest(state["at"], s["b"]).alias("at"))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    done = F.aggregate("__spans", start, step, lambda s: F.concat(s["out"], F.substr(F.col("text"), s["at"] + 1)))
-    out = joined.withColumn("__text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(done))
+    def cut(slice_: Column, at: Column) -> Column:
+        """A slice: its gaps and the names of its spans, nothing for a span inside the one before."""
+        def step(state: Column, s: Column) -> Column:
+            first = s["a"] - at
+            piece = F.concat(F.substr(slice_, state["to"] + 1, first - state["to"]), F.element_at(names, s["k"] + 1))
+            return F.struct(F.when(first < state["to"], state["out"]).otherwise(F.concat(state["out"], piece)).alias("out"),
+                            F.greatest(state["to"], s["b"] - at).alias("to"))
+        start = F.struct(F.lit("").alias("out"), F.lit(0).alias("to"))
+        return F.aggregate(F.coalesce(F.col("spans")[at], F.array().cast("array<struct<a:int,k:int,b:int>>")), start, step,
+                           lambda s: F.concat(s["out"], F.substr(slice_, s["to"] + 1)))
+    slices = _slices(F.col("own.text"))
+    ends = F.aggregate("slices", F.array(F.lit(0)), lambda all_, s: F.array_append(all_, F.element_at(all_, -1) + F.length(s)))
+    new = F.array_join(F.transform("slices", lambda s, i: cut(s, F.element_at("ends", i + 1))), "")
+    out = (joined.withColumn("slices", F.when(F.col("spans").isNotNull(), slices)).withColumn("ends", ends)
+           .withColumn("new", F.when(F.col("spans").isNull(), F.col("own.text")).otherwise(new)))
     columns = []
     for f in docs.schema.fields:
         if f.name == "text":
-            columns.append(F.col("__text").alias("text"))
+            columns.append(F.col("new").alias("text"))
         elif f.name == "n_chars" and f.dataType.typeName() in ("long", "integer"):
-            columns.append(F.when(F.col("__spans").isNull(), F.col("n_chars"))
-                           .otherwise(F.length("__text")).cast(f.dataType).alias("n_chars"))
+            columns.append(F.when(F.col("spans").isNull(), F.col("own.n_chars"))
+                           .otherwise(F.length("new")).cast(f.dataType).alias("n_chars"))
         else:
-            columns.append(F.col(f"`{f.name}`"))
+            columns.append(F.col("own")[f.name].alias(f.name))
     return out.select(*columns)
