@@ -16,12 +16,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import bounded_batches, group_rank, n_buckets, stored, text_chunks
+from tramline.llm.common import bounded_batches, stored, text_chunks
 
 BUCKETS = 65_536
 PRIOR = 3.0                 # pseudo-counts that pull a ratio to 1 where there is little evidence
 MAX_TARGET_DOCS = 50_000    # labelled documents that the target model learns from
-SPLITTERS = 256
+SPLITTERS = 256  # parts that each step of the search for the k-th key cuts
 
 
 def _features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -72,15 +72,17 @@ def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log((target + PRIOR) / (expected + PRIOR))
 
 
-def importance_resample(docs: DataFrame, labels: DataFrame, share: float | None = None) -> DataFrame:
-    """doc_id, n_features, log_weight, gumbel_key, kept of each row of ``docs``.
+def importance_resample(docs: DataFrame, labels: DataFrame, share: float | None = None,
+                        length_power: float = 0.5) -> DataFrame:
+    """doc_id, n_features, log_ratio, log_weight, gumbel_key, kept of each row of ``docs``.
 
     ``kept`` marks the k rows with the largest gumbel_key, k being ``share``
     of all rows; without it, the share of good and not toxic documents among
     the labelled ones. The target model learns from at most 50,000 such
-    documents, those of the smallest hash of doc_id. log_weight is divided
-    by the root of the number of features, so that a long text's length
-    alone does not decide. A text without words, null or not, has weight 0.
+    documents, those of the smallest hash of doc_id. log_ratio is the log
+    ratio of the two models; log_weight, which draws, is that divided by the
+    number of features to the ``length_power`` (0: the ratio itself), so that
+    a long text's length alone does not decide. A text without words, null or not, has weight 0.
     Without labels all weights are 0 and all rows are kept. A doc_id that is
     null or not labelled counts for the raw model; labels with nulls are
     left out; rows repeated with the same text get the same noise. Columns
@@ -106,22 +108,48 @@ def importance_resample(docs: DataFrame, labels: DataFrame, share: float | None
                 weight = np.bincount(owner, weights=ratios.value[buckets], minlength=len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("noise"), pa.array(sizes, pa.int64()),
-                     pa.array(weight / np.sqrt(np.maximum(sizes, 1)))],
-                    names=["doc_id", "noise", "n_features", "log_weight"])
+                     pa.array(weight, pa.float64()),
+                     pa.array(weight / np.maximum(sizes, 1) ** length_power, pa.float64())],
+                    names=["doc_id", "noise", "n_features", "log_ratio", "log_weight"])
     kind = dict(docs.dtypes)["doc_id"]
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(11)), 11).cast("double") + 0.5) / 2.0**53
     scored = (docs.select("doc_id", "text", (-F.log(-F.log(uniform))).alias("noise"))
-              .mapInArrow(weigh, f"doc_id {kind}, noise double, n_features bigint, log_weight double")
-              .select("doc_id", "n_features", "log_weight", (F.col("log_weight") + F.col("noise")).alias("gumbel_key"),
+              .mapInArrow(weigh, f"doc_id {kind}, noise double, n_features bigint, log_ratio double, log_weight double")
+              .select("doc_id", "n_features", "log_ratio", "log_weight", (F.col("log_weight") + F.col("noise")).alias("gumbel_key"),
                       F.monotonically_increasing_id().alias("__row")))
     rows = stored(scored, "weights")
     n = rows.count()
-    # rank in ordered ranges: splitters only set how even the ranges are
-    ranges = min(SPLITTERS, n_buckets(spark, n))
-    at = [i / ranges for i in range(1, ranges)]
-    cuts = rows.select(F.percentile_approx("gumbel_key", at or [0.5], 10_000)).first()[0] or []
-    below = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c > F.col("gumbel_key"))) \
-        if cuts else F.lit(0)
-    ranked = group_rank(rows, [], [F.desc("gumbel_key"), F.col("__row")], below, "__rank")
-    return ranked.select("doc_id", "n_features", "log_weight", "gumbel_key",
-                         (F.col("__rank") < round(share * n)).alias("kept"))
+    k = round(share * n)
+    if not 0 < k < n:
+        chosen = F.lit(k > 0)
+    else:  # the key and the row of the k-th are all that is needed: no rank of every row
+        key, before = nth_value(rows, "gumbel_key", k, descending=True)
+        row, _ = nth_value(rows.where(F.col("gumbel_key") == F.lit(key)), "__row", k - before)
+        chosen = (F.col("gumbel_key") > F.lit(key)) | ((F.col("gumbel_key") == F.lit(key)) & (F.col("__row") <= F.lit(row)))
+    return rows.select("doc_id", "n_features", "log_ratio", "log_weight", "gumbel_key", chosen.alias("kept"))
+
+
+def nth_value(df: DataFrame, column: str, n: int, descending: bool = False) -> tuple[float | int, int]:
+    """The n-th value (from 1) of a column in order, and how many values come before it.
+
+    The interval that holds it is cut at quantiles, the rows between and on
+    the cuts are counted, and the search goes on in one part of them; what
+    comes to the driver are the cuts and their counts, ``SPLITTERS`` at most.
+    """
+    x, inside, before = F.col(column), df, 0
+    while True:
+        at = [i / SPLITTERS for i in range(SPLITTERS + 1)]
+        cuts = sorted(set(inside.select(F.percentile_approx(column, at, 10_000)).first()[0]))
+        listed = F.array(*map(F.lit, cuts))
+        # an even part is an open interval, an odd one a cut itself
+        part = (2 * F.size(F.filter(listed, lambda c: c < x)) + F.array_contains(listed, x).cast("int")).alias("part")
+        counts = {r["part"]: r["count"] for r in inside.groupBy(part).count().collect()}
+        for p in sorted(counts, reverse=descending):
+            if before + counts[p] >= n:
+                break
+            before += counts[p]
+        if p % 2:
+            return cuts[p // 2], before
+        low, high = cuts[p // 2 - 1] if p else None, cuts[p // 2] if p // 2 < len(cuts) else None
+        inside = inside.where((x > F.lit(low) if low is not None else F.lit(True))
+                              & (x < F.lit(high) if high is not None else F.lit(True)))
