@@ -3,11 +3,11 @@
 How many rows of each source partition go to each shard is drawn first: a
 uniform shuffle deals a partition's rows like balls drawn without putting
 back, so the counts follow the multivariate hypergeometric law, and drawing
-them fixes both the partitions' and the shards' sizes exactly. Rows are then
-ranked at random within their partition, the ranks cut by the drawn counts,
-the rows exchanged, and ranked at random again within their shard. All row
-work is DataFrame operations; the driver holds the matrix alone, whose
-partitions have ``ROWS_PER_PARTITION`` rows.
+them fixes both the partitions' and the shards' sizes exactly. Rows are put
+in random order within the partition that reads them, the places cut by the
+drawn counts, the rows exchanged, and ranked at random again within their
+shard. All row work is DataFrame operations; the driver draws the matrix,
+one row for each partition, and hands it on as a file.
 """
 
 from __future__ import annotations
@@ -16,13 +16,12 @@ import json
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tramline.llm.common import group_rank, n_buckets, stored
+from tramline.llm.common import group_rank, n_buckets, scratch_path, stored
+from tramline.sources.sinks import filesystem
 
-ROWS_PER_PARTITION = 500_000
 LARGE = 900_000_000  # numpy draws from urns of up to 10**9
 
 
@@ -67,34 +66,47 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int, seed: int = 7) -> DataFr
 
     Shard sizes differ by one row at most. Rows are told apart by place, not
     by content: repeated rows and null ids are dealt out like any others. An
-    empty table gives no rows. ``docs`` must not have the columns added here.
+    empty table gives no rows. A column of ``docs`` named shard or slot gives
+    way to the one added here; other names do not matter.
     """
     spark = docs.sparkSession
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    total = rows.count()
-    n_parts = max(n_buckets(spark, total, ROWS_PER_PARTITION), 1)
-    rows = rows.withColumn("__part", F.pmod(F.xxhash64("__row", F.lit(seed)), F.lit(n_parts)))
-    counts = {r["__part"]: r["count"] for r in rows.groupBy("__part").count().collect()}  # n_parts numbers
-    parts = sorted(counts)
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own"),
+                      F.monotonically_increasing_id().alias("__id"))
+    # the id after the sort holds the partition (its upper 31 bits) and the place in it
+    rows = stored(own.sortWithinPartitions(F.xxhash64("__id", F.lit(seed + 1)), "__id")
+                  .select("own", F.monotonically_increasing_id().alias("__row")), "rows")
+    part = F.shiftrightunsigned("__row", 33)
+    counts = {r["part"]: r["count"] for r in rows.groupBy(part.alias("part")).count().collect()}  # a number a partition
+    parts, total = sorted(counts), sum(counts.values())
     matrix = draw_matrix([counts[p] for p in parts], shard_sizes(total, n_shards), seed)
-    ends = json.dumps([{"__part": p, "__ends": np.cumsum(row).tolist()} for p, row in zip(parts, matrix)])
-    drawn = (spark.range(1).select(F.explode(F.from_json(
-        F.lit(ends), "array<struct<__part: bigint, __ends: array<bigint>>>")).alias("m"))
-        .select("m.__part", "m.__ends"))
-
-    permuted = Window.partitionBy("__part").orderBy(F.xxhash64("__row", F.lit(seed + 1)), "__row")
-    dealt = (rows.withColumn("__rank", F.row_number().over(permuted) - 1)
+    drawn = _shipped(spark, [{"__part": p, "__ends": np.cumsum(row).tolist()} for p, row in zip(parts, matrix)])
+    dealt = (rows.withColumn("__part", part).withColumn("__rank", F.col("__row").bitwiseAND(F.lit((1 << 33) - 1)))
              .join(drawn, "__part")
              .withColumn("shard", F.size(F.filter("__ends", lambda e: e <= F.col("__rank")))))
     again = F.xxhash64("__row", F.lit(seed + 2))
     buckets = n_buckets(spark, math.ceil(total / n_shards))
     placed = group_rank(dealt, ["shard"], [again, F.col("__row")],
                         F.pmod(F.xxhash64("__row", F.lit(seed + 3)), F.lit(buckets)), "slot")
-    return placed.select(*docs.columns, "shard", "slot")
+    return placed.select(*(F.col("own")[c].alias(c) for c in docs.columns if c not in ("shard", "slot")), "shard", "slot")
+
+
+def _shipped(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    """The matrix as a JSON file in the shared folder, so that no plan holds it."""
+    path = scratch_path(spark, "matrix") + ".json"
+    fs, p = filesystem(spark, path)
+    out = fs.create(p, True)
+    for r in rows:
+        out.write(bytearray((json.dumps(r) + "\n").encode()))
+    out.close()
+    return spark.read.schema("__part bigint, __ends array<bigint>").json(path)
 
 
 def write_shards(sharded: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
-    """One folder for each shard, its files and their rows in the order of ``slot``."""
+    """One folder for each shard, its files and their rows in the order of ``slot``.
+
+    Nulls and repeated rows are written as they are; an empty table writes no
+    folder of a shard.
+    """
     run = F.floor(F.col("slot") / rows_per_file)
     (sharded.repartition("shard", run).sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))
