@@ -461,6 +461,25 @@ def test_importance_against_brute_force(spark, docs, texts):
     assert sum(r["kept"] for r in bad) < 0.3 * len(bad)
 
 
+@pytest.mark.parametrize("splitters", [2, 5, 256])
+def test_nth_value(spark, monkeypatch, splitters):
+    monkeypatch.setattr(importance, "SPLITTERS", splitters)
+    rng = random.Random(splitters)
+    values = [rng.choice([rng.random(), 0.5, -2.0, 0.25]) for _ in range(700)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for descending in (False, True):
+        ordered = sorted(values, reverse=descending)
+        for n in (1, 2, 350, 351, 700):
+            value, before = importance.nth_value(df, "x", n, descending)
+            assert value == ordered[n - 1] and before == ordered.index(value)
+
+
+def test_ties_at_the_last_key_are_cut_by_row(spark):
+    df = spark.createDataFrame([(1, "same text")] * 30, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(9, 1, 0), (8, 0, 0), (7, 0, 0)], "doc_id bigint, quality int, toxic int")
+    assert sum(r["kept"] for r in importance.importance_resample(df, labels).collect()) == 10
+
+
 def test_gumbel_noise_is_gumbel(spark):
     df = spark.range(5000).selectExpr("id AS doc_id", "'' AS text")
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
@@ -525,3 +544,59 @@ def test_pipeline_against_its_operators(spark, docs, texts):
         ids = encoder.encode(["".join([*text, texts[r["doc_id"]][at:]]).encode()])[0] + bytes(4)
         own = sorted((x["start"], x["length"], x["ids_crc32"]) for x in got if x["doc_id"] == r["doc_id"])
         assert own == [(k // 4, len(ids[k:k + 8192]) // 4, zlib.crc32(ids[k:k + 8192])) for k in range(0, len(ids), 8192)]
+
+
+# --- long and repetitive texts
+
+def test_repetitive_text_is_few_segments():
+    text, h, first, end = suffix_dedup.minimizers([b"a" * 100_000])
+    assert len(h) == -(-(100_000 - 49) // suffix_dedup.RUN) and len(set(h.tolist())) == 1
+    assert (first[1:] == end[:-1]).all() and first[0] == 0 and end[-1] == 100_000 - 49
+
+
+def test_a_repeated_byte_in_two_long_texts(spark):
+    df = spark.createDataFrame([(1, "a" * 700_000), (2, "b" + "a" * 700_000)], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffix_dedup.remove_repeats(df).collect()}
+    assert got == {1: (0, 0), 2: (700_000, 1)}
+
+
+def _marked(spans):
+    return [tuple(x.split(":")) for x in spans.split(",") if x]
+
+
+def test_long_texts_are_scanned_in_slices(spark, monkeypatch):
+    """Slices change nothing: the same spans with slices of every size, and the texts redacted alike."""
+    rng = random.Random(3)
+    parts = ["mail me at jo.doe@example.org", "call +32 (2) 555-12 34 now", "card 4111 1111 1111 1111.", "ip 10.0.0.1",
+             "password=deadbeefdeadbeef00", "plain words here", "end\nnew line", "é à ü", "1 2 3 4"]
+    texts = ["".join(rng.choice(parts) + rng.choice([" ", "\n", ", "]) for _ in range(n)) for n in (3, 40, 400)]
+    df = spark.createDataFrame(list(enumerate([*texts, None, ""])), "doc_id bigint, text string")
+    results = []
+    for size in (40, 700, 8000):
+        monkeypatch.setattr(pii, "SLICE_CHARS", size)
+        monkeypatch.setattr(pii, "SLICES", pii.SLICES.replace(re.search(r"\{\d+\}", pii.SLICES)[0], f"{{{size}}}"))
+        found = {r["doc_id"]: tuple(r) for r in pii.find_personal_data(df).collect()}
+        clean = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+        results.append((found, clean))
+    assert results[0] == results[1] == results[2]
+    assert len(results[0][0]) == 5 and results[0][1][3] is None
+    assert all(x not in results[0][1][2] for x in ("example.org", "4111", "10.0.0.1"))
+
+
+def test_a_value_of_letters_behind_a_sure_key(spark):
+    rows = [(k, f"deploy with secret_key={random.Random(k).getrandbits(80):020x}a1 today") for k in range(9)]
+    df = spark.createDataFrame(rows + [(99, "deploy with secret_key=CorrectHorseBattery today")], "doc_id bigint, text string")
+    spans = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(df).collect()}
+    assert spans[99] == "secret:23:42"
+
+
+def test_many_addresses_in_one_text(spark):
+    import time
+    text = " ".join(f"user{k}@host{k}.example.org or 10.0.{k % 250}.7," for k in range(25_000))  # about 1 MB
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    began = time.time()
+    r = pii.find_personal_data(df).first()
+    assert (r["n_email"], r["n_ip"]) == (25_000, 25_000)
+    clean = pii.redact(df).first()["text"]
+    assert clean.count("<EMAIL>") == clean.count("<IP>") == 25_000
+    assert time.time() - began < 120

@@ -271,7 +271,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """``docs`` whose texts have lost the hit spans of at least ``min_words`` words.
 
     The text from a span's first word up to the next kept word goes; texts
-    without such a span, null texts among them, stay as they are.
+    without such a span, null texts among them, stay as they are. Repeated
+    rows are cut alike; without documents or items nothing changes.
     """
     marked = mark(docs, benchmark, window)
     names = docs.columns

@@ -217,9 +217,8 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
         rows, "length bigint, first_rank bigint, n bigint, first_sequence bigint, offset bigint")
     buckets = n_buckets(spark, sum(counts.values()))
     ranked = group_rank(cut, ["length"], [F.col("__row")], F.pmod(F.xxhash64("__row"), F.lit(buckets)), "__rank")
-    if len(rows) < 200_000:  # set by the lengths, not by the documents: a few thousand rows
-        planned = F.broadcast(planned)
-    placed = ranked.join(planned, (ranked["length"] == planned["length"])
+    # a row for each run of equal bins that a length fills: set by the lengths (sequence at most), not by the documents
+    placed = ranked.join(F.broadcast(planned), (ranked["length"] == planned["length"])
                          & (F.col("__rank") >= F.col("first_rank"))
                          & (F.col("__rank") < F.col("first_rank") + F.col("n")))
     return placed.select(
@@ -229,7 +228,10 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """sequence_id and its ids in order, from ``pack(..., with_ids=True)``; a sequence is small."""
+    """sequence_id and its ids in order, from ``pack(..., with_ids=True)``; a sequence is small.
+
+    An empty table gives no rows; null ids among the documents do not matter.
+    """
     return packed.groupBy("sequence_id").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda x: x["ids"]))
         .alias("ids"))
