@@ -208,3 +208,20 @@ def test_log_is_listed_from_time_to_time(spark, scratch, monkeypatch):
     assert {n for n in os.listdir(os.path.join(root, C.LOG)) if "live" in n} == {"000000000002.live.json", "000000000004.live.json"}
     with pytest.raises(KeyError):
         C.read_table(spark, root, "b")
+
+
+def test_ingested_parents_join_children_without_a_shuffle(spark, scratch):
+    from tramline.operators.joins import parent_child
+    out = _three_days(spark, scratch)
+    names = S.publish_bucketed(spark, out, os.path.join(scratch, "bucketed"), "b" + os.path.basename(scratch).replace("-", "_"), 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for parent, key, child in (("trip_updates", "update_pk", "trip_stop_updates"), ("service_alerts", "alert_pk", "alert_texts")):
+            parents = spark.table(names[parent]).select(key, "entity_id")
+            joined = parent_child(parents, spark.table(names[child]).drop("entity_id"), key)
+            joined.write.format("noop").mode("overwrite").save()
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+            assert joined.count() == S.read_committed(spark, out, child).count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))

@@ -100,7 +100,13 @@ def test_bucketed_parent_child_join_has_no_shuffle(spark, scratch):
 
 def test_share_of_total_is_a_scalar_subquery(spark):
     g = spark.range(0, 100).groupBy((F.col("id") % 3).alias("k")).agg(F.count("*").alias("n"))
-    plan = _plan(share_of_total(g, "n", "pct"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    shares = share_of_total(g, "n", "pct")
+    assert not tracker.getJobIdsForGroup("building")  # lazy
+    assert shares.agg(F.sum("n")).first()[0] == 100 == sum(r.n for r in shares.collect())
+    assert "ReusedExchange" in shares._jdf.queryExecution().executedPlan().toString()  # the groups are counted once
+    plan = _plan(shares)
     lines = plan.split("\n")
     # The only single-partition exchange is the total's merge of per-task
     # partial sums (one row per task); the grouped rows never move to one task.

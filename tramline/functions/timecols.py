@@ -94,11 +94,14 @@ def decode_long(c) -> Column:
     """
     c = _col(c)
     is_obj = F.startswith(F.ltrim(c), F.lit("{"))
-    parts = F.from_json(c, "low bigint, high bigint")
-    low = F.coalesce(parts["low"], F.lit(0).cast("bigint"))
-    high = F.coalesce(parts["high"], F.lit(0).cast("bigint"))
-    combined = F.shiftleft(high, 32).bitwiseOR(low.bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint")))
-    return F.when(is_obj, combined).otherwise(c.try_cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+
+    def combined(parts: Column) -> Column:
+        low, high = F.coalesce(parts["low"], zero), F.coalesce(parts["high"], zero)
+        return F.shiftleft(high, 32).bitwiseOR(low.bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint")))
+    # bound to a lambda's variable, the object is parsed once for both halves
+    once = F.transform(F.array(F.from_json(c, "low bigint, high bigint")), combined)
+    return F.when(is_obj, F.element_at(once, 1)).otherwise(c.try_cast("bigint"))
 
 
 def epoch_to_ts(c) -> Column:

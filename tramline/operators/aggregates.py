@@ -42,14 +42,13 @@ def modal_value_row_number(df: DataFrame, key: str, value: str, out: str) -> Dat
 def share_of_total(grouped: DataFrame, count_col: str, out: str, scale: int = 2) -> DataFrame:
     """A-9: ``round(100 * count / total, scale)`` per row of an aggregate.
 
-    General form for any number of groups: the grouped result (one row per
-    group, small next to its input) is materialised once with a reliable
-    ``checkpoint()``; the total is then a scalar subquery over it. No join,
-    no single-partition window, and the input is not computed twice.
+    General form for any number of groups. The total is a scalar subquery
+    over the same aggregate, so both need the same shuffle, which Spark runs
+    once (``ReusedExchange``): the input is not computed twice. No job runs
+    while the query is built, no join, no single-partition window.
     """
-    g = grouped.checkpoint()
-    total = g.agg(F.sum(count_col)).scalar()
-    return g.withColumn(
+    total = grouped.agg(F.sum(count_col)).scalar()
+    return grouped.withColumn(
         out, F.round(F.try_divide(F.lit(100.0) * F.col(count_col), total), scale))
 
 

@@ -251,6 +251,19 @@ def canonical_station(spark, d):
                                X.translations(spark, d))
 
 
+@register("station_aliases", sql_with("alias_stops", "translations").replace("WITH ", "WITH RECURSIVE ", 1) + """,
+spelt AS (SELECT stop_id, lower(trim(unnest(string_split(stop_name, '/')))) AS name FROM alias_stops),
+pairs AS (SELECT lower(field_value) AS a, lower(translation) AS b FROM translations
+          UNION SELECT lower(translation), lower(field_value) FROM translations
+          UNION SELECT x.name, y.name FROM spelt x JOIN spelt y ON x.stop_id = y.stop_id),
+reach AS (SELECT DISTINCT name, name AS other FROM spelt UNION SELECT r.name, p.b FROM reach r JOIN pairs p ON p.a = r.other)
+SELECT s.stop_id, MIN(o.stop_id) AS canonical_id
+FROM spelt s JOIN reach r ON r.name = s.name JOIN spelt o ON o.name = r.other GROUP BY s.stop_id""")
+def station_aliases(spark, d):
+    from tramline.operators.aliases import station_aliases as aliases
+    return aliases(X.alias_stops(spark, d), X.translations(spark, d))
+
+
 # ---------------------------------------------------------------- W-3, J-7
 @register("latest_update_flag", sql_with("fact_trip_updates") + """
 SELECT update_pk, trip_id, update_timestamp,

@@ -153,6 +153,17 @@ def rt_station_filter(spark, d):
             .select("entity_id", "stop_sequence", "stop_id"))
 
 
+@register("rt_station_filter_most", """
+SELECT 'T' || CAST(l_orderkey AS VARCHAR) AS entity_id, COUNT(*) AS n_stops
+FROM lineitem
+WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_name ILIKE '%r#0%')
+GROUP BY l_orderkey""")
+def rt_station_filter_most(spark, d):
+    """A text that most station names have: the ids are as many as the stations."""
+    return (R.trip_stop_updates(_kept(spark, d, "R#0"), carry=_ENTITY_ID)
+            .groupBy("entity_id").agg(F.count(F.lit(1)).alias("n_stops")))
+
+
 @register("rt_ingest_summary", f"""
 SELECT '{STATION_TEXT}' AS station_filter, 'ok' AS status,
        (SELECT COUNT(*) FROM supplier WHERE s_name ILIKE '%{STATION_TEXT}%')

@@ -59,12 +59,20 @@ def load_static_feed(spark: SparkSession, feed_dir: str, out_root: str, strict:
     """Static load: read, type and check the feed, then replace all tables.
 
     Tables are published parents first. A missing file fails before anything
-    is written; bad text in a typed column fails (``strict``) or becomes
-    NULL; key / NOT NULL problems abort the publish.
+    is written; key / NOT NULL problems abort the publish. Bad text in a typed
+    column fails (``strict``), or else becomes NULL and is published with its
+    row as ``bad_values`` beside the tables; a row that cannot do without the
+    value is there only.
     """
-    tables = G.read_feed(spark, feed_dir, GTFS_LOAD_ORDER, strict=strict)
-    return publish_tables(spark, tables, out_root, order=list(tables),
-                          checks=lambda staged: feed_checks(staged, enforce_fk))
+    if strict:
+        tables = G.read_feed(spark, feed_dir, GTFS_LOAD_ORDER)
+    else:
+        tables, report = G.read_feed_with_report(spark, feed_dir, GTFS_LOAD_ORDER)
+        tables["bad_values"] = report
+
+    def checks(staged: dict[str, DataFrame]) -> list[str]:
+        return feed_checks({t: df for t, df in staged.items() if t != "bad_values"}, enforce_fk)
+    return publish_tables(spark, tables, out_root, order=list(tables), checks=checks)
 
 
 def load_dimensions(spark: SparkSession, feed_dir: str, out_root: str

@@ -121,6 +121,17 @@ def translations(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def alias_stops(spark: SparkSession, d: str) -> DataFrame:
+    """Stations (one per supplier) that spell their nation's name in one of four ways, one of them twofold."""
+    n = read_table(spark, d, "nation", "n_nationkey", "n_name")
+    s = read_table(spark, d, "supplier", "s_suppkey", "s_nationkey")
+    kind, name = F.col("s_suppkey") % 4, F.col("n_name")
+    spelt = (F.when(kind == 0, name).when(kind == 1, F.concat(_lit("EN "), name))
+             .when(kind == 2, F.concat(name, _lit(" / FR "), name)).otherwise(F.concat(_lit("FR "), name)))
+    return s.join(n, s.s_nationkey == n.n_nationkey).select(
+        F.concat(_lit("s"), _s("s_suppkey")).alias("stop_id"), spelt.alias("stop_name"))
+
+
 # ---------------------------------------------------------- punctuality star
 def fact_trip_updates(spark: SparkSession, d: str) -> DataFrame:
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
@@ -362,6 +373,11 @@ FROM events""",
 SELECT 'stops' AS table_name, 'stop_name' AS field_name, n_name AS field_value,
        'en' AS language, 'EN ' || n_name AS translation
 FROM nation WHERE n_nationkey % 2 = 0""",
+    "alias_stops": """
+SELECT 's' || CAST(s_suppkey AS VARCHAR) AS stop_id,
+       CASE s_suppkey % 4 WHEN 0 THEN n_name WHEN 1 THEN 'EN ' || n_name
+            WHEN 2 THEN n_name || ' / FR ' || n_name ELSE 'FR ' || n_name END AS stop_name
+FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "fact_trip_updates": """
 SELECT o_orderkey AS update_pk, CAST(o_custkey AS VARCHAR) AS trip_id,
        o_orderdate AS update_timestamp

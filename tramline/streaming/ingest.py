@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tramline.operators import realtime as R
 from tramline.session import ensure_checkpoint_dir
 from tramline.sources import commits as C
-from tramline.sources.sinks import filesystem, path_exists
+from tramline.sources.sinks import filesystem, path_exists, write_bucketed
 
 COMMITTED = "committed_polls"
 REPLACED = "replaced_polls"     # (poll, run) pairs whose rows no longer count
@@ -190,6 +190,23 @@ def compact(spark: SparkSession, out_root: str, days=None, min_files: int = 2) -
     return C.rewrite(spark, out_root, tables, version, drop) if tables else None
 
 
+def publish_bucketed(spark: SparkSession, out_root: str, path: str, prefix: str, buckets: int,
+                     version: int | None = None, days=None) -> dict[str, str]:
+    """SNK-5, J-9: the fact tables of one version as bucketed tables of the catalog.
+
+    All are bucketed and sorted by the key of their parent, so that parents
+    join children (``operators.joins.parent_child``) without a shuffle.
+    Returns {fact table: name in the catalog}.
+    """
+    version = C.latest_version(spark, out_root) if version is None else version
+    names = {}
+    for table, (key, _) in FACT_TABLES.items():
+        names[table] = f"{prefix}_{table}"
+        write_bucketed(read_committed(spark, out_root, table, version, days), names[table], key, buckets,
+                       os.path.join(path, names[table]))
+    return names
+
+
 def purge(spark: SparkSession, out_root: str, before: datetime) -> int | None:
     """CHK-6: delete all polls' rows fetched before a time, alerts and trips with their children (see ``commits.purge``).
 
