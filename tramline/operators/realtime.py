@@ -144,6 +144,9 @@ def resolve_station_ids(dim_stations: DataFrame, station_input) -> DataFrame | N
             .select(F.col("stop_id").cast("string").alias("stop_id")).distinct())
 
 
+SALTS = 256
+
+
 def trips_at(trip_ents: DataFrame, stop_ids: DataFrame, on_no_match: str = "all") -> DataFrame:
     """F-9: the ``entity_key`` of every trip entity that ANY stop id of ``stop_ids`` lets through.
 
@@ -158,8 +161,11 @@ def trips_at(trip_ents: DataFrame, stop_ids: DataFrame, on_no_match: str = "all"
     hits = stops.join(stop_ids, "stop_id", "left_semi").select("entity_key")
     if on_no_match != "all":
         return hits
-    empty = stop_ids.agg(F.count(F.lit(1)).alias("_n")).filter("_n = 0").select(F.lit(1).alias("_one"))  # a row or none
-    every = trip_ents.select("entity_key", F.lit(1).alias("_one")).join(empty, "_one", "left_semi").select("entity_key")
+    # a row for each of SALTS if there is no id, else none: met by hash, so that no task gets all entities
+    empty = stop_ids.agg(F.count(F.lit(1)).alias("_n")).filter("_n = 0").select(
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salt = F.pmod(F.xxhash64("entity_key"), F.lit(SALTS)).cast("int").alias("_salt")
+    every = trip_ents.select("entity_key", salt).join(empty, "_salt", "left_semi").select("entity_key")
     return hits.unionByName(every)
 
 
