@@ -3,6 +3,10 @@
 Each stage takes the documents that its predecessor kept, with all their
 columns, and is written to the shared folder before the next one reads them.
 The last returns the pieces of the texts with their places in sequences.
+
+In every stage a null text counts as an empty one, rows repeated in the table
+are judged one by one, extra columns go through as they are, and an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
