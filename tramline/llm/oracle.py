@@ -144,8 +144,10 @@ def _suffix_dedup() -> str:
     n = sd.WIDTH
     return f"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-w AS (SELECT r, doc_id, i, substr(x, 2 * i + 1, {2 * n}) AS g
-      FROM (SELECT r, doc_id, x, unnest(range(0, length(x) // 2 - {n} + 1)) AS i FROM t WHERE length(x) >= {2 * n})),
+z AS (SELECT r, doc_id, x, unnest(range(0, (length(x) // 2 - {n - 1} + 4095) // 4096)) AS part FROM t WHERE length(x) >= {2 * n}),
+c AS (SELECT r, doc_id, part, length(x) // 2 - {n - 1} AS n, substr(x, 8192 * part + 1, {8192 + 2 * n - 2}) AS x FROM z),
+w AS (SELECT r, doc_id, 4096 * part + j AS i, substr(x, 2 * j + 1, {2 * n}) AS g
+      FROM (SELECT r, doc_id, part, x, unnest(range(0, least(4096, n - 4096 * part))) AS j FROM c)),
 m AS (SELECT g, min(doc_id) AS least FROM w GROUP BY g HAVING min(doc_id) <> max(doc_id)),
 b AS (SELECT r, i FROM w JOIN m USING (g) WHERE least < doc_id),
 s AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + {n} THEN 0 ELSE 1 END AS first FROM b),
