@@ -5,8 +5,8 @@ A string of ``WIDTH`` bytes that occurs in two texts has the same minimizer
 two different texts share mark all places that can repeat; the rest of the
 corpus is not looked at again. Round each shared minimizer lies a segment:
 the bytes of all strings whose minimizer it is. Segments are dealt into
-shards by minimizer, so equal strings meet in one shard. A shard sorts the
-suffixes of its distinct segments by Larsson-Sadakane refinement in numpy,
+shards by minimizer, so equal strings meet in one shard. A shard merges equal
+segments; where a minimizer has several, it sorts their suffixes by Larsson-Sadakane refinement in numpy,
 takes common prefixes as Kasai does (all segments in step), and gives every
 string of a group with WIDTH common bytes the group's smallest doc_id.
 
@@ -229,16 +229,24 @@ def _shard_spans(table: pa.Table) -> pa.Table:
     code = np.fromiter((seen.setdefault(s, len(seen)) for s in segments), np.int64, len(segments))
     least = np.full(len(seen), LAST)
     np.minimum.at(least, code, ids)
-    found, begins = smallest_ids(list(seen), least)
-    lengths = np.array([len(s) for s in seen], np.int64) - WIDTH + 1
-    # only segments whose string has a smaller id than the row's have spans
-    own_least = np.minimum.reduceat(found, begins)
+    lengths = np.fromiter(map(len, seen), np.int64, len(seen)) - WIDTH + 1
+    # a string's segments share its minimizer: the strings of a minimizer's only segment are nowhere else
+    group = np.zeros(len(seen), np.int64)
+    group[code] = table.column("g").to_numpy()
+    several = np.bincount(group)[group] > 1
+    kinds = list(seen)
+    own_least, begins = least.copy(), np.zeros(len(seen), np.int64)
+    found = np.zeros(0, np.int64)
+    if several.any():
+        some = np.flatnonzero(several)
+        found, begins[some] = smallest_ids([kinds[k] for k in some.tolist()], least[some])
+        own_least[some] = np.minimum.reduceat(found, begins[some])
     rows, a, b = [], [], []
     first = table.column("first").to_numpy()
+    # only segments whose string has a smaller id than the row's have spans
     for r in np.flatnonzero(own_least[code] < ids).tolist():
         k = code[r]
-        bad = found[begins[k]:begins[k] + lengths[k]] < ids[r]
-        x, y = _spans(bad)
+        x, y = _spans(found[begins[k]:begins[k] + lengths[k]] < ids[r]) if several[k] else (np.zeros(1, np.int64), lengths[k:k + 1])
         rows.append(np.full(len(x), r))
         a.append(x + first[r])
         b.append(y - 1 + first[r] + WIDTH)
@@ -258,7 +266,7 @@ def _repeats(x: np.ndarray) -> np.ndarray:
 
 
 def _shared_minimizers(texts: DataFrame, ranges: int, hot_from: int) -> DataFrame:
-    """th, keys, hot: for each text its minimizers that another text has too, as
+    """th, keys, hot, any_hot: for each text its minimizers that another text has too, as
     numbers (range and 32 bits of the hash) and whether so many texts have them."""
     def emit(batches):
         for batch in batches:
@@ -324,12 +332,13 @@ def _shared_minimizers(texts: DataFrame, ranges: int, hot_from: int) -> DataFram
         return pa.table({
             "th": pa.array(own, pa.int64()),
             "keys": pa.array([key[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()),
-            "hot": pa.array([hot[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())})
+            "hot": pa.array([hot[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()),
+            "any_hot": pa.array([bool(hot[a:b].any()) for a, b in zip(edge[:-1], edge[1:])])})
 
     blobs = texts.select("th", "text").mapInArrow(emit, "part bigint, hashes binary, texts binary, ths binary")
     found = blobs.groupBy("part").applyInArrow(
         shared, "bucket bigint, part bigint, ths binary, sizes binary, hashes binary, hot binary")
-    return found.groupBy("bucket").applyInArrow(gather, "th bigint, keys binary, hot binary")
+    return found.groupBy("bucket").applyInArrow(gather, "th bigint, keys binary, hot binary, any_hot boolean")
 
 
 def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -504,14 +513,13 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, hot_from: int = HOT
     first = stored(rows.groupBy("sha").agg(F.min("id").alias("least"), F.min("th").alias("th")), "first")
 
     lists = _shared_minimizers(own, ranges, hot_from).join(first.select("th", F.col("least").alias("id")), "th")
-    found = stored(own.join(lists, ["th", "id"]).select("id", "th", "text", "keys", "hot"), "found")
+    found = stored(own.join(lists, ["th", "id"]).select("id", "th", "text", "keys", "hot", "any_hot"), "found")
     n = found.select(F.sum(F.octet_length("keys").cast("long"))).first()[0] or 0
     shards = n_buckets(spark, n // 8, shard_segments)
-    segments = _segments(found, ranges)
-    plain = (segments.where("NOT hot").withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)))
-             .select("shard", "id", "th", "first", "segment").groupBy("shard").applyInArrow(
-                 lambda t: _shard_spans(t), "id bigint, th bigint, a bigint, b bigint"))
-    hot = stored(segments.where("hot").drop("hot"), "hot")
+    plain = (_segments(found, ranges).where("NOT hot").withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)))
+             .select("shard", F.col("h").bitwiseAND(F.lit(0x7FFF)).cast("smallint").alias("g"), "id", "th", "first", "segment")
+             .groupBy("shard").applyInArrow(lambda t: _shard_spans(t), "id bigint, th bigint, a bigint, b bigint"))
+    hot = stored(_segments(found.where("any_hot"), ranges).where("hot").drop("hot"), "hot")
     spans = plain.union(_hot_spans(hot, shard_segments))
     cut = _removed(found, spans, with_text)
 
