@@ -117,6 +117,20 @@ def test_share_of_total_is_a_scalar_subquery(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Join" not in plan
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint", "string"])
+def test_modal_value_is_a_hash_aggregate(spark, kind):
+    from tramline.operators.aggregates import modal_value, modal_value_row_number
+    edge = {"int": 2**31, "bigint": 2**63, "string": 9}[kind]
+    rows = [(k, v) for k in range(40) for v in (None, None, -k, k % 3, k % 3, 5, -edge, edge - 1, edge - 1)[:1 + k % 9]]
+    df = spark.createDataFrame(rows, "k int, v bigint").withColumn("v", F.col("v").cast(kind))
+    got = modal_value(df, "k", "v", "m")
+    want = modal_value_row_number(df.where("v IS NOT NULL OR k < 0"), "k", "v", "m")
+    some = df.groupBy("k").agg(F.count("v").alias("n"), F.count("*").alias("a")).where("n = a").select("k")
+    assert sorted(got.join(some, "k").collect()) == sorted(want.join(some, "k").collect())
+    assert {r.k for r in got.where("m IS NULL").collect()} >= {0, 1}
+    assert ("SortAggregate" in _plan(got)) == (kind == "string")
+
+
 @needs_data
 @pytest.mark.parametrize("key", sorted(E.catalog.queries()))
 def test_no_python_udf_or_cross_join_in_any_query(spark, key):

@@ -7,6 +7,8 @@ before anything crosses the network.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,10 +21,19 @@ def count_if(cond: Column) -> Column:
 def modal_value(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """A-8: the most frequent ``value`` per ``key``; ties go to the larger value.
 
-    Counts per (key, value) then takes ``max(struct(count, value))`` per key —
-    a pure aggregate (no per-key sort), partially combined map-side.
+    Counts per (key, value) then takes the greatest (count, value) per key, an
+    aggregate that is partially combined map-side. Count and a whole number
+    are packed into one decimal in their order, which a hash aggregate can
+    hold; other types go as a struct, for which Spark sorts.
     """
     counts = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    kind = dict(df.dtypes)[value]
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        shift, low = F.lit(Decimal(2**65)), F.lit(Decimal(2**63 + 1))  # NULL is 0, the least value 1
+        code = F.when(F.col(value).isNull(), F.lit(Decimal(0))).otherwise(F.col(value).cast("decimal(19,0)") + low)
+        packed = F.col("_n").cast("decimal(18,0)") * shift + code
+        best = counts.groupBy(key).agg(F.max(packed).alias("_m")).withColumn("_m", F.col("_m") % shift)
+        return best.select(key, F.when(F.col("_m") > 0, F.col("_m") - low).cast(kind).alias(out))
     best = counts.groupBy(key).agg(F.max(F.struct(F.col("_n"), F.col(value))).alias("_m"))
     return best.select(key, F.col("_m")[value].alias(out))
 
