@@ -191,3 +191,43 @@ def test_duplicate_alert_in_one_poll(spark, scratch):
     assert q["alert_texts"].count() == 1
     reasons = sorted(r.reason for r in q["rejected"].collect())
     assert reasons == ["duplicate (entity_id, fetched_at)", "parent alert diverted"]
+
+
+def _parses(df):
+    """How often the plan parses poll texts."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+
+@pytest.fixture()
+def parsed(spark):
+    """Three polls: trips A (stops 1, 2), B (no stops), C (3, a stop without id, 3); D (2); alerts only."""
+    def trip(i, *stops):
+        return {"id": i, "tripUpdate": {"trip": {"tripId": i}, "stopTimeUpdate": [{"stopId": s} if s else {} for s in stops]}}
+    feeds = [[trip("A", "1", "2"), {"id": "B", "tripUpdate": {"trip": {"tripId": "B"}}}, trip("C", "3", None, "3")],
+             [trip("D", "2"), {"id": "E"}], [{"id": "a", "alert": {"cause": 1}}]]
+    rows = [("f", f"p{i}", dt.datetime(2024, 1, 1, i), json.dumps({"entity": e})) for i, e in enumerate(feeds)]
+    return R.parse_polls(spark.createDataFrame(rows, "feed string, source_file string, fetched_at timestamp_ntz, payload string"))
+
+
+def _ids(spark, *ids):
+    return spark.createDataFrame([(i,) for i in ids], "stop_id string")
+
+
+def test_entities_parse_each_poll_once(parsed):
+    ents = R.entities(parsed)
+    assert sorted(r.id for r in ents.select("entity.id").collect()) == ["A", "B", "C", "D", "E", "a"]
+    assert _parses(ents) == 1
+
+
+def test_station_filter_parses_once_a_side_and_sorts_no_entities(spark, parsed):
+    trips = R.trip_update_entities(R.entities(parsed))
+
+    def kept(*ids, **kw):
+        return sorted(r.id for r in R.filter_trips_by_stations(trips, _ids(spark, *ids), **kw).select("entity.id").collect())
+    assert kept("2", "2", "3") == ["A", "C", "D"]  # repeated ids, repeated stops, a stop without id
+    assert kept("1", None, "") == ["A"]
+    assert kept("9") == [] and kept() == ["A", "B", "C", "D"]  # T-1: no id at all means no filter
+    assert kept(on_no_match="none") == []
+    df = R.filter_trips_by_stations(trips, _ids(spark, "2"))
+    assert _parses(df) == 2
+    assert "ShuffledHashJoin" in df._jdf.queryExecution().executedPlan().toString()

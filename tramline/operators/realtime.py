@@ -85,8 +85,11 @@ def entities(polls: DataFrame) -> DataFrame:
     ``entity_key`` = poll id and position in the poll: no two entities share
     one, and children add their own position to it (KEY-1, KEY-2).
     """
+    # an expression, not a bare column: for a column Spark adds the filters "not null" and "size above 0",
+    # pushes them below the parser's projection and so parses every poll again for them
+    listed = F.coalesce(F.col("msg.entity"), F.array())
     e = polls.select("feed", "source_file", "poll_id", "fetched_at",
-                     F.posexplode(F.col("msg.entity")).alias("entity_pos", "entity"))
+                     F.posexplode(listed).alias("entity_pos", "entity"))
     return e.withColumn("entity_key", _key("poll_id", "entity_pos"))
 
 
@@ -147,6 +150,23 @@ def resolve_station_ids(dim_stations: DataFrame, station_input) -> DataFrame | N
 SALTS = 256
 
 
+def _own_and_stop_rows(ents: DataFrame, *carried) -> DataFrame:
+    """entity_key, ``carried``, _salt, stop_id: a row of each entity's own and one for each of its stops.
+
+    One explode gives both, so the polls are parsed once for them. The own
+    row has a ``_salt`` of 0 to SALTS - 1, by hash, so that no task gets all
+    entities, and no stop; a stop has -1. Stops without an id match nothing
+    and are left out.
+    """
+    salt = F.pmod(F.xxhash64("entity_key"), F.lit(SALTS)).cast("int")
+    own = F.array(F.struct(salt.alias("_salt"), F.lit("").alias("stop_id")))
+    stops = F.transform("entity.tripUpdate.stopTimeUpdate",
+                        lambda s: F.struct(F.lit(-1).alias("_salt"), s["stopId"].alias("stop_id")))
+    keyed = ents.select("entity_key", *carried)
+    rows = ents.select("entity_key", *carried, F.explode(F.concat(own, F.coalesce(stops, F.array()))).alias("_row"))
+    return rows.select(*keyed.columns, "_row._salt", "_row.stop_id").filter("stop_id IS NOT NULL")
+
+
 def trips_at(trip_ents: DataFrame, stop_ids: DataFrame, on_no_match: str = "all") -> DataFrame:
     """F-9: the ``entity_key`` of every trip entity that ANY stop id of ``stop_ids`` lets through.
 
@@ -156,27 +176,25 @@ def trips_at(trip_ents: DataFrame, stop_ids: DataFrame, on_no_match: str = "all"
     ``on_no_match='none'`` then matches nothing instead. An entity that is
     let through twice is there twice.
     """
-    stops = trip_ents.select("entity_key", F.explode(F.transform("entity.tripUpdate.stopTimeUpdate", lambda s: s["stopId"]))
-                             .alias("stop_id"))
-    hits = stops.join(stop_ids, "stop_id", "left_semi").select("entity_key")
-    if on_no_match != "all":
-        return hits
-    # a row for each of SALTS if there is no id, else none: met by hash, so that no task gets all entities
-    empty = stop_ids.agg(F.count(F.lit(1)).alias("_n")).filter("_n = 0").select(
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    salt = F.pmod(F.xxhash64("entity_key"), F.lit(SALTS)).cast("int").alias("_salt")
-    every = trip_ents.select("entity_key", salt).join(empty, "_salt", "left_semi").select("entity_key")
-    return hits.unionByName(every)
+    wanted = stop_ids.select(F.lit(-1).alias("_salt"), "stop_id")
+    if on_no_match == "all":
+        # if there is no id: a row for each of SALTS, which the entities' own rows meet; else none
+        wanted = wanted.unionByName(stop_ids.agg(F.count(F.lit(1)).alias("_n")).filter("_n = 0").select(
+            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"), F.lit("").alias("stop_id")))
+    return _own_and_stop_rows(trip_ents).join(wanted, ["_salt", "stop_id"], "left_semi").select("entity_key")
 
 
 def filter_trips_by_stations(trip_ents: DataFrame, stop_ids: DataFrame | None,
                              on_no_match: str = "all") -> DataFrame:
     """F-9: keep a trip entity if ANY of its stops is in ``stop_ids`` (None = no filter).
 
-    Kept trips keep ALL their stops (T-2).
+    Kept trips keep ALL their stops (T-2). The keys let through, each once,
+    are the hashed side of the join, so the wide entities are not sorted.
     """
-    return trip_ents if stop_ids is None else trip_ents.join(
-        trips_at(trip_ents, stop_ids, on_no_match), "entity_key", "left_semi").select(*trip_ents.columns)
+    if stop_ids is None:
+        return trip_ents
+    through = trips_at(trip_ents, stop_ids, on_no_match).distinct().hint("shuffle_hash")
+    return trip_ents.join(through, "entity_key", "left_semi").select(*trip_ents.columns)
 
 
 # --------------------------------------------------------------- JSN-3/4

@@ -39,7 +39,10 @@ def _alert_ents(spark, d):
 
 
 def _kept(spark, d, station=STATION_TEXT):
+    """The kept entities with their id and stops alone: no more of them is shuffled to meet the filter's keys."""
     ents = R.trip_update_entities(_trip_ents(spark, d))
+    stops = F.struct(F.col("entity.tripUpdate.stopTimeUpdate").alias("stopTimeUpdate"))
+    ents = ents.withColumn("entity", F.struct(F.col("entity.id").alias("id"), stops.alias("tripUpdate")))
     ids = R.resolve_station_ids(X.rt_stations(spark, d), station)
     return R.filter_trips_by_stations(ents, ids)
 
