@@ -231,3 +231,27 @@ def test_station_filter_parses_once_a_side_and_sorts_no_entities(spark, parsed):
     df = R.filter_trips_by_stations(trips, _ids(spark, "2"))
     assert _parses(df) == 2
     assert "ShuffledHashJoin" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def _small_feed_tables(spark, scratch, lines):
+    """orders 1 to 3, their lines, and conversations 7 (all three roles) and 8, as a query reads them."""
+    from tramline.sources.tables import SCHEMAS
+    day = dt.datetime(2024, 1, 5)
+    for name, rows in {
+        "orders": [(k, 10 + k, "O", 1.0, day, "1-URGENT") for k in (1, 2, 3)],
+        "lineitem": [(k, 5, s, n, 1.0, 1.0, 0.0, 0.0, "N", "O", day) for k, s, n in lines],
+        "conversations": [(7, 0, "user", "a"), (7, 1, "assistant", "b"), (7, 2, "system", "c"), (8, 0, "tool", "d")],
+    }.items():
+        spark.createDataFrame(rows, SCHEMAS[name]).write.parquet(os.path.join(scratch, f"{name}.parquet"))
+    return scratch
+
+
+@pytest.mark.parametrize("lines", [[(1, 4, 1), (1, 4, 2), (2, 11, 1), (9, 4, 1)], []])
+def test_surrogate_keys_parse_each_feed_once_a_table(spark, scratch, lines):
+    from tramline.plans.catalog_realtime import surrogate_keys
+    df = surrogate_keys(spark, _small_feed_tables(spark, scratch, lines))
+    stops = sum(k < 9 for k, _, _ in lines)  # the line of an order that is not there gives no stop
+    assert df.first().asDict() == {
+        "trip_updates": 3, "distinct_update_pk": 3, "stop_updates": stops, "distinct_stop_ids": stops, "orphan_stop_updates": 0,
+        "alerts": 2, "alert_texts": 3, "distinct_text_ids": 3}
+    assert _parses(df) == 4  # headers and stops, alerts and texts

@@ -209,31 +209,30 @@ def surrogate_keys(spark, d):
     """KEY-1/KEY-2: key counts — unique parents, unique children, no orphans.
 
     Parent keys and child rows are unioned and checked with one aggregate per
-    ``update_pk`` (uniqueness and orphans in a single shuffle, no anti-join).
+    ``update_pk``: uniqueness of both and orphans in a single shuffle, no
+    anti-join. A child's id begins with its ``update_pk``, so that ids can
+    only be equal within one, and their distinct counts per key add up.
     """
     ents = R.trip_update_entities(_trip_ents(spark, d))
     tu = R.trip_updates(ents).select("update_pk", F.lit(None).cast("string").alias("id"),
                                      F.lit(1).alias("is_parent"))
     st = R.trip_stop_updates(ents).select("update_pk", "id", F.lit(0).alias("is_parent"))
-    per_key = tu.unionByName(st).groupBy("update_pk").agg(
+    per_key = tu.unionByName(st).repartition("update_pk").groupBy("update_pk").agg(
         F.sum("is_parent").alias("parents"),
-        F.count("id").alias("children"))
+        F.count("id").alias("children"),
+        F.count_distinct("id").alias("ids"))
     trip = per_key.agg(
         F.sum("parents").cast("bigint").alias("trip_updates"),
         F.count_if(F.col("parents") > 0).alias("distinct_update_pk"),
         F.sum("children").cast("bigint").alias("stop_updates"),
         F.sum(F.when(F.col("parents") == 0, F.col("children")).otherwise(0)
-              ).cast("bigint").alias("orphan_stop_updates"))
-    child_ids = st.agg(F.count_distinct("id").alias("distinct_stop_ids"))
+              ).cast("bigint").alias("orphan_stop_updates"),
+        F.coalesce(F.sum("ids"), F.lit(0)).cast("bigint").alias("distinct_stop_ids"))
     a_ents = _alert_ents(spark, d)
     texts = R.alert_texts(a_ents).agg(
         F.count(F.lit(1)).alias("alert_texts"), F.count_distinct("id").alias("distinct_text_ids"))
     alerts = a_ents.agg(F.count(F.lit(1)).alias("alerts"))
-    return (trip.select(*[F.col(c) for c in trip.columns],
-                        child_ids.scalar().alias("distinct_stop_ids"),
-                        alerts.scalar().alias("alerts"),
-                        texts.select("alert_texts").scalar().alias("alert_texts"),
-                        texts.select("distinct_text_ids").scalar().alias("distinct_text_ids")))
+    return trip.crossJoin(alerts).crossJoin(texts)
 
 
 # ------------------------------------------------------------ alert feed
