@@ -255,3 +255,20 @@ def test_surrogate_keys_parse_each_feed_once_a_table(spark, scratch, lines):
         "trip_updates": 3, "distinct_update_pk": 3, "stop_updates": stops, "distinct_stop_ids": stops, "orphan_stop_updates": 0,
         "alerts": 2, "alert_texts": 3, "distinct_text_ids": 3}
     assert _parses(df) == 4  # headers and stops, alerts and texts
+
+
+def test_summary_counts_in_one_pass_over_the_trip_feed(spark, parsed):
+    ents = R.entities(parsed)
+    alerts = R.alert_entities(ents)
+
+    def counts(ids, **kw):
+        rows = R.ingest_summary(ents, alerts, "x", _ids(spark, *ids), **kw).collect()
+        return sorted((*(r[c] for c in kw.get("by", ())), r.resolved_stop_ids_count, r.total_trips_fetched, r.trips_inserted,
+                       r.alerts_processed) for r in rows)
+    assert counts(["2", "3"]) == [(2, 6, 3, 1)]
+    assert counts(["9"]) == [(1, 6, 0, 1)]
+    assert counts([]) == [(0, 6, 4, 1)] and counts([], on_no_match="none") == [(0, 6, 0, 1)]
+    assert counts(["2", "2", None]) == [(3, 6, 2, 1)]
+    hours = [dt.datetime(2024, 1, 1, h) for h in range(3)]
+    assert counts(["2"], by=["fetched_at"]) == [(hours[0], 1, 3, 1, 0), (hours[1], 1, 2, 1, 0), (hours[2], 1, 1, 0, 1)]
+    assert _parses(R.ingest_summary(ents, alerts, "x", _ids(spark, "2"))) == 2  # one for the trips, one for the alerts

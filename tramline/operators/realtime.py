@@ -311,19 +311,27 @@ def ingest_summary(trip_feed_ents: DataFrame, alert_ents: DataFrame, station_fil
     """SNK-6: the run summary as one row, or one for each value of ``by`` (poll columns).
 
     Narrow flags of entities are unioned and summed, each task pre-sums its
-    rows. A writer counts while it writes instead (``streaming.ingest``).
+    rows. With stop ids, one pass over the trip feed counts both the entities
+    fetched and those the ids let through (as ``trips_at`` does). A writer
+    counts while it writes instead (``streaming.ingest``).
     """
-    is_trip = _present(F.col("entity.tripUpdate"), TRIP_UPDATE.fieldNames())
+    is_trip = _present(F.col("entity.tripUpdate"), TRIP_UPDATE.fieldNames()).cast("int")
     one, none = F.lit(1), F.lit(0)
-    fetched = trip_feed_ents.select(*by, one.alias("f"), (is_trip.cast("int") if stop_ids is None else none).alias("k"),
-                                    none.alias("a"))
-    u = fetched.unionByName(alert_ents.select(*by, none.alias("f"), none.alias("k"), one.alias("a")))
     ids = F.lit(0)
-    if stop_ids is not None:
-        trips = trip_feed_ents.filter(is_trip)
-        kept = trips.select("entity_key", *by).join(trips_at(trips, stop_ids, on_no_match), "entity_key", "left_semi")
-        u = u.unionByName(kept.select(*by, none.alias("f"), one.alias("k"), none.alias("a")))
+    if stop_ids is None:
+        fetched = trip_feed_ents.select(*by, one.alias("f"), is_trip.alias("k"), none.alias("a"))
+    else:
         ids = stop_ids.agg(F.count(F.lit(1))).scalar()
+        wanted = stop_ids.select(F.lit(-1).alias("_salt"), "stop_id", one.alias("_hit"))
+        own = (F.col("_salt") >= 0).cast("int")
+        per_entity = (_own_and_stop_rows(trip_feed_ents, *by, is_trip.alias("_trip"))
+                      .join(wanted, ["_salt", "stop_id"], "left").groupBy("entity_key", *by)
+                      .agg(F.sum(own).alias("f"), F.sum(own * F.col("_trip")).alias("_trips"), F.max("_hit").alias("_hit")))
+        let_through = F.col("_hit").isNotNull()
+        if on_no_match == "all":
+            let_through = let_through | (ids == 0)
+        fetched = per_entity.select(*by, "f", F.when(let_through, F.col("_trips")).otherwise(0).alias("k"), none.alias("a"))
+    u = fetched.unionByName(alert_ents.select(*by, none.alias("f"), none.alias("k"), one.alias("a")))
 
     def total(c):
         return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
