@@ -232,7 +232,8 @@ def surrogate_keys(spark, d):
     texts = R.alert_texts(a_ents).agg(
         F.count(F.lit(1)).alias("alert_texts"), F.count_distinct("id").alias("distinct_text_ids"))
     alerts = a_ents.agg(F.count(F.lit(1)).alias("alerts"))
-    return trip.crossJoin(alerts).crossJoin(texts)
+    t = texts.select(F.struct(*texts.columns)).scalar()  # one row, read once for both columns
+    return trip.select(*trip.columns, alerts.scalar().alias("alerts"), *[t[c].alias(c) for c in texts.columns])
 
 
 # ------------------------------------------------------------ alert feed
